@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import dimension
+from .common import SMALL_CENTROID_ROWS, fetch_if_small, type_of
 from .ivf import assign_nearest, kmeans, search_cells
+from .kernels import BLOCK_CELLS, matrix
 
 
 @dataclass(frozen=True)
@@ -107,3 +112,35 @@ def search_learned(base: DataFrame, queries: DataFrame, n: int, p: LearnedParams
             model, _ = train_partition_model(labelled, p.epochs, p.seed)
         scores = predict_scores(model, queries)
     return search_cells(labelled, top_partitions(scores, p.probes), queries, n, by="part", **how)
+
+
+def centroid_scores(queries: DataFrame, centroids: DataFrame) -> DataFrame:
+    """Score without a trained model, minus the distance to each centroid: query_id, part, score."""
+    table = fetch_if_small(centroids.select("part", "centroid"), SMALL_CENTROID_ROWS)
+    if table is None:
+        raise ValueError("too many partitions to score every one of them")
+    shared = queries.sparkSession.sparkContext.broadcast(
+        (table["part"].to_numpy().astype(np.int32), matrix(table["centroid"])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, centres = shared.value
+        for batch in batches:
+            ids, vectors = batch.column("query_id"), matrix(batch.column("query_vec"))
+            step = max(1, BLOCK_CELLS // max(1, centres.size))
+            for lo in range(0, len(vectors), step):
+                diff = vectors[lo:lo + step, None, :] - centres[None]
+                scores = -np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+                rows = np.repeat(np.arange(lo, lo + len(scores)), len(parts))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(rows)), pa.array(np.tile(parts, len(scores))),
+                     pa.array(scores.ravel())], names=["query_id", "part", "score"])
+
+    return queries.select("query_id", "query_vec").mapInArrow(
+        run, f"query_id {type_of(queries, 'query_id')}, part int, score double")
+
+
+def training_curve(model: MultilayerPerceptronClassificationModel, spark: SparkSession) -> DataFrame:
+    """Training loss after every pass: epoch, train_loss."""
+    history = model.summary().objectiveHistory
+    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(history)],
+                                 "epoch int, train_loss double")
