@@ -65,6 +65,8 @@ class FlatScorer:
 
     def pairs(self, key, queries, base, n, bound, visible=None):
         """-> (query row, base row, squared distance) of the pairs worth keeping."""
+        if queries.shape[1] != base.shape[1]:
+            raise ValueError("queries and base vectors must have one common length")
         found = []
         q_norm = np.einsum("ij,ij->i", queries, queries)
         step = max(1, BLOCK_CELLS // max(1, len(queries)))

@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fixed
 from .evaluate import REFERENCE_ROW
 
 # Thresholds and texts of the biological comment.
 REMOTE_DISTANCE, REMOTE_IDENTITY = 0.3, 30
 HIGH_IDENTITY, TWILIGHT_IDENTITY = 30, 20
-REMOTE_FLAG = "REMOTE HOMOLOG CANDIDATE (%.1f%%)"
+REMOTE_FLAG = "REMOTE HOMOLOG CANDIDATE (%s%%)"
 HIGH = "High similarity"
-TWILIGHT = "Twilight Zone (%.1f%%)"
-REMOTE = "Remote homolog candidate (%.1f%%)"
+TWILIGHT = "Twilight Zone (%s%%)"
+REMOTE = "Remote homolog candidate (%s%%)"
 NO_MATCH = "No BLAST match"
 DOMAINS = " [Common domains: %s]"
 EC_NUMBERS = " [Common EC: %s]"
 SHOWN_DOMAINS = 2
 
 # Layout of the report.
-ROW = "%4d | %-11s | %7.3f | %13.1f%% | %-15s | %s"
+ROW = "%4d | %-11s | %7s | %13s%% | %-15s | %s"
 ROW_HEAD = "Rank | Neighbor ID | L2 Dist | BLAST Identity | In BLAST Top-N? | Bio comment"
 METHOD_HEAD = "Method            | Time/query (s) | QPS     | Recall@N vs BLAST Top-N"
 QUERY_HEAD = "Query Protein: "
@@ -29,9 +30,9 @@ COMPARE_HEAD = "[1] Συνοπτική σύγκριση μεθόδων"
 NEIGHBOR_HEAD = "[2] Top-%d γείτονες ανά μέθοδο (εδώ π.χ. N = %d για εκτύπωση)"
 METHOD_TITLE = "Method: "
 SHORT_RULE, LONG_RULE, END_RULE = "-" * 70, "-" * 90, "=" * 80
-LEGACY_METHOD = "Method: %s | Time: %s | Top-%d  | Recall@N: %.2f"
+LEGACY_METHOD = "Method: %s | Time: %s | Top-%d  | Recall@N: %s"
 LEGACY_HEAD = "Rank\tNeighbor ID\tL2 Distance"
-LEGACY_ROW = "%d\t%s\t%.4f"
+LEGACY_ROW = "%d\t%s\t%s"
 SUMMARY_HEAD = "=== ΣΥΝΟΠΤΙΚΗ ΣΤΑΤΙΣΤΙΚΗ ==="
 SUMMARY_QUERIES = "Συνολικός αριθμός queries: %d"
 SUMMARY_BASE = "Μέγεθος βάσης δεδομένων: %d"
@@ -39,7 +40,7 @@ SUMMARY_TIME = "Συνολικός χρόνος εκτέλεσης: %.2fs"
 SUMMARY_QPS = "Συνολικό QPS: %.1f"
 SUMMARY_METHOD_TIME = "  Μέσος χρόνος αναζήτησης: %.4fs"
 SUMMARY_METHOD_QPS = "  Μέσος QPS: %.1f"
-SUMMARY_METHOD_RECALL = "  Μέσος Recall@%d: %.3f"
+SUMMARY_METHOD_RECALL = "  Μέσος Recall@%d: %s"
 
 
 def is_remote(identity: Column, distance: Column, threshold: float = REMOTE_DISTANCE,
@@ -50,11 +51,12 @@ def is_remote(identity: Column, distance: Column, threshold: float = REMOTE_DIST
 
 def bio_comment(identity: Column, distance: Column, threshold: float = REMOTE_DISTANCE) -> Column:
     """Verdict on one neighbour; the remote flag is tested first."""
+    shown = fixed(identity, 1)
     return (
-        F.when(is_remote(identity, distance, threshold), F.format_string(REMOTE_FLAG, identity))
+        F.when(is_remote(identity, distance, threshold), F.format_string(REMOTE_FLAG, shown))
         .when(identity > HIGH_IDENTITY, F.lit(HIGH))
-        .when(identity > TWILIGHT_IDENTITY, F.format_string(TWILIGHT, identity))
-        .when(identity > 0, F.format_string(REMOTE, identity))
+        .when(identity > TWILIGHT_IDENTITY, F.format_string(TWILIGHT, shown))
+        .when(identity > 0, F.format_string(REMOTE, shown))
         .otherwise(F.lit(NO_MATCH))
     )
 
@@ -130,8 +132,8 @@ def neighbor_report(neighbors: DataFrame, truth: DataFrame, identity: DataFrame,
 def format_rows(report: DataFrame) -> DataFrame:
     """Adds ``line``, the fixed-width text of a report row."""
     return report.withColumn("line", F.format_string(
-        ROW, F.col("rank"), F.col("neighbor_id").cast("string"), F.col("distance"),
-        F.col("identity"), F.col("in_truth"), F.col("comment")))
+        ROW, F.col("rank"), F.col("neighbor_id").cast("string"), fixed(F.col("distance"), 3),
+        fixed(F.col("identity"), 1), F.col("in_truth"), F.col("comment")))
 
 
 BLOCK = 1_000_000  # line numbers reserved per method block
@@ -149,10 +151,6 @@ def _position(methods: list[str]) -> Column:
     return F.array_position(F.array(*[F.lit(m) for m in methods]), F.col("method")).cast("bigint")
 
 
-def _number(column: str, pattern: str) -> Column:
-    return F.coalesce(F.format_string(pattern, F.col(column)), F.lit("-"))
-
-
 def report_lines(scored: DataFrame, report: DataFrame, methods: list[str], recall_n: int, n: int,
                  errors: DataFrame | None = None) -> DataFrame:
     """Full report text: query_id, section, line_no, line.
@@ -169,9 +167,8 @@ def report_lines(scored: DataFrame, report: DataFrame, methods: list[str], recal
         (1, text(COMPARE_HEAD)), (2, text(SHORT_RULE)), (3, text(METHOD_HEAD)), (4, text(SHORT_RULE)),
         (last, text(SHORT_RULE)), (last + 1, text(""))], 1)
     known = methods + [REFERENCE_ROW]
-    cells = [F.col("method"), F.coalesce(F.format_string("%.3f", F.col("seconds")), F.lit("-")),
-             F.coalesce(F.format_string("%.1f", F.col("qps")), F.lit("-")),
-             F.format_string("%.3f", F.col("recall"))]
+    cells = [F.col("method"), F.coalesce(fixed(F.col("seconds"), 3), F.lit("-")),
+             F.coalesce(fixed(F.col("qps"), 1), F.lit("-")), fixed(F.col("recall"), 3)]
     # Numbers are right-aligned, a missing time is a left-aligned dash.
     timed = F.format_string("%-16s | %12s | %7s | %s", *cells)
     untimed = F.format_string("%-16s | %-12s | %-7s | %s", *cells)
@@ -217,14 +214,14 @@ def legacy_lines(neighbors: DataFrame, scored: DataFrame, n: int, methods: list[
                  F.concat(F.lit(QUERY_HEAD), F.col("query_id").cast("string")).alias("line")),
         F.struct(F.lit(2).cast("bigint").alias("line_no"),
                  F.format_string(LEGACY_METHOD, F.col("method"), F.col("time"), F.lit(n),
-                                 F.col("recall")).alias("line")),
+                                 fixed(F.col("recall"), 2)).alias("line")),
         F.struct(F.lit(3).cast("bigint").alias("line_no"), F.lit(LEGACY_HEAD).alias("line")),
         F.struct(F.lit(BLOCK).cast("bigint").alias("line_no"), F.lit("\n").alias("line")),
     )).alias("f")).select("query_id", "section", "f.line_no", "f.line")
     body = neighbors.where(F.col("rank") <= n).select(
         "query_id", _position(methods).alias("section"), (F.col("rank") + 3).alias("line_no"),
         F.format_string(LEGACY_ROW, F.col("rank"), F.col("neighbor_id").cast("string"),
-                        F.col("distance")).alias("line"))
+                        fixed(F.col("distance"), 4)).alias("line"))
     return frames.unionByName(body)
 
 
@@ -249,7 +246,7 @@ def summary_lines(summary: DataFrame, methods: list[str], recall_n: int) -> Data
     if "avg_time" in summary.columns:
         per_method += [(2, F.format_string(SUMMARY_METHOD_TIME, F.col("avg_time"))),
                        (3, F.format_string(SUMMARY_METHOD_QPS, F.col("avg_qps")))]
-    per_method += [(4, F.format_string(SUMMARY_METHOD_RECALL, F.lit(recall_n), F.col("avg_recall"))),
+    per_method += [(4, F.format_string(SUMMARY_METHOD_RECALL, F.lit(recall_n), fixed(F.col("avg_recall"), 3))),
                    (5, F.lit(""))]
     body = summary.select(lines(per_method, at).alias("l"))
     return header.unionByName(body).select(F.lit(4).alias("section"), "l.line_no", "l.line")

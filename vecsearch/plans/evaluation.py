@@ -11,7 +11,7 @@ from ..operators.exact import knn_exact
 from ..operators.ivf import search_ivfflat
 from ..sources.tables import write_report
 from . import sql
-from .registry import Tables, joined, query, rounded
+from .registry import Tables, joined_set, query, rounded
 from .searching import IVF, centroids
 
 RECALL_N, SHOWN = 10, 5
@@ -160,11 +160,11 @@ def q_comment(t):
     return pairs.select("pair", report.bio_comment(F.col("identity"), F.col("distance"), THRESHOLD).alias("comment"))
 
 
-@query("annot_join", sql.select([sql.ANNOT, FOUND], """SELECT method, query_id, neighbor_id, array_to_string(a.domains, ',') AS q_domains,
-  array_to_string(b.domains, ',') AS n_domains FROM found JOIN annot AS a ON a.id = query_id JOIN annot AS b ON b.id = neighbor_id"""))
+@query("annot_join", sql.select([sql.ANNOT, FOUND], """SELECT method, query_id, neighbor_id, array_to_string(list_sort(a.domains), ',') AS q_domains,
+  array_to_string(list_sort(b.domains), ',') AS n_domains FROM found JOIN annot AS a ON a.id = query_id JOIN annot AS b ON b.id = neighbor_id"""))
 def q_annot_join(t):
     return report.join_annotations(found(t), t.annotations).select(
-        "method", "query_id", "neighbor_id", joined("q_domains"), joined("n_domains"))
+        "method", "query_id", "neighbor_id", joined_set("q_domains"), joined_set("n_domains"))
 
 
 @query("common_domains", sql.select([*ROWS[:-1]], f"SELECT method, query_id, neighbor_id, {DOMAINS} AS suffix FROM shared"))
@@ -211,7 +211,7 @@ UNION ALL SELECT query_id, 1, CASE method WHEN 'Exact' THEN {B} ELSE {2 * B} END
   printf('%-16s | %-12s | %-7s | %.3f', method, '-', '-', recall) FROM scored
 UNION ALL SELECT query_id, 1, {3 * B}, printf('%-16s | %-12s | %-7s | 1.000', 'BLAST (Ref)', '-', '-') FROM ids
 UNION ALL {_fixed(2, [(1, _q(report.NEIGHBOR_HEAD % (SHOWN, SHOWN))), (2, "''")])}
-UNION ALL SELECT query_id, 2, at + l.no, l.line FROM (SELECT query_id, method, CASE method WHEN 'Exact' THEN {B} ELSE {2 * B} END AS at,
+UNION ALL SELECT query_id, 2, begin_no + l.no, l.line FROM (SELECT query_id, method, CASE method WHEN 'Exact' THEN {B} ELSE {2 * B} END AS begin_no,
   max(rank) AS n FROM report GROUP BY query_id, method) AS g,
   LATERAL (VALUES (1, 'Method: ' || method), (2, {_q(LONG)}), (3, {_q(report.ROW_HEAD)}), (4, {_q(LONG)}), (n + 5, '')) AS l(no, line)
 UNION ALL SELECT query_id, 2, CASE method WHEN 'Exact' THEN {B} ELSE {2 * B} END + 4 + rank, {LINE} FROM report

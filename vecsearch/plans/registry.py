@@ -101,5 +101,10 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def joined(column: str) -> Column:
-    """Array column as text."""
+    """Array column as text, in the order of the array."""
     return F.array_join(column, ",").alias(column)
+
+
+def joined_set(column: str) -> Column:
+    """Set-like array column as text, sorted."""
+    return F.array_join(F.sort_array(column), ",").alias(column)

@@ -167,7 +167,7 @@ def ivf(n: int, digits: int = 6) -> str:
 
 M, CODES = 8, 16
 SUB = DIM // M
-RESIDUAL = """res AS (SELECT id, cell, list_transform(list_zip(x, c), p -> p[1] - p[2]) AS r
+RESIDUAL = """res AS (SELECT id, cell, list_transform(list_zip(x, c), lambda p: p[1] - p[2]) AS r
   FROM cells JOIN c2 USING (cell))"""
 SUBS = f"subs AS (SELECT id, cell, m, r[m * {SUB} + 1 : (m + 1) * {SUB}] AS s FROM res, range({M}) AS x(m))"
 
@@ -186,7 +186,7 @@ PQ = [*IVF, RESIDUAL, SUBS,
       "book AS (SELECT b.m, b.code, coalesce(moved.v, b.v) AS v FROM book0 AS b LEFT JOIN moved ON moved.m = b.m AND moved.code = b.code)",
       encoded("enc", "book")]
 LOOKUP = f"""lut AS (SELECT query_id, cell, m, code,
-  list_distance(list_transform(list_zip(q, c), p -> p[1] - p[2])[m * {SUB} + 1 : (m + 1) * {SUB}], v) AS d
+  list_distance(list_transform(list_zip(q, c), lambda p: p[1] - p[2])[m * {SUB} + 1 : (m + 1) * {SUB}], v) AS d
   FROM probes, book)"""
 PQ_PAIRS = """SELECT query_id, id AS neighbor_id, sqrt(sum(d * d)) AS distance
   FROM lut JOIN enc ON enc.cell = lut.cell AND enc.m = lut.m AND enc.code = lut.code GROUP BY query_id, id"""

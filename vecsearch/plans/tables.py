@@ -9,7 +9,7 @@ from ..operators import graph, sequences
 from ..operators.common import scratch_path
 from ..sources import tables as io
 from . import sql
-from .registry import joined, query, rounded
+from .registry import joined_set, query, rounded
 
 RESIDUE = "regexp_replace(text, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g')"
 CLEANED = f"cleaned AS (SELECT doc_id AS id, {RESIDUE} AS seq FROM documents)"
@@ -41,12 +41,12 @@ def q_hits(t):
     return rank_within(back, ["query"], ["hit_seq"]).withColumnRenamed("rank", "place").drop("hit_seq")
 
 
-@query("annot_scan", sql.select([sql.ANNOT], """SELECT CAST(id AS VARCHAR) AS id, array_to_string(domains, ',') AS domains,
+@query("annot_scan", sql.select([sql.ANNOT], """SELECT CAST(id AS VARCHAR) AS id, array_to_string(list_sort(domains), ',') AS domains,
   array_to_string(ec, ',') AS ec_numbers FROM annot"""))
 def q_annot(t):
     path = scratch_path(t.spark, "annotations")
     io.write_annotations(t.annotations.withColumn("id", F.col("id").cast("string")), path)
-    return io.read_annotations(t.spark, path).select("id", joined("domains"), joined("ec_numbers"))
+    return io.read_annotations(t.spark, path).select("id", joined_set("domains"), joined_set("ec_numbers"))
 
 
 @query("family_scan", "SELECT CAST(p_partkey AS VARCHAR) AS accession, p_brand AS pfam, p_size AS length FROM part")
@@ -58,7 +58,7 @@ def q_family(t):
 
 
 CHECKSUM = """SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim,
-  round(list_sum(list_transform(embedding::DOUBLE[], x -> x * x)), 6) AS sq_norm FROM embeddings"""
+  round(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)), 6) AS sq_norm FROM embeddings"""
 
 
 def _digest(df):
@@ -148,10 +148,6 @@ def _pooled(df):
     return rounded(df.select("id", F.posexplode("embedding").alias("dim", "value")), "value")
 
 
-POOL = f"""SELECT id, CAST(i - 1 AS INTEGER) AS dim, round(avg(x[i]), 6) AS value FROM tokens, range(1, {sql.DIM + 1}) AS d(i)
-WHERE {{rule}} GROUP BY id, i"""
-
-
 @query("mean_pool_masked", sql.select([sql.TOKENS], f"""SELECT id, CAST(i - 1 AS INTEGER) AS dim,
   round(sum(CASE WHEN pos < n THEN x[i] ELSE 0 END) / greatest(count(CASE WHEN pos < n THEN 1 END), 1e-9), 6) AS value
 FROM tokens, range(1, {sql.DIM + 1}) AS d(i) GROUP BY id, i"""))
