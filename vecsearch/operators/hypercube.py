@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HashTable, dimension, hash_params
-from .common import fetch_if_small, SMALL_PROBE_ROWS
+from .common import settle
 from .exact import knn_exact
 from .kernels import matrix
 from .keyed import search_keyed
@@ -108,11 +108,10 @@ def search_hypercube(base: DataFrame, queries: DataFrame, n: int, p: CubeParams
     members = cube_members(base, p) if members is None else members
     index = members.select("id", "embedding", "pos",
                            F.array(F.col("vertex").cast("string")).alias("keys"))
-    probes = cube_candidates(members, queries, p).select(
-        "query_id", F.col("vertex").cast("string").alias("key"), "take")
+    probes = settle(cube_candidates(members, queries, p).select(
+        "query_id", F.col("vertex").cast("string").alias("key"), "take"))
     lost = queries.join(probes.select("query_id").distinct(), "query_id", "left_anti")
     found = search_keyed(index, probes, queries, n, **how)
-    missing = fetch_if_small(lost.select("query_id"), SMALL_PROBE_ROWS)
-    if missing is not None and missing.num_rows == 0:
+    if lost.isEmpty():
         return found
     return found.unionByName(knn_exact(base, lost, n, **how))

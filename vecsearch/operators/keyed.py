@@ -47,7 +47,7 @@ def search_keyed(
 ) -> DataFrame:
     """Nearest base rows behind the probed keys.
 
-    ``base``: id, embedding, keys ARRAY<STRING> [, pos]; ``probes``: query_id, key [, take];
+    ``base``: id, embedding, keys ARRAY<STRING or BINARY> [, pos]; ``probes``: query_id, key [, take];
     ``queries``: query_id, query_vec. With ``pos``/``take`` a probe sees only rows ``pos <= take``.
     ``many_keys`` says that a base row can be met through several keys (duplicates are removed).
     """
@@ -174,7 +174,8 @@ def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -
     )
     one = F.lit(1).cast("bigint")
     parts, q_parts = F.coalesce("parts", one), F.coalesce("q_parts", one)
-    block = F.concat_ws("|", "key", F.col("salt").cast("string"), F.col("q_salt").cast("string"))
+    text = F.hex("key") if type_of(by_key, "key") == "binary" else F.col("key")
+    block = F.concat_ws("|", text, F.col("salt").cast("string"), F.col("q_salt").cast("string"))
     no_cap = F.lit(None).cast("bigint")
     left = (
         by_key.join(splits, "key", "left")

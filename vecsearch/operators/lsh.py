@@ -6,13 +6,17 @@ buckets a query reads, and the keyed search scores their members in place.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import dimension, hash_params, projection_codes
-from .common import settle
+from ..functions.hashing import HashTable, dimension, hash_params, projection_codes
+from .common import settle, type_of
+from .kernels import matrix
 from .keyed import search_keyed
 
 
@@ -26,27 +30,55 @@ class LshParams:
     fallback: bool = True
 
 
-def _table_keys(codes: Column, p: LshParams) -> Column:
-    """ARRAY<STRING> with one ``tbl:c1,c2,...`` key per table."""
-    def key(tbl: int) -> Column:
-        part = F.slice(codes, tbl * p.k + 1, p.k).cast("array<string>")
-        return F.concat(F.lit(f"{tbl}:"), F.array_join(part, ","))
+def _key_bytes(h: np.ndarray) -> pa.Array:
+    """(rows, tables, k) hash values -> one binary key per (row, table): table number, then values."""
+    rows, tables, k = h.shape
+    full = np.empty((rows, tables, k + 1), dtype="<i4")
+    full[:, :, 0] = np.arange(tables)
+    full[:, :, 1:] = h
+    fixed = pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(4 * (k + 1)), rows * tables, [None, pa.py_buffer(full.tobytes())])
+    return fixed.cast(pa.binary())
 
-    return F.array(*[key(tbl) for tbl in range(p.tables)])
+
+def _hashes(vectors: np.ndarray, params: list[HashTable], w: float) -> np.ndarray:
+    v, t = np.concatenate([p.v for p in params]).T, np.concatenate([p.t for p in params])
+    h = np.floor((vectors @ v + t) / w).astype("<i4")
+    return h.reshape(len(h), len(params), -1)
+
+
+def code_text(key: Column) -> Column:
+    """Readable form of a bucket key: the hash values joined by commas."""
+    @F.arrow_udf("string")
+    def text(keys: pa.Array) -> pa.Array:
+        return pa.array([",".join(map(str, np.frombuffer(b, dtype="<i4")[1:])) for b in keys.to_pylist()],
+                        type=pa.string())
+
+    return text(key)
 
 
 def lsh_index(base: DataFrame, p: LshParams, dim: int | None = None) -> DataFrame:
-    """Base rows with their bucket keys: id, embedding, keys [, ord]."""
+    """The input with ``keys``, one binary bucket key per table; one row per vector."""
     params = hash_params(dim or dimension(base), p.k, p.tables, p.w, p.seed)
-    coded = base.withColumn("codes", projection_codes(F.col("embedding"), params, p.w))
-    return coded.withColumn("keys", _table_keys(F.col("codes"), p)).drop("codes")
 
+    @F.arrow_udf("array<binary>")
+    def keys(batch: pa.Array) -> pa.Array:
+        if len(batch) == 0:
+            return pa.array([], type=pa.list_(pa.binary()))
+        flat = _key_bytes(_hashes(matrix(batch), params, p.w))
+        offsets = pa.array(np.arange(len(batch) + 1, dtype=np.int32) * len(params))
+        return pa.ListArray.from_arrays(offsets, flat)
 
-def lsh_codes(df: DataFrame, p: LshParams, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    return base.withColumn("keys", keys(F.col("embedding")))
+
+
+def lsh_codes(df: DataFrame, p: LshParams) -> DataFrame:
     """One row per (vector, table): id, tbl, code."""
-    index = lsh_index(df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("embedding")), p)
-    return index.select(F.col("id").alias(id_col), F.posexplode("keys").alias("tbl", "key")).select(
-        id_col, "tbl", F.substring_index("key", ":", -1).alias("code"))
+    params = hash_params(dimension(df), p.k, p.tables, p.w, p.seed)
+    codes = projection_codes(F.col("embedding"), params, p.w)
+    parts = F.array(*[F.array_join(F.slice("codes", t * p.k + 1, p.k).cast("array<string>"), ",")
+                      for t in range(p.tables)])
+    return df.select("id", codes.alias("codes")).select("id", F.posexplode(parts).alias("tbl", "code"))
 
 
 def lsh_buckets(index: DataFrame) -> DataFrame:
@@ -59,31 +91,40 @@ def lsh_buckets(index: DataFrame) -> DataFrame:
     )
 
 
-def probe_codes(queries: DataFrame, p: LshParams, radius: int | None = None) -> DataFrame:
-    """Buckets each query looks at: its own and those one coordinate (by up to radius) away."""
+def probe_keys(queries: DataFrame, p: LshParams, radius: int | None = None) -> DataFrame:
+    """Buckets each query looks at: its own and those one coordinate (by up to radius) away.
+
+    query_id, tbl, key; only the query side is expanded, never the base.
+    """
     radius = p.radius if radius is None else radius
     params = hash_params(dimension(queries, "query_vec"), p.k, p.tables, p.w, p.seed)
-    per_table = F.array(*[F.struct(F.lit(t).alias("tbl"),
-                                   F.slice("codes", t * p.k + 1, p.k).alias("code"))
-                          for t in range(p.tables)])
-    coded = queries.withColumn("codes", projection_codes(F.col("query_vec"), params, p.w)).select(
-        "query_id", F.explode(per_table).alias("h"))
-    deltas = [d for r in range(1, radius + 1) for d in (r, -r)]
-    moves = [(-1, 0)] + [(i, d) for i in range(p.k) for d in deltas]
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d")) for i, d in moves])
-    shifted = F.transform("h.code", lambda c, i: c + F.when(i == F.col("move.i"), F.col("move.d"))
-                          .otherwise(0))
-    return coded.withColumn("move", F.explode(steps)).select(
-        "query_id", F.col("h.tbl").alias("tbl"),
-        F.concat(F.col("h.tbl").cast("string"), F.lit(":"),
-                 F.array_join(shifted.cast("array<string>"), ",")).alias("key"))
+    moves = np.zeros((1 + 2 * p.k * radius, p.k), dtype="<i4")
+    deltas = [sign * d for d in range(1, radius + 1) for sign in (1, -1)]
+    moves[1 + np.arange(p.k * len(deltas)), np.repeat(np.arange(p.k), len(deltas))] = deltas * p.k
+    per_query = p.tables * len(moves)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, 200_000 // per_query)
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                h = _hashes(matrix(part.column("query_vec")), params, p.w)
+                near = (h[:, None] + moves[None, :, None]).reshape(-1, p.tables, p.k)
+                owner = pa.array(np.repeat(np.arange(part.num_rows), per_query))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("query_id").take(owner),
+                     pa.array(np.tile(np.arange(p.tables, dtype=np.int32), len(near))),
+                     _key_bytes(near)], names=["query_id", "tbl", "key"])
+
+    return queries.select("query_id", "query_vec").mapInArrow(
+        run, f"query_id {type_of(queries, 'query_id')}, tbl int, key binary")
 
 
 def lsh_probes(index: DataFrame, queries: DataFrame, p: LshParams, radius: int | None = None,
                buckets: DataFrame | None = None) -> DataFrame:
     """Non-empty probed buckets: query_id, tbl, key, members."""
     buckets = lsh_buckets(index) if buckets is None else buckets
-    return probe_codes(queries, p, radius).join(
+    return probe_keys(queries, p, radius).join(
         buckets.select("tbl", "key", "members"), ["tbl", "key"]
     ).select("query_id", "tbl", "key", "members")
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import dimension
@@ -83,7 +83,11 @@ def _book(codebook: DataFrame) -> np.ndarray:
 
 def pq_encode(res: DataFrame, codebook: DataFrame) -> DataFrame:
     """Nearest code per subspace (lowest code on ties): id, cell, codes ARRAY<SMALLINT>."""
-    shared = res.sparkSession.sparkContext.broadcast(_book(codebook))
+    return res.select("id", "cell", _codes(res, _book(codebook)).alias("codes"))
+
+
+def _codes(res: DataFrame, book: np.ndarray) -> Column:
+    shared = res.sparkSession.sparkContext.broadcast(book)
 
     @F.arrow_udf("array<smallint>")
     def encode(batch: pa.Array) -> pa.Array:
@@ -100,22 +104,20 @@ def pq_encode(res: DataFrame, codebook: DataFrame) -> DataFrame:
         offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * m)
         return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
 
-    return res.select("id", "cell", encode(F.col("residual")).alias("codes"))
+    return encode(F.col("residual"))
 
 
 def pq_lloyd_step(res: DataFrame, codebook: DataFrame) -> DataFrame:
     """One k-means step in all subspaces together: m, code, centroid."""
-    dim = dimension(res, "residual")
-    parts = codebook.select("m").distinct().count()
-    sub = -(-dim // parts)
-    coded = pq_encode(res, codebook).select("id", "codes")
+    book = _book(codebook)
+    parts, _, sub = book.shape
+    padded = F.concat(F.col("residual"), F.array_repeat(F.lit(0.0), parts * sub))
     pieces = F.transform(
         F.sequence(F.lit(0), F.lit(parts - 1)),
         lambda i: F.struct(i.alias("m"), F.get("codes", i).cast("int").alias("code"),
-                           F.slice(F.concat(F.col("residual"), F.array_repeat(F.lit(0.0), sub)),
-                                   i * sub + 1, sub).alias("sub")))
+                           F.slice(padded, i * sub + 1, sub).alias("sub")))
     moved = (
-        res.select("id", "residual").join(coded, "id")
+        res.select("residual", _codes(res, book).alias("codes"))
         .select(F.explode(pieces).alias("p"))
         .groupBy("p.m", "p.code")
         .agg(vector_to_array(Summarizer.mean(array_to_vector("p.sub"))).alias("mean"))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import type_of
+
 # Residue letters that are kept, longest sequence, smallest pooling divisor.
 RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
 MAX_LENGTH = 1022
@@ -59,16 +61,22 @@ def embed(df: DataFrame, embed_fn: EmbedFn = composition, batch_size: int = 8,
     Rows are ordered by length inside their partition only, so batches hold similar lengths
     without shuffling the texts (a range shuffle by length would pile the long ones up).
     """
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for lo in range(0, len(frame), batch_size):
-                part = frame.iloc[lo:lo + batch_size]
-                vectors = np.asarray(embed_fn(part["seq"].tolist()), dtype=np.float32)
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "embedding": list(vectors)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("seq").to_pylist()
+            parts = [np.asarray(embed_fn(texts[lo:lo + batch_size]), dtype=np.float32)
+                     for lo in range(0, len(texts), batch_size)]
+            if not parts:
+                continue
+            vectors = np.concatenate(parts)
+            offsets = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * vectors.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))],
+                names=["id", "embedding"])
 
     short = truncate(df.select("id", "seq"), max_length)
     ordered = short.sortWithinPartitions(F.length("seq"))
-    return ordered.mapInPandas(run, f"id {df.schema['id'].dataType.simpleString()}, embedding array<float>")
+    return ordered.mapInArrow(run, f"id {type_of(df, 'id')}, embedding array<float>")
 
 
 def mean_pool(tokens: DataFrame, exclude_special: bool = False, max_length: int = MAX_LENGTH) -> DataFrame:

@@ -45,6 +45,10 @@ LINE = "printf('%4d | %-11s | %7.3f | %13.1f%% | %-15s | %s', rank, CAST(neighbo
 
 def found(t: Tables) -> DataFrame:
     """Neighbours of all queries from an exact and an approximate method."""
+    return t.once("found", _found)
+
+
+def _found(t: Tables) -> DataFrame:
     exact = knn_exact(t.base, t.queries, RECALL_N).withColumn("method", F.lit("Exact"))
     near = search_ivfflat(t.base, t.queries, RECALL_N, IVF, centroids(t)).withColumn("method", F.lit("IVF-Flat"))
     return exact.unionByName(near)

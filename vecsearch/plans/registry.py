@@ -8,6 +8,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import settle
+
 Query = Callable[["Tables"], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._kept: dict[str, DataFrame] = {}
+
+    def once(self, name: str, make: Callable[["Tables"], DataFrame]) -> DataFrame:
+        """A derived table several steps of one query read, evaluated a single time."""
+        if name not in self._kept:
+            self._kept[name] = settle(make(self))
+        return self._kept[name]
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

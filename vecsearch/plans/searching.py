@@ -35,8 +35,8 @@ def start_centroids(t: Tables) -> DataFrame:
 
 def centroids(t: Tables) -> DataFrame:
     """Two k-means steps from the fixed start."""
-    once = settle(ivf.lloyd_step(t.base, start_centroids(t)))
-    return settle(ivf.lloyd_step(t.base, once))
+    first = t.once("first_centroids", lambda _: ivf.lloyd_step(t.base, start_centroids(t)))
+    return t.once("centroids", lambda _: ivf.lloyd_step(t.base, first))
 
 
 def quantised(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -135,13 +135,13 @@ def q_lsh_hash(t):
 
 
 def _bucket_rows(df: DataFrame) -> DataFrame:
-    return df.select("query_id", "tbl", F.substring_index("key", ":", -1).alias("code"), "members")
+    return df.select("query_id", "tbl", lsh.code_text(F.col("key")).alias("code"), "members")
 
 
 @query("bucket_index", sql.select(sql.lsh_ctes(4.0), "SELECT tbl, code, members, first_id FROM buckets"))
 def q_bucket_index(t):
     return lsh.lsh_buckets(lsh.lsh_index(t.base, LSH)).select(
-        "tbl", F.substring_index("key", ":", -1).alias("code"), "members", F.col("first_ord").alias("first_id"))
+        "tbl", lsh.code_text(F.col("key")).alias("code"), "members", F.col("first_ord").alias("first_id"))
 
 
 @query("lsh_bucket_join", sql.select(sql.lsh_ctes(4.0, radius=0), "SELECT query_id, tbl, code, members FROM probed"))
