@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HashTable, dimension, hash_params
-from .common import settle
+from .common import SMALL_CENTROID_ROWS, settle
 from .exact import knn_exact
 from .kernels import matrix
 from .keyed import search_keyed
@@ -70,17 +70,29 @@ def cube_members(base: DataFrame, p: CubeParams, salts: int = 64) -> DataFrame:
 
     A query stops after ``max_checked`` rows, so only the first ``max_checked`` rows of a vertex
     (in insertion order) matter: at most ``2^k * max_checked`` rows whatever the base size. The
-    ranking runs on (vertex, salt) first, so a vertex holding a large share of the base is never
-    sorted in one task.
+    last insertion number of each vertex is found on narrow rows: every task keeps its own first
+    rows per vertex (map-side group limit), groups of tasks are merged first and the vertex last,
+    so a vertex holding a large share of the base never meets in one task. Vectors are only moved
+    for the rows that stay.
     """
     order = "ord" if "ord" in base.columns else "id"
-    placed = cube_vertices(base, p).withColumn("salt", F.pmod(F.xxhash64(order), F.lit(salts)))
-    within = Window.partitionBy("vertex", "salt").orderBy(order)
-    whole = Window.partitionBy("vertex").orderBy(order)
+    at = cube_vertices(base, p)
+    group = Window.partitionBy("vertex", "salt").orderBy("at")
+    whole = Window.partitionBy("vertex").orderBy("at")
+    few = F.col("place") <= p.max_checked
+    last = (
+        at.select("vertex", F.col(order).alias("at"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
+        .withColumn("place", F.row_number().over(group)).where(few).select("vertex", "at")
+        .withColumn("place", F.row_number().over(whole)).where(few)
+        .groupBy("vertex").agg(F.max("at").alias("last"))
+    )
+    if 2 ** p.k <= SMALL_CENTROID_ROWS:  # one row per vertex
+        last = F.broadcast(last)
+    within = Window.partitionBy("vertex").orderBy(order)
     return (
-        placed.withColumn("pos", F.row_number().over(within)).where(F.col("pos") <= p.max_checked)
-        .withColumn("pos", F.row_number().over(whole).cast("bigint"))
-        .where(F.col("pos") <= p.max_checked).drop("salt")
+        at.join(last, "vertex").where(F.col(order) <= F.col("last")).drop("last")
+        .withColumn("pos", F.row_number().over(within).cast("bigint"))
+        .where(F.col("pos") <= p.max_checked)
     )
 
 

@@ -16,7 +16,7 @@ PAIR_CHUNK = 200_000
 
 
 def matrix(column) -> np.ndarray:
-    """Arrow list column -> float64 matrix; every list must have the same length."""
+    """Arrow list column -> matrix (4- or 8-byte floats); every list must have the same length."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
@@ -30,7 +30,10 @@ def matrix(column) -> np.ndarray:
     lengths = np.diff(column.offsets.to_numpy())
     if lengths.size and lengths.min() != lengths.max():
         raise ValueError("vectors must have one common length")
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(rows, -1)
+    values = flat.to_numpy(zero_copy_only=False)
+    if values.dtype != np.float32:
+        values = values.astype(np.float64, copy=False)
+    return values.reshape(rows, -1)
 
 
 def id_values(column) -> np.ndarray:
@@ -42,44 +45,84 @@ def id_values(column) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=str)
 
 
+def without_spare_copies(rows: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """Positions to score: of equal rows only those with the ``n`` lowest ids.
+
+    Equal rows are equally far from every query and ties go to the lower id, so no other copy can
+    be among the ``n`` nearest. Without this, copies of one vector would all tie at the cut.
+    """
+    if len(rows) <= n:
+        return np.arange(len(rows))
+    mark = rows @ np.random.default_rng(0).normal(size=rows.shape[1])
+    order = np.lexsort((ids, mark))
+    close = mark[order[1:]] == mark[order[:-1]]
+    if close.sum() < n:
+        return np.arange(len(rows))
+    equal = np.zeros(len(rows), dtype=bool)
+    spots = np.nonzero(close)[0]
+    equal[spots + 1] = (rows[order[spots + 1]] == rows[order[spots]]).all(axis=1)
+    starts = np.maximum.accumulate(np.where(equal, 0, np.arange(len(rows))))
+    return np.sort(order[np.arange(len(rows)) - starts < n])
+
+
 def exact_sq(queries: np.ndarray, base: np.ndarray, q: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distance of the listed (query row, base row) pairs, from differences."""
     out = np.empty(len(q))
     for lo in range(0, len(q), PAIR_CHUNK):
-        diff = base[b[lo:lo + PAIR_CHUNK]] - queries[q[lo:lo + PAIR_CHUNK]]
+        diff = base[b[lo:lo + PAIR_CHUNK]].astype(np.float64) - queries[q[lo:lo + PAIR_CHUNK]]
         out[lo:lo + PAIR_CHUNK] = np.einsum("ij,ij->i", diff, diff)
     return out
 
 
-def _best_columns(scores: np.ndarray, n: int | None, bound, slack) -> tuple[np.ndarray, np.ndarray]:
-    """Positions that can still be among the ``n`` smallest of their row."""
-    limit = np.asarray(bound, dtype=np.float64)
+def _best_columns(scores: np.ndarray, n: int | None, bound, spread=None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions that can still be among the ``n`` smallest of their row.
+
+    ``scores`` are lower bounds of the true values, at most ``spread(rows)`` below them.
+    """
+    limit = np.asarray(bound, dtype=np.float64).astype(scores.dtype)
+    # Rounding the limit must not push a tie out.
+    limit = np.nextafter(limit, np.array(np.inf, dtype=scores.dtype))
+    keep = scores <= limit[:, None]
     if n is not None and scores.shape[1] > n:
-        limit = np.minimum(limit, np.partition(scores, n - 1, axis=1)[:, n - 1])
-    keep = scores <= (limit + slack)[:, None]
+        # The bound of earlier blocks usually leaves few; select only where it does not.
+        crowded = np.nonzero(np.count_nonzero(keep, axis=1) > 4 * n)[0]
+        if len(crowded):
+            part = scores[crowded]
+            upper = part if spread is None else part + spread(crowded)
+            keep[crowded] &= part <= np.partition(upper, n - 1, axis=1)[:, n - 1:n]
     return np.nonzero(keep & np.isfinite(scores))
 
 
 class FlatScorer:
-    """Exact Euclidean scoring: a matrix product selects, differences decide."""
+    """Exact Euclidean scoring: a 4-byte matrix product selects, 8-byte differences decide."""
 
     def pairs(self, key, queries, base, n, bound, visible=None):
         """-> (query row, base row, squared distance) of the pairs worth keeping."""
         if queries.shape[1] != base.shape[1]:
             raise ValueError("queries and base vectors must have one common length")
         found = []
-        q_norm = np.einsum("ij,ij->i", queries, queries)
+        # Distances do not change when both sides move; small norms keep the product accurate.
+        shift = queries.mean(axis=0)
+        near_q = (queries - shift).astype(np.float32)
+        margin = np.float32((queries.shape[1] + 16) * np.finfo(np.float32).eps)
+        q_norm = np.einsum("ij,ij->i", near_q, near_q)
         step = max(1, BLOCK_CELLS // max(1, len(queries)))
         for lo in range(0, len(base), step):
             part = base[lo:lo + step]
-            b_norm = np.einsum("ij,ij->i", part, part)
-            scores = q_norm[:, None] + b_norm[None, :] - 2.0 * (queries @ part.T)
+            near_b = (part - shift).astype(np.float32)
+            b_norm = np.einsum("ij,ij->i", near_b, near_b)
+            scores = near_q @ near_b.T
+            scores *= -2
+            scores += (q_norm * (1 - margin))[:, None]
+            scores += (b_norm * (1 - margin))[None, :]
             if visible is not None:
                 scores[~visible[:, lo:lo + step]] = np.inf
-            slack = 1e-9 * (q_norm + b_norm.max(initial=0.0)) + 1e-12
-            q, b = _best_columns(scores, n, bound, slack)
-            d2 = exact_sq(queries, part, q, b)
-            found.append((q, b + lo, d2))
+
+            def spread(rows, b_norm=b_norm):
+                return 2 * margin * (q_norm[rows, None] + b_norm[None, :])
+
+            q, b = _best_columns(scores, n, bound, spread)
+            found.append((q, b + lo, exact_sq(queries, part, q, b)))
         if len(found) == 1:
             return found[0]
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -110,7 +153,7 @@ class AdcScorer:
                     scores = scores + table[:, j, part[:, j]]
                 if visible is not None:
                     scores[~visible[qlo:qlo + q_step, lo:lo + step]] = np.inf
-                q, b = _best_columns(scores, n, bound[qlo:qlo + q_step], 0.0)
+                q, b = _best_columns(scores, n, bound[qlo:qlo + q_step])
                 found.append((q + qlo, b + lo, scores[q, b]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 

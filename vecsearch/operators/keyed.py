@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SMALL_PROBE_ROWS, SMALL_QUERY_ROWS, fetch_if_small, top_n, type_of
-from .kernels import BestN, FlatScorer, id_values, matrix
+from .kernels import BestN, FlatScorer, id_values, matrix, without_spare_copies
 
 BASE_BLOCK_ROWS = 50_000
 QUERY_BLOCK_ROWS = 2_000
@@ -96,7 +96,8 @@ def _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys) -> Data
     q_ids = id_values(q_table["query_id"])
     q_order = np.argsort(q_ids, kind="stable")
     q_ids = q_ids[q_order]
-    q_vecs = matrix(q_table["query_vec"])[q_order] if len(q_ids) else np.zeros((0, 0))
+    q_vecs = (matrix(q_table["query_vec"]).astype(np.float64)[q_order] if len(q_ids)
+              else np.zeros((0, 0)))
     key_codes = p_table["key"].combine_chunks().dictionary_encode()
     rows = np.searchsorted(q_ids, id_values(p_table["query_id"]))
     takes = (p_table["take"].to_numpy() if "take" in p_table.column_names else None)
@@ -127,6 +128,8 @@ def _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys) -> Data
                 if key not in probe_map:
                     continue
                 who, take = probe_map[key]
+                if take is None and n is not None:
+                    members = members[without_spare_copies(vecs[members], ids[members], n)]
                 visible = None if take is None else pos[members][None, :] <= take[:, None]
                 bound = best.bound[who] if radius is None else np.full(len(who), radius ** 2)
                 q, b, d2 = scorer.pairs(key, q_vecs[who], vecs[members], n, bound, visible)
@@ -177,13 +180,15 @@ def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -
     text = F.hex("key") if type_of(by_key, "key") == "binary" else F.col("key")
     block = F.concat_ws("|", text, F.col("salt").cast("string"), F.col("q_salt").cast("string"))
     no_cap = F.lit(None).cast("bigint")
+    wide = "array<double>" in (type_of(by_key, "embedding"), type_of(queries, "query_vec"))
+    vec_type = "array<double>" if wide else "array<float>"
     left = (
         by_key.join(splits, "key", "left")
         .withColumn("salt", F.pmod(F.xxhash64("id"), parts))
         .withColumn("q_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), q_parts - 1)))
         .select(block.alias("block"), "key", F.lit(1).alias("side"),
                 F.lit(None).cast(type_of(queries, "query_id")).alias("query_id"), "id",
-                F.col("embedding").cast("array<double>").alias("vec"),
+                F.col("embedding").cast(vec_type).alias("vec"),
                 (F.col("pos").cast("bigint") if capped else no_cap).alias("cap"))
     )
     right = (
@@ -193,7 +198,7 @@ def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
         .select(block.alias("block"), "key", F.lit(0).alias("side"), "query_id",
                 F.lit(None).cast(type_of(base, "id")).alias("id"),
-                F.col("query_vec").cast("array<double>").alias("vec"),
+                F.col("query_vec").cast(vec_type).alias("vec"),
                 (F.col("take").cast("bigint") if capped else no_cap).alias("cap"))
     )
 
@@ -223,13 +228,16 @@ def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -
                     best = BestN(len(q_ids), n)
                 at, size = lo + n_q, hi - lo - n_q
                 ids = id_values(batch.column("id").slice(at, size))
+                vecs = matrix(batch.column("vec").slice(at, size))
                 visible = None
+                if not capped and n is not None:
+                    kept = without_spare_copies(vecs, ids, n)
+                    ids, vecs = ids[kept], vecs[kept]
                 if capped:
                     pos = batch.column("cap").slice(at, size).to_numpy(zero_copy_only=False)
                     visible = pos[None, :] <= takes[:, None]
                 bound = best.bound if radius is None else np.full(len(q_ids), radius ** 2)
-                q, b, d2 = scorer.pairs(key, q_vecs, matrix(batch.column("vec").slice(at, size)),
-                                        n, bound, visible)
+                q, b, d2 = scorer.pairs(key, q_vecs, vecs, n, bound, visible)
                 if radius is not None:
                     q, b, d2 = _within(q, b, d2, radius)
                 best.add(q, d2, ids[b])

@@ -23,7 +23,7 @@ EmbedFn = Callable[[list[str]], np.ndarray]
 
 def residue_filter(df: DataFrame, alphabet: str = RESIDUES) -> DataFrame:
     """Delete every character outside the alphabet (case matters); rows stay."""
-    return df.withColumn("seq", F.regexp_replace("seq", f"[^{alphabet}]", ""))
+    return df.withColumn("seq", F.regexp_replace("seq", f"[^{alphabet}]+", ""))
 
 
 def drop_empty(df: DataFrame) -> DataFrame:
