@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import arrow_column
 from ..operators.kernels import matrix
 
 
@@ -42,7 +43,7 @@ def projection_codes(vector: Column, params: list[HashTable], w: float) -> Colum
     v = np.concatenate([p.v for p in params]).T
     t = np.concatenate([p.t for p in params])
 
-    @F.arrow_udf("array<int>")
+    @arrow_column("array<int>")
     def codes(batch: pa.Array) -> pa.Array:
         width = len(t)
         if len(batch) == 0:

@@ -18,12 +18,27 @@ SMALL_CENTROID_ROWS = 16_384
 SMALL_BYTES = 256 * 1024 * 1024
 
 
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's own size estimate of a plan, None where it cannot be had."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return None
+
+
+def _looks_small(df: DataFrame) -> bool:
+    size = _estimated_bytes(df)
+    return size is not None and size <= SMALL_BYTES
+
+
 def fetch_if_small(df: DataFrame, max_rows: int) -> pa.Table | None:
     """The rows of ``df`` if there are at most ``max_rows`` of them, else None.
 
-    Reads at most ``max_rows + 1`` rows to the driver, so the bound is checked on the data itself
-    and not on an estimate.
+    The bound is proven on the data: never more than ``max_rows + 1`` rows are fetched. The plan's
+    size estimate only decides whether a row count (which moves nothing) comes first.
     """
+    if not _looks_small(df) and df.count() > max_rows:
+        return None
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows > max_rows or table.nbytes > SMALL_BYTES:
         return None
@@ -36,9 +51,10 @@ def settle(df: DataFrame, max_rows: int = SMALL_PROBE_ROWS) -> DataFrame:
     A result proven small becomes a local relation; any other is written to the shared scratch
     folder, which also cuts the lineage and survives the loss of executors.
     """
-    table = fetch_if_small(df, max_rows)
-    if table is not None:
-        return df.sparkSession.createDataFrame(table, df.schema)
+    if _looks_small(df):
+        table = fetch_if_small(df, max_rows)
+        if table is not None:
+            return df.sparkSession.createDataFrame(table, df.schema)
     path = scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -55,6 +71,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def arrow_column(return_type: str):
+    """Arrow UDF decorator for costly functions.
+
+    Marked non-deterministic so that Catalyst never copies the call into the null filters it
+    derives from joins and explodes, which would run the function twice per row.
+    """
+    return lambda fn: F.arrow_udf(fn, returnType=return_type).asNondeterministic()
+
+
 def rank_within(df: DataFrame, by, order) -> DataFrame:
     """1-based ``rank`` (BIGINT) within ``by``."""
     window = Window.partitionBy(*by).orderBy(*order)

@@ -73,16 +73,13 @@ def recall(neighbors: DataFrame, truth: DataFrame, queries: DataFrame, n: int,
 
     Every query appears for every method, found or not.
     """
-    spark = neighbors.sparkSession
-    names = (spark.createDataFrame([(m,) for m in methods], "method string") if methods
-             else neighbors.select("method").distinct())
+    if methods is None:  # one name per search function
+        methods = sorted(r["method"] for r in neighbors.select("method").distinct().collect())
     sizes = truth.groupBy(F.col("query").alias("query_id")).agg(F.count("*").alias("truth_size"))
     good = hits_in_truth(neighbors.where(F.col("rank") <= n), truth).groupBy(
         "method", "query_id").agg(F.count("*").alias("hits"))
-    # ``names`` has one row per search method.
     frame = queries.select("query_id").join(sizes, "query_id", "left").withColumn(
-        "method", F.explode(F.array(*[F.lit(m) for m in methods]))) if methods else (
-        queries.select("query_id").join(sizes, "query_id", "left").join(F.broadcast(names)))
+        "method", F.explode(F.lit(methods).cast("array<string>")))
     joined = frame.join(good, ["method", "query_id"], "left")
     size, hits = F.coalesce("truth_size", F.lit(0)), F.coalesce("hits", F.lit(0))
     score = F.when(size > 0, hits / F.least(F.lit(n), size)).otherwise(0.0)
@@ -124,9 +121,8 @@ def method_summary(scored: DataFrame, timings: DataFrame | None = None) -> DataF
 
 def run_summary(scored: DataFrame, base: DataFrame, total_seconds: float | None = None) -> DataFrame:
     """Closing figures per method: n_queries, db_size, avg_recall [, total_time, total_qps]."""
-    size = base.agg(F.count("*").alias("db_size"))
-    # ``size`` is a single aggregate row.
-    out = method_summary(scored).select("method", "n_queries", "avg_recall").join(F.broadcast(size))
+    out = method_summary(scored).select("method", "n_queries", "avg_recall",
+                                        base.agg(F.count("*")).scalar().alias("db_size"))
     if total_seconds is not None:
         out = out.withColumn("total_time", F.lit(total_seconds)).withColumn(
             "total_qps", F.col("n_queries") / F.lit(total_seconds) if total_seconds > 0 else F.lit(0.0))

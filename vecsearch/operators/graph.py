@@ -78,8 +78,7 @@ def graph_counts(edges: DataFrame) -> DataFrame:
     ends = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().agg(
         F.count("*").alias("n_nodes"))
     pairs = edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-    # Both sides are single aggregate rows.
-    return ends.join(F.broadcast(pairs.distinct().agg(F.count("*").alias("n_edges"))))
+    return ends.select("n_nodes", pairs.distinct().agg(F.count("*")).scalar().alias("n_edges"))
 
 
 def sample_subgraph(edges: DataFrame, max_nodes: int, seed: int = 42, sampling: str = "hash") -> DataFrame:

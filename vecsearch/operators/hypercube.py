@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HashTable, dimension, hash_params
-from .common import SMALL_CENTROID_ROWS, settle
+from .common import SMALL_CENTROID_ROWS, arrow_column, settle
 from .exact import knn_exact
 from .kernels import matrix
 from .keyed import search_keyed
@@ -31,7 +31,7 @@ def vertex_column(vector: Column, params: HashTable, w: float) -> Column:
     v, t = params.v.T, params.t
     weights = 1 << np.arange(len(t), dtype=np.int64)[::-1]
 
-    @F.arrow_udf("bigint")
+    @arrow_column("bigint")
     def vertex(batch: pa.Array) -> pa.Array:
         if len(batch) == 0:
             return pa.array([], type=pa.int64())

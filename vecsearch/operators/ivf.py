@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from .common import SMALL_CENTROID_ROWS, fetch_if_small
+from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small
 from .exact import knn_exact
 from .kernels import id_values, matrix, nearest_rows
 from .keyed import search_keyed
@@ -58,7 +58,7 @@ def nearest_cells(df: DataFrame, id_col: str, vec_col: str, centroids: DataFrame
     order = np.argsort(labels)
     shared = df.sparkSession.sparkContext.broadcast((matrix(table["centroid"])[order], labels[order]))
 
-    @F.arrow_udf("array<int>")
+    @arrow_column("array<int>")
     def cells(batch: pa.Array) -> pa.Array:
         if len(batch) == 0:
             return pa.array([], type=pa.list_(pa.int32()))
@@ -91,7 +91,7 @@ def lloyd_step(base: DataFrame, centroids: DataFrame) -> DataFrame:
 def probe_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
     """The ``nprobe`` nearest cells of each query: query_id, cell."""
     return nearest_cells(queries, "query_id", "query_vec", centroids, nprobe).select(
-        "query_id", F.explode("cells").alias("cell"))
+        "query_id", F.explode_outer("cells").alias("cell"))
 
 
 def cell_sizes(assigned: DataFrame, by: str = "cell") -> DataFrame:
@@ -106,7 +106,7 @@ def cell_candidates(probes: DataFrame, assigned: DataFrame, by: str = "cell") ->
 
 def keyed_by(assigned: DataFrame, by: str = "cell", vector: str = "embedding") -> DataFrame:
     """id, embedding, keys form of a table grouped by one column."""
-    return assigned.select("id", F.col(vector).alias("embedding"),
+    return assigned.select("id", by, F.col(vector).alias("embedding"),
                            F.array(F.col(by).cast("string")).alias("keys"))
 
 
@@ -114,7 +114,7 @@ def search_cells(assigned: DataFrame, probes: DataFrame, queries: DataFrame, n:
                  by: str = "cell", vector: str = "embedding", **how) -> DataFrame:
     """Top ``n`` (or all within ``radius=``) among the rows of the probed cells."""
     keys = probes.select("query_id", F.col(by).cast("string").alias("key"))
-    return search_keyed(keyed_by(assigned, by, vector), keys, queries, n, **how)
+    return search_keyed(keyed_by(assigned, by, vector), keys, queries, n, key_column=by, **how)
 
 
 def search_ivfflat(base: DataFrame, queries: DataFrame, n: int, p: IvfParams = IvfParams(),

@@ -24,12 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SMALL_PROBE_ROWS, SMALL_QUERY_ROWS, fetch_if_small, top_n, type_of
+from .common import SMALL_PROBE_ROWS, SMALL_QUERY_ROWS, fetch_if_small, settle, top_n, type_of
 from .kernels import BestN, FlatScorer, id_values, matrix, without_spare_copies
 
 BASE_BLOCK_ROWS = 50_000
 QUERY_BLOCK_ROWS = 2_000
 ANY_KEY = ""
+# Up to this many distinct keys are pushed into the scan as a filter.
+MAX_FILTER_KEYS = 1_000
 
 
 def search_keyed(
@@ -41,6 +43,7 @@ def search_keyed(
     radius: float | None = None,
     scorer=None,
     many_keys: bool = False,
+    key_column: str | None = None,
     strategy: str = "auto",
     base_block: int = BASE_BLOCK_ROWS,
     query_block: int = QUERY_BLOCK_ROWS,
@@ -49,6 +52,8 @@ def search_keyed(
 
     ``base``: id, embedding, keys ARRAY<STRING or BINARY> [, pos]; ``probes``: query_id, key [, take];
     ``queries``: query_id, query_vec. With ``pos``/``take`` a probe sees only rows ``pos <= take``.
+    ``key_column`` names a base column equal to the (single) key: few probed keys then filter the
+    base at the source, so a table partitioned by that column is read in part only.
     ``many_keys`` says that a base row can be met through several keys (duplicates are removed).
     """
     scorer = scorer or FlatScorer()
@@ -57,6 +62,8 @@ def search_keyed(
         q_table = fetch_if_small(queries.select("query_id", "query_vec"), SMALL_QUERY_ROWS)
         p_table = fetch_if_small(probes, SMALL_PROBE_ROWS) if q_table is not None else None
         if p_table is not None:
+            if key_column:
+                base = _only_probed(base, p_table, key_column)
             winners = _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys)
         elif strategy == "scan":
             raise ValueError("query side too large for the scan strategy")
@@ -70,6 +77,14 @@ def search_keyed(
     return top_n(winners, n)
 
 
+def _only_probed(base: DataFrame, p_table: pa.Table, key_column: str) -> DataFrame:
+    keys = pc.unique(p_table["key"])
+    if len(keys) > MAX_FILTER_KEYS:
+        return base
+    kind = type_of(base, key_column)
+    return base.where(F.col(key_column).isin([F.lit(k).cast(kind) for k in keys.to_pylist()]))
+
+
 def _out_schema(base: DataFrame, queries: DataFrame) -> str:
     return (f"query_id {type_of(queries, 'query_id')}, neighbor_id {type_of(base, 'id')}, "
             "distance double")
@@ -164,10 +179,11 @@ def _key_groups(keys) -> Iterator[tuple[str, np.ndarray]]:
 
 def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -> DataFrame:
     capped = "take" in probes.columns
-    by_key = base.select("id", "embedding", F.explode("keys").alias("key"),
+    # Outer: a plain explode would add a filter that runs the Python key function a second time.
+    by_key = base.select("id", "embedding", F.explode_outer("keys").alias("key"),
                          *(["pos"] if capped else []))
     # Only keys above one block get an entry, so this table stays at most rows / block long.
-    splits = (
+    splits = settle(
         by_key.groupBy("key").agg(F.ceil(F.count("*") / base_block).alias("parts"))
         .where("parts > 1")
         .join(probes.groupBy("key").agg(F.ceil(F.count("*") / query_block).alias("q_parts"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HashTable, dimension, hash_params, projection_codes
-from .common import settle, type_of
+from .common import arrow_column, settle, type_of
 from .kernels import matrix
 from .keyed import search_keyed
 
@@ -49,7 +49,7 @@ def _hashes(vectors: np.ndarray, params: list[HashTable], w: float) -> np.ndarra
 
 def code_text(key: Column) -> Column:
     """Readable form of a bucket key: the hash values joined by commas."""
-    @F.arrow_udf("string")
+    @arrow_column("string")
     def text(keys: pa.Array) -> pa.Array:
         return pa.array([",".join(map(str, np.frombuffer(b, dtype="<i4")[1:])) for b in keys.to_pylist()],
                         type=pa.string())
@@ -61,7 +61,7 @@ def lsh_index(base: DataFrame, p: LshParams, dim: int | None = None) -> DataFram
     """The input with ``keys``, one binary bucket key per table; one row per vector."""
     params = hash_params(dim or dimension(base), p.k, p.tables, p.w, p.seed)
 
-    @F.arrow_udf("array<binary>")
+    @arrow_column("array<binary>")
     def keys(batch: pa.Array) -> pa.Array:
         if len(batch) == 0:
             return pa.array([], type=pa.list_(pa.binary()))
@@ -78,14 +78,14 @@ def lsh_codes(df: DataFrame, p: LshParams) -> DataFrame:
     codes = projection_codes(F.col("embedding"), params, p.w)
     parts = F.array(*[F.array_join(F.slice("codes", t * p.k + 1, p.k).cast("array<string>"), ",")
                       for t in range(p.tables)])
-    return df.select("id", codes.alias("codes")).select("id", F.posexplode(parts).alias("tbl", "code"))
+    return df.select("id", codes.alias("codes")).select("id", F.posexplode_outer(parts).alias("tbl", "code"))
 
 
 def lsh_buckets(index: DataFrame) -> DataFrame:
     """Bucket sizes and first insertion position: tbl, key, members, first_ord."""
     order = "ord" if "ord" in index.columns else "id"
     return (
-        index.select(F.col(order).alias("ord"), F.posexplode("keys").alias("tbl", "key"))
+        index.select(F.col(order).alias("ord"), F.posexplode_outer("keys").alias("tbl", "key"))
         .groupBy("tbl", "key")
         .agg(F.count("*").alias("members"), F.min("ord").alias("first_ord"))
     )
@@ -152,49 +152,63 @@ def lsh_fallback(index: DataFrame, queries: DataFrame, probes: DataFrame, bucket
     ``10n``, so it reads one prefix shared by all queries; and after the first table a walk has
     either reached ``10n`` or holds everything, so later tables contribute their first bucket.
     """
+    nothing = probes.limit(0)
     if p.tables // 2 == 0:
-        return probes.limit(0)
+        return nothing
     budget = 10 * n
-    short = short_queries(queries, probes, n)
+    short = settle(short_queries(queries, probes, n))
     # At most 2n members per table and query from here on. A bucket of 2n or more cannot occur
     # behind a short query, so only small buckets take part in the join.
-    members = index.select("id", F.col("keys")[0].alias("first_key"), F.explode("keys").alias("key"))
-    found = (
+    members = index.select("id", F.col("keys")[0].alias("first_key"), F.explode_outer("keys").alias("key"))
+    found = settle(
         probes.join(short, "query_id", "left_semi").select("query_id", "key")
         .join(members, "key")
         .select("query_id", "id", "first_key").distinct()
     )
     counted = short.join(found.groupBy("query_id").agg(F.count("*").alias("have")), "query_id", "left")
-    thin = counted.select("query_id", F.coalesce("have", F.lit(0)).alias("have")).where(
-        F.col("have") < 2 * n)
-
-    by_age = Window.partitionBy("tbl").orderBy("first_ord")
-    walk = (
-        buckets.where(F.col("tbl") < p.tables // 2)
-        .withColumn("place", F.row_number().over(by_age)).where(F.col("place") <= budget)
-        .withColumn("before", F.sum("members").over(
-            by_age.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("members"))
-        .where((F.col("before") < budget) & ((F.col("tbl") == 0) | (F.col("place") == 1)))
+    thin = settle(counted.select("query_id", F.coalesce("have", F.lit(0)).alias("have")).where(
+        F.col("have") < 2 * n))
+
+    # Both lists are short whatever the base size: a distributed top 10n, and one row per table.
+    oldest = buckets.where("tbl = 0").orderBy("first_ord").limit(budget).select("key", "members")
+    walk, reached = [], 0
+    for bucket in oldest.collect():
+        if reached < budget:
+            walk.append(bucket)
+        reached += bucket["members"]
+    heads = (
+        buckets.where((F.col("tbl") > 0) & (F.col("tbl") < p.tables // 2)).groupBy("tbl")
+        .agg(F.min_by(F.struct("key", "members"), "first_ord").alias("b"))
+        .select("tbl", "b.key", "b.members").collect()
     )
-    first = walk.where("tbl = 0").select("key", "place", "members")
+
+    if not walk:
+        return nothing
+
+    def each(rows: list[dict]) -> Column:
+        """The listed buckets as one exploded array constant."""
+        columns = {"tbl": [r["tbl"] for r in rows], "place": list(range(1, len(rows) + 1)),
+                   "key": [bytes(r["key"]).hex() for r in rows], "members": [r["members"] for r in rows]}
+        return F.explode(F.arrays_zip(*[F.lit(v).alias(c) for c, v in columns.items()]))
+
     known = (
         found.join(thin, "query_id", "left_semi")
         .groupBy("query_id", F.col("first_key").alias("key")).agg(F.count("*").alias("known"))
     )
     along = Window.partitionBy("query_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     stepped = (
-        # ``walk`` holds at most 10n rows per table, so every thin query meets a bounded list.
-        thin.withColumn("tbl", F.lit(0))
-        .join(first.withColumn("tbl", F.lit(0)), "tbl")
+        thin.select("query_id", "have", each([{"tbl": 0, **b.asDict()} for b in walk]).alias("s"))
+        .select("query_id", "have", F.unhex("s.key").alias("key"), "s.tbl", "s.place", "s.members")
         .join(known, ["query_id", "key"], "left")
         .withColumn("new", F.col("members") - F.coalesce("known", F.lit(0)))
         .withColumn("total", F.col("have") + F.coalesce(F.sum("new").over(along), F.lit(0)))
         .where((F.col("total") < budget) | (F.col("place") == 1))
         .select("query_id", "tbl", "key", "members")
     )
-    later = thin.withColumn("place", F.lit(1)).join(
-        walk.where("tbl > 0").select("tbl", "key", "members", "place"), "place"
-    ).select("query_id", "tbl", "key", "members")
+    if not heads:
+        return stepped
+    later = thin.select("query_id", each([h.asDict() for h in heads]).alias("s")).select(
+        "query_id", "s.tbl", F.unhex("s.key").alias("key"), "s.members")
     return stepped.unionByName(later)
 
 

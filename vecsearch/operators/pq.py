@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import dimension
-from .common import SMALL_CENTROID_ROWS, fetch_if_small
+from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small
 from .ivf import assign_nearest, cell_sizes, kmeans, probe_cells, search_cells
 from .kernels import AdcScorer, matrix, nearest_rows
 
@@ -89,7 +89,7 @@ def pq_encode(res: DataFrame, codebook: DataFrame) -> DataFrame:
 def _codes(res: DataFrame, book: np.ndarray) -> Column:
     shared = res.sparkSession.sparkContext.broadcast(book)
 
-    @F.arrow_udf("array<smallint>")
+    @arrow_column("array<smallint>")
     def encode(batch: pa.Array) -> pa.Array:
         if len(batch) == 0:
             return pa.array([], type=pa.list_(pa.int16()))
@@ -118,7 +118,7 @@ def pq_lloyd_step(res: DataFrame, codebook: DataFrame) -> DataFrame:
                            F.slice(padded, i * sub + 1, sub).alias("sub")))
     moved = (
         res.select("residual", _codes(res, book).alias("codes"))
-        .select(F.explode(pieces).alias("p"))
+        .select(F.explode_outer(pieces).alias("p"))
         .groupBy("p.m", "p.code")
         .agg(vector_to_array(Summarizer.mean(array_to_vector("p.sub"))).alias("mean"))
     )
@@ -170,13 +170,13 @@ def search_ivfpq(base: DataFrame, queries: DataFrame, n: int, p: PqParams = PqPa
 
 def pq_stats(codes: DataFrame, codebook: DataFrame, m: int, sub_dim: int) -> DataFrame:
     """Index figures, one row per subspace: m, n_vectors, n_cells, n_subspaces, sub_dim, codes_used."""
-    whole = cell_sizes(codes).agg(F.sum("members").alias("n_vectors"), F.count("*").alias("n_cells"))
+    sizes = cell_sizes(codes)
     used = (
-        codes.select(F.posexplode("codes").alias("m", "code")).groupBy("m", "code").count()
+        codes.select(F.posexplode_outer("codes").alias("m", "code")).groupBy("m", "code").count()
         .groupBy("m").agg(F.count("*").alias("codes_used"))
     )
-    # ``whole`` is a single aggregate row.
-    return codebook.select("m").distinct().join(used, "m", "left").join(F.broadcast(whole)).select(
-        "m", "n_vectors", "n_cells", F.lit(m).cast("bigint").alias("n_subspaces"),
+    return codebook.select("m").distinct().join(used, "m", "left").select(
+        "m", sizes.agg(F.sum("members")).scalar().alias("n_vectors"),
+        sizes.agg(F.count("*")).scalar().alias("n_cells"), F.lit(m).cast("bigint").alias("n_subspaces"),
         F.lit(sub_dim).cast("bigint").alias("sub_dim"),
         F.coalesce("codes_used", F.lit(0)).alias("codes_used"))

@@ -139,12 +139,12 @@ def format_rows(report: DataFrame) -> DataFrame:
 BLOCK = 1_000_000  # line numbers reserved per method block
 
 
-def _fixed(keys: DataFrame, lines: list[tuple[int, Column]], section: int) -> DataFrame:
-    """The same few lines for every row of ``keys``."""
-    rows = F.explode(F.array(*[F.struct(F.lit(no).cast("bigint").alias("line_no"), text.alias("line"))
-                               for no, text in lines]))
-    return keys.select("query_id", F.lit(section).alias("section"), rows.alias("l")).select(
-        "query_id", "section", "l.line_no", "l.line")
+def _fixed(keys: DataFrame, lines: list[tuple[int, int, Column]]) -> DataFrame:
+    """The same (section, line number, text) lines for every row of ``keys``."""
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(section).alias("section"), F.lit(no).cast("bigint").alias("line_no"), text.alias("line"))
+        for section, no, text in lines]))
+    return keys.select("query_id", rows.alias("l")).select("query_id", "l.section", "l.line_no", "l.line")
 
 
 def _position(methods: list[str]) -> Column:
@@ -159,13 +159,14 @@ def report_lines(scored: DataFrame, report: DataFrame, methods: list[str], recal
     """
     queries = scored.select("query_id").distinct()
     text = F.lit
-    head = _fixed(queries, [
-        (1, F.concat(text(QUERY_HEAD), F.col("query_id").cast("string"))),
-        (2, text(SIZE_HEAD % recall_n)), (3, text(""))], 0)
     last = (len(methods) + 2) * BLOCK
-    compare = _fixed(queries, [
-        (1, text(COMPARE_HEAD)), (2, text(SHORT_RULE)), (3, text(METHOD_HEAD)), (4, text(SHORT_RULE)),
-        (last, text(SHORT_RULE)), (last + 1, text(""))], 1)
+    frame = _fixed(queries, [
+        (0, 1, F.concat(text(QUERY_HEAD), F.col("query_id").cast("string"))),
+        (0, 2, text(SIZE_HEAD % recall_n)), (0, 3, text("")),
+        (1, 1, text(COMPARE_HEAD)), (1, 2, text(SHORT_RULE)), (1, 3, text(METHOD_HEAD)),
+        (1, 4, text(SHORT_RULE)), (1, last, text(SHORT_RULE)), (1, last + 1, text("")),
+        (2, 1, text(NEIGHBOR_HEAD % (n, n))), (2, 2, text("")),
+        (3, 1, text(END_RULE)), (3, 2, text(""))])
     known = methods + [REFERENCE_ROW]
     cells = [F.col("method"), F.coalesce(fixed(F.col("seconds"), 3), F.lit("-")),
              F.coalesce(fixed(F.col("qps"), 1), F.lit("-")), fixed(F.col("recall"), 3)]
@@ -181,7 +182,6 @@ def report_lines(scored: DataFrame, report: DataFrame, methods: list[str], recal
             "%-16s | ERROR        | ERROR  | ERROR", F.col("method"))).otherwise(line)
     rows = rows.select("query_id", F.lit(1).alias("section"),
                        (_position(known) * BLOCK).alias("line_no"), line.alias("line"))
-    title = _fixed(queries, [(1, text(NEIGHBOR_HEAD % (n, n))), (2, text(""))], 2)
     placed = report.withColumn("at", _position(methods) * BLOCK)
     blocks = placed.groupBy("query_id", "method", "at").agg(F.max("rank").alias("n"))
     frames = blocks.select("query_id", F.lit(2).alias("section"), "at", F.explode(F.array(
@@ -193,11 +193,7 @@ def report_lines(scored: DataFrame, report: DataFrame, methods: list[str], recal
     )).alias("f")).select("query_id", "section", (F.col("at") + F.col("f.o")).alias("line_no"), "f.line")
     body = format_rows(placed).select("query_id", F.lit(2).alias("section"),
                                       (F.col("at") + 4 + F.col("rank")).alias("line_no"), "line")
-    foot = _fixed(queries, [(1, text(END_RULE)), (2, text(""))], 3)
-    out = head
-    for part in (compare, rows, title, frames, body, foot):
-        out = out.unionByName(part)
-    return out
+    return frame.unionByName(rows).unionByName(frames).unionByName(body)
 
 
 def legacy_lines(neighbors: DataFrame, scored: DataFrame, n: int, methods: list[str],

@@ -63,12 +63,12 @@ def top_truth(t: Tables) -> DataFrame:
 
 
 def scored(t: Tables) -> DataFrame:
-    return evaluate.recall(found(t), top_truth(t), t.queries, RECALL_N, NAMES)
+    return t.once("scored", lambda t: evaluate.recall(found(t), top_truth(t), t.queries, RECALL_N, NAMES))
 
 
 def reported(t: Tables) -> DataFrame:
-    return report.neighbor_report(found(t), top_truth(t), truth.identity_last(good(t)), SHOWN,
-                                  t.annotations, THRESHOLD)
+    return t.once("report", lambda t: report.neighbor_report(
+        found(t), top_truth(t), truth.identity_last(good(t)), SHOWN, t.annotations, THRESHOLD))
 
 
 @query("evalue_filter", sql.select(GOOD, "SELECT query, subject, evalue, hit_seq FROM good"))
