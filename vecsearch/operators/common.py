@@ -18,26 +18,23 @@ SMALL_CENTROID_ROWS = 16_384
 SMALL_BYTES = 256 * 1024 * 1024
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's own size estimate of a plan, None where it cannot be had."""
+def _reads_little(df: DataFrame) -> bool:
+    """Do all tables a plan reads add up to a small size? False where that cannot be told."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
-        return None
-
-
-def _looks_small(df: DataFrame) -> bool:
-    size = _estimated_bytes(df)
-    return size is not None and size <= SMALL_BYTES
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    except AttributeError:  # a remote session has no plan to look at
+        return False
+    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    return sum(int(str(size)) for size in sizes) <= SMALL_BYTES
 
 
 def fetch_if_small(df: DataFrame, max_rows: int) -> pa.Table | None:
     """The rows of ``df`` if there are at most ``max_rows`` of them, else None.
 
-    The bound is proven on the data: never more than ``max_rows + 1`` rows are fetched. The plan's
-    size estimate only decides whether a row count (which moves nothing) comes first.
+    The bound is proven on the data: never more than ``max_rows + 1`` rows are fetched. The size
+    of the input only decides whether a row count (which moves nothing) comes first.
     """
-    if not _looks_small(df) and df.count() > max_rows:
+    if not _reads_little(df) and df.count() > max_rows:
         return None
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows > max_rows or table.nbytes > SMALL_BYTES:
@@ -51,7 +48,7 @@ def settle(df: DataFrame, max_rows: int = SMALL_PROBE_ROWS) -> DataFrame:
     A result proven small becomes a local relation; any other is written to the shared scratch
     folder, which also cuts the lineage and survives the loss of executors.
     """
-    if _looks_small(df):
+    if _reads_little(df):
         table = fetch_if_small(df, max_rows)
         if table is not None:
             return df.sparkSession.createDataFrame(table, df.schema)
