@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -60,11 +61,15 @@ def settle(df: DataFrame, max_rows: int = SMALL_PROBE_ROWS) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint directory.
 
-    Only when the session names none (tests, local trials) a local temporary folder is used.
+    Only when the session names none and runs in one local process (tests, trials) a temporary folder
+    is used; on a cluster every executor would write to its own disk, so that is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="vecsearch-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
