@@ -69,7 +69,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="vecsearch-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
