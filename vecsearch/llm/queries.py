@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .minhash import near_duplicates
 from .packing import pack_documents
 from .token_counts import count_tokens
 
@@ -34,3 +35,29 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(read_table(spark, folder, "documents"), VOCABULARY)
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+           ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
+  FROM w),
+t AS (SELECT doc_id, unnest(sh) AS g FROM s),
+n AS (SELECT doc_id, len(sh)::BIGINT AS n FROM s),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * inter >= 75 * (x.n + y.n - inter)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
+"""
+
+
+@query("op6_minhash", NEAR_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read_table(spark, folder, "documents"))
