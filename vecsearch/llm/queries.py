@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .decontamination import find_overlaps
+from .line_dedup import drop_repeated_lines
 from .minhash import near_duplicates
 from .packing import pack_documents
 from .token_counts import count_tokens
@@ -61,3 +63,31 @@ SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM
 @query("op6_minhash", NEAR_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query("op4_decontamination")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "length", "equal_words")
+
+
+LINES_SQL = r"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+x AS (SELECT doc_id, ls, unnest(range(0, len(ls) - 2)) AS pos FROM l WHERE len(ls) >= 3),
+w AS (SELECT doc_id, pos, [trim(ls[pos + 1]), trim(ls[pos + 2]), trim(ls[pos + 3])] AS g FROM x),
+f AS (SELECT g, min(struct_pack(d := doc_id, p := pos)) AS f FROM w WHERE array_to_string(g, '') <> '' GROUP BY g),
+r AS (SELECT w.doc_id, w.pos FROM w JOIN f USING (g)
+      WHERE (w.doc_id <> f.f.d) OR (w.pos >= f.f.p + 3)),
+c AS (SELECT DISTINCT doc_id, pos + unnest([0, 1, 2]) AS pos FROM r),
+k AS (SELECT l.doc_id, list(y.line ORDER BY y.pos) FILTER (c.pos IS NULL) AS kept, count(c.pos) AS lines_removed
+      FROM l, LATERAL (SELECT unnest(l.ls) AS line, unnest(range(0, len(l.ls))) AS pos) y
+      LEFT JOIN c ON c.doc_id = l.doc_id AND c.pos = y.pos GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(array_to_string(k.kept, chr(10)), '') END AS text,
+       coalesce(k.lines_removed, 0)::BIGINT AS lines_removed
+FROM documents d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op8_line_windows", LINES_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_lines(read_table(spark, folder, "documents")).select("doc_id", "text", "lines_removed")
