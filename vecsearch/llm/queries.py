@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat, language, toxicity
 from .common import read_table
 from .decontamination import find_overlaps
 from .line_dedup import drop_repeated_lines
 from .minhash import near_duplicates
 from .packing import pack_documents
+from .sharding import shard_documents
 from .token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +94,59 @@ FROM documents d LEFT JOIN k USING (doc_id)
 @query("op8_line_windows", LINES_SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(read_table(spark, folder, "documents")).select("doc_id", "text", "lines_removed")
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    found = language.identify(docs, language.train(docs))
+    return found.select("doc_id", (~language.training_part(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    found = toxicity.score_toxicity(docs, toxicity.train(docs, read_table(spark, folder, "labels")))
+    held_out = (~toxicity.training_part(F.col("doc_id"))).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted", "threshold", "rejected")
+
+
+CHAT_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, 8 + length(role) + length(text) + length(text) - length(replace(text, '\', ''))
+    + list_sum(list_transform(['<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>', '<|im_start|>', '<|im_end|>', '<|endoftext|>'],
+        lambda k: (length(text) - length(replace(text, k, ''))) // length(k))) AS size,
+  row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS total FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY n) AS upto FROM e)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(upto) FILTER (role = 'assistant' OR n = total))::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+
+@query("op3_chat_prefixes", CHAT_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    talks = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_examples(talks.unionByName(planted)))
+
+
+SHARD_BYTES = 1 << 20
+SHARD_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+p AS (SELECT doc_id, n_bytes, depth::INTEGER AS depth, h >> (60 - depth) AS pre,
+  sum(n_bytes) OVER w AS shard_bytes, count(*) OVER w AS rows FROM d, generate_series(0, 40) g(depth)
+  WINDOW w AS (PARTITION BY depth, h >> (60 - depth))),
+f AS (SELECT * FROM p WHERE shard_bytes <= {SHARD_BYTES} OR rows = 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(pre), depth, '0') END AS shard, depth, shard_bytes::BIGINT AS shard_bytes FROM f
+"""
+
+
+@query("op2_extendible_shards", SHARD_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(read_table(spark, folder, "documents"), SHARD_BYTES)
