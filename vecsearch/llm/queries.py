@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, toxicity
+from . import chat, language, learned_ann, toxicity
 from .common import read_table
 from .decontamination import find_overlaps
 from .line_dedup import drop_repeated_lines
@@ -150,3 +150,8 @@ SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(pre), depth, '
 @query("op2_extendible_shards", SHARD_SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(read_table(spark, folder, "documents"), SHARD_BYTES)
+
+
+@query("op1_learned_partitions")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return learned_ann.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
