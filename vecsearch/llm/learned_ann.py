@@ -92,7 +92,7 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rng: np.random.
     return part
 
 
-def train_router(x: np.ndarray, k: int, parts: int, recall: float, seed: int, hidden: int = 128, epochs: int = 30) -> Router:
+def train_router(x: np.ndarray, k: int, parts: int, recall: float, seed: int, hidden: int = 128, epochs: int = 15) -> Router:
     """Partitions the sample's graph, fits the network, and finds the number of probes on a held-out tenth."""
     rng = np.random.default_rng(seed)
     dim = x.shape[1]
@@ -161,8 +161,8 @@ def best_of(q: np.ndarray, q_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray,
             np.concatenate(out_s) if out_s else np.zeros(0))
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, part_rows: int = 2048, sample_rows: int = 8192, most_parts: int = 256,
-           recall: float = 0.96, seed: int = 5) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 20, part_rows: int = 512, sample_rows: int = 8192, most_parts: int = 256,
+           recall: float = 0.95, seed: int = 5) -> DataFrame:
     """The ``k`` nearest rows (largest inner product) found for every row of ``vectors`` (vec_id, embedding) that ``is_query`` marks.
 
     Returns query_id, rank (from 1), vec_id, score; nearest first, ties to the smaller vec_id. The router is fitted on at most
