@@ -6,9 +6,11 @@ is estimated by counting equal places, corrected for places equal by chance. Can
 rest is checked on the sets themselves.
 
 No bucket is expanded into its pairs. First every member is compared with the bucket's first one, which joins a group of
-near copies whatever its size. Only where a bucket then still holds several components, the rows outside its main component
-meet the bucket's rows: a pair inside one component can't change the result. At a similarity of 0.75 a pair misses all
-bands with a probability of 5e-6.
+near copies whatever its size; a pair inside one component can't change the result any more. Buckets that then still hold
+several components (texts around a passage that very many share) are finished exactly: shingles are put into one
+order, common ones last, and two texts can only reach the threshold if they share one of their first shingles, at places
+that leave enough behind it. What is common to all of a hot group so never brings its members together.
+At a similarity of 0.75 a pair misses all bands with a probability of 5e-6.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ BANDS, ROWS, BITS = 32, 4, 4
 PLACES = BANDS * ROWS
 PER_LONG = 64 // BITS
 LONGS = PLACES // PER_LONG
+SLOTS = 1 << 20
 GROUP = 64  # texts confirmed together with their centre in one task call
 _STEP = 8192
 _SEEDS = np.random.default_rng(11).integers(0, 2**31, (2, PLACES), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -92,13 +95,12 @@ def estimate(a: Column, b: Column) -> Column:
     return ((F.lit(1.0) - differ / PLACES) - chance) / (1 - chance)
 
 
-def near(left: str, right: str, percent: int) -> Column:
-    """Can this pair reach the threshold? By set sizes surely, by the estimate but for five standard deviations."""
+def near(percent: int) -> Column:
+    """Can the pair (x, y) reach the threshold? By set sizes surely, by the estimate but for five standard deviations."""
     p = percent / 100
     least = p - 5 * (p * (1 - p) / PLACES) ** 0.5
-    a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (
-        estimate(F.col(f"{left}.packed"), F.col(f"{right}.packed")) >= least)
+    a, b = F.col("x.n"), F.col("y.n")
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (estimate(F.col("x.packed"), F.col("y.packed")) >= least)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Stored:
@@ -132,6 +134,47 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def prefix_pairs(texts: DataFrame, placed: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components, among the documents ``placed`` (id, component), that may reach the threshold.
+
+    Shingles are ordered by how often their slot of a histogram of fixed size is hit: any order gives all pairs, this one puts
+    common shingles last. Of n shingles the first n - ceil(p n) + 1 must hold one of a partner's.
+    """
+    def sets(batches):
+        for batch in batches:
+            found = [shingle_set(t, size).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("component"), pa.array(found, pa.list_(pa.int64()))],
+                                             ["id", "component", "shingles"])
+
+    some = texts.select(F.col("doc_id").alias("id"), "text").join(placed, "id").select("id", "component", "text")
+    held = Stored(some.mapInArrow(sets, "id long, component long, shingles array<long>"), "shingles")
+    slots = held.df.select(F.explode("shingles").alias("s")).groupBy(F.col("s").bitwiseAND(SLOTS - 1).alias("slot")).count().toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[slots.column("slot").to_numpy()] = slots.column("count").to_numpy()
+
+    def heads(batches):
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for i, component, found in zip(batch.column("id").to_pylist(), batch.column("component").to_pylist(), batch.column("shingles")):
+                s = found.values.to_numpy()
+                n = len(s)
+                first = s[np.lexsort((s, often[s & (SLOTS - 1)]))][:n - -(-percent * n // 100) + 1]
+                for cells, values in zip(out, (first, np.full(len(first), i), np.full(len(first), component), np.arange(len(first)), np.full(len(first), n))):
+                    cells.append(values)
+            arrays = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out]
+            yield pa.RecordBatch.from_arrays(arrays, ["shingle", "id", "component", "at", "n"])
+
+    rows = held.df.mapInArrow(heads, "shingle long, id long, component long, at long, n long")
+    rows = Stored(rows, "heads")
+    x, y = rows.df.alias("x"), rows.df.alias("y")
+    behind = 1 + F.least(F.col("x.n") - 1 - F.col("x.at"), F.col("y.n") - 1 - F.col("y.at"))
+    enough = (100 + percent) * behind >= percent * (F.col("x.n") + F.col("y.n"))
+    alike = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.id") < F.col("y.id"))
+                   & (F.col("x.component") != F.col("y.component")) & alike & enough)
+    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """Component of every document under links of 100 * |A and B| >= ``percent`` * |A or B| of word shingles.
 
@@ -150,30 +193,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     shared = rows.groupBy("key").agg(F.min("id").alias("centre"), F.count("id").alias("members")).where("members > 1")
     crowded = Stored(rows.join(shared, "key"), "crowded")
     signature = classes.df.select("id", "n", "packed")
+    texts = Stored(docs.join(crowded.df.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "candidate_texts")
 
     def candidates(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(signature.select(F.col("id").alias("a"), F.struct("n", "packed").alias("x")), "a")
         with_b = with_a.join(signature.select(F.col("id").alias("b"), F.struct("n", "packed").alias("y")), "b")
-        return with_b.where(near("x", "y", percent)).select("a", "b")
+        return with_b.where(near(percent)).select("a", "b")
 
     stars = crowded.df.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    first = confirmed(candidates(stars), docs, size, percent)
+    first = confirmed(candidates(stars), texts.df, size, percent)
     joined = components(first.df)
 
-    # Buckets of several components: the rows outside the main one against the rows of the bucket.
     placed = crowded.df.where("members > 2").join(joined.df.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.select("key", "centre", "id", F.coalesce("component", "id").alias("component"))
+    placed = placed.select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = Stored(placed.join(mixed.select("key"), "key", "left_semi").join(signature, "id"), "placed")
-    sizes = placed.df.groupBy("key", "component").agg(F.count("id").alias("rows"))
-    main = sizes.groupBy("key").agg(F.max_by("component", F.struct("rows", "component")).alias("main"))
-    outside = placed.df.join(main, "key").where("component <> main").drop("main")
-    x, y = outside.alias("x"), placed.df.alias("y")
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-                   & (F.col("x.id") != F.col("x.centre")) & (F.col("y.id") != F.col("y.centre")) & near("x", "y", percent))
-    cross = cross.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    second = confirmed(cross, docs, size, percent)
-    drop_all([crowded, placed])
+    placed = placed.join(mixed.select("key"), "key", "left_semi").select("id", "component").distinct()
+    second = confirmed(candidates(prefix_pairs(texts.df, placed, size, percent)), texts.df, size, percent)
+    drop_all([crowded, texts])
     if second.df.limit(1).count():
         joined.drop()
         joined = components(first.df.union(second.df))
