@@ -21,7 +21,7 @@ def lines_of(text: Column) -> Column:
 
 def windows(keyed: DataFrame, size: int) -> DataFrame:
     """(doc, th, pos, window): hash of every ``size`` consecutive lines that aren't all blank."""
-    trimmed = F.transform(lines_of(F.col("text")), F.trim)
+    trimmed = F.transform(lines_of(F.col("text")), lambda x: F.trim(x))
     lines = keyed.select("doc", "th", trimmed.alias("lines")).where(F.size("lines") >= size)
     at = lambda i: _hash(*[F.col("lines")[i + k] for k in range(size)])
     blank = lambda i: F.concat(*[F.col("lines")[i + k] for k in range(size)]) == ""
