@@ -288,3 +288,29 @@ def test_ragged_vectors_are_refused(spark):
     queries = spark.createDataFrame([(1, [1.0, 2.0])], "query_id bigint, query_vec array<float>")
     with pytest.raises(Exception, match="common length"):
         knn_exact(base, queries, 1).collect()
+
+
+@pytest.mark.parametrize("strategy", ["scan", "blocks"])
+def test_very_long_vectors_are_all_found(spark, strategy):
+    """Squares beyond 4-byte floats neither vanish nor lose their order."""
+    x = np.array([[k * 1e20, 0.0] for k in range(5)])
+    base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(0, x[0].tolist())], "query_id bigint, query_vec array<double>")
+    got = rows(knn_exact(base, asked, 4, strategy=strategy))
+    assert [i for i, _ in got[0]] == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf")])
+def test_elements_that_are_no_numbers_are_refused(spark, bad):
+    base = spark.createDataFrame([(0, [1.0, bad]), (1, [0.0, 1.0])], "id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(0, [0.0, 0.0])], "query_id bigint, query_vec array<double>")
+    with pytest.raises(Exception, match="finite"):
+        knn_exact(base, asked, 2).collect()
+
+
+@pytest.mark.parametrize("strategy", ["scan", "blocks"])
+def test_repeated_query_ids_are_refused(spark, strategy):
+    base = base_frame(spark, vectors(20))
+    asked = query_frame(spark, vectors(2)).withColumn("query_id", F.lit(1).cast("bigint"))
+    with pytest.raises(Exception, match="unique"):
+        knn_exact(base, asked, 2, strategy=strategy).collect()

@@ -117,7 +117,7 @@ def cube_candidates(members: DataFrame, queries: DataFrame, p: CubeParams) -> Da
 def search_hypercube(base: DataFrame, queries: DataFrame, n: int, p: CubeParams = CubeParams(),
                      members: DataFrame | None = None, **how) -> DataFrame:
     """Approximate top ``n``; queries that reach no row at all are answered exactly."""
-    members = cube_members(base, p) if members is None else members
+    members = settle(cube_members(base, p)) if members is None else members
     index = members.select("id", "embedding", "pos",
                            F.array(F.col("vertex").cast("string")).alias("keys"))
     probes = settle(cube_candidates(members, queries, p).select(

@@ -27,7 +27,7 @@ class IvfParams:
     restarts: int = 10
 
 
-def kmeans(base: DataFrame, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 20) -> DataFrame:
+def kmeans(base: DataFrame, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 300) -> DataFrame:
     """Best of several seeded k-means runs: cell, centroid."""
     points = base.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     points.persist(StorageLevel.MEMORY_AND_DISK)

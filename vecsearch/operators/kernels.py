@@ -13,6 +13,8 @@ import pyarrow as pa
 BLOCK_CELLS = 2_000_000
 # Largest number of surviving pairs whose distance is recomputed in one go.
 PAIR_CHUNK = 200_000
+# Squared distances up to here fit 4-byte floats with room to spare.
+SAFE_SQUARE = 1e37
 
 
 def matrix(column) -> np.ndarray:
@@ -31,6 +33,8 @@ def matrix(column) -> np.ndarray:
     if lengths.size and lengths.min() != lengths.max():
         raise ValueError("vectors must have one common length")
     values = flat.to_numpy(zero_copy_only=False)
+    if values.dtype.kind == "f" and not np.isfinite(values).all():
+        raise ValueError("vectors must have finite elements only")
     if values.dtype != np.float32:
         values = values.astype(np.float64, copy=False)
     return values.reshape(rows, -1)
@@ -74,27 +78,37 @@ def exact_sq(queries: np.ndarray, base: np.ndarray, q: np.ndarray, b: np.ndarray
     return out
 
 
-def _best_columns(scores: np.ndarray, n: int | None, bound, spread=None) -> tuple[np.ndarray, np.ndarray]:
+def _best_columns(scores: np.ndarray, n: int | None, bound, spread=None, visible=None) -> tuple[np.ndarray, np.ndarray]:
     """Positions that can still be among the ``n`` smallest of their row.
 
-    ``scores`` are lower bounds of the true values, at most ``spread(rows)`` below them.
+    ``scores`` are lower bounds of the true values, at most ``spread(rows)`` below them. Only what
+    ``visible`` excludes is left out; a value beyond the number range counts as very far, not as missing.
     """
+    if visible is not None:
+        scores[~visible] = np.inf
     limit = np.asarray(bound, dtype=np.float64).astype(scores.dtype)
     # Rounding the limit must not push a tie out.
     limit = np.nextafter(limit, np.array(np.inf, dtype=scores.dtype))
     keep = scores <= limit[:, None]
+    if visible is not None:
+        keep &= visible
     if n is not None and scores.shape[1] > n:
         # The bound of earlier blocks usually leaves few; select only where it does not.
         crowded = np.nonzero(np.count_nonzero(keep, axis=1) > 4 * n)[0]
         if len(crowded):
             part = scores[crowded]
             upper = part if spread is None else part + spread(crowded)
+            upper[np.isnan(upper)] = np.inf
             keep[crowded] &= part <= np.partition(upper, n - 1, axis=1)[:, n - 1:n]
-    return np.nonzero(keep & np.isfinite(scores))
+    return np.nonzero(keep)
 
 
 class FlatScorer:
-    """Exact Euclidean scoring: a 4-byte matrix product selects, 8-byte differences decide."""
+    """Exact Euclidean scoring: a 4-byte matrix product selects, 8-byte differences decide.
+
+    Blocks whose squared distances would leave the range of 4-byte floats are scored in 8 bytes; beyond
+    that range too, every row is a candidate.
+    """
 
     def pairs(self, key, queries, base, n, bound, visible=None):
         """-> (query row, base row, squared distance) of the pairs worth keeping."""
@@ -103,25 +117,27 @@ class FlatScorer:
         found = []
         # Distances do not change when both sides move; small norms keep the product accurate.
         shift = queries.mean(axis=0)
-        near_q = (queries - shift).astype(np.float32)
-        margin = np.float32((queries.shape[1] + 16) * np.finfo(np.float32).eps)
+        reach = max(np.abs(queries - shift).max(initial=0), np.abs(base - shift).max(initial=0))
+        kind = np.float32 if reach ** 2 * 4 * (queries.shape[1] + 1) < SAFE_SQUARE else np.float64
+        near_q = (queries - shift).astype(kind)
+        margin = kind((queries.shape[1] + 16) * np.finfo(kind).eps)
         q_norm = np.einsum("ij,ij->i", near_q, near_q)
         step = max(1, BLOCK_CELLS // max(1, len(queries)))
         for lo in range(0, len(base), step):
             part = base[lo:lo + step]
-            near_b = (part - shift).astype(np.float32)
+            near_b = (part - shift).astype(kind)
             b_norm = np.einsum("ij,ij->i", near_b, near_b)
             scores = near_q @ near_b.T
             scores *= -2
             scores += (q_norm * (1 - margin))[:, None]
             scores += (b_norm * (1 - margin))[None, :]
-            if visible is not None:
-                scores[~visible[:, lo:lo + step]] = np.inf
+            scores[np.isnan(scores)] = -np.inf
 
             def spread(rows, b_norm=b_norm):
                 return 2 * margin * (q_norm[rows, None] + b_norm[None, :])
 
-            q, b = _best_columns(scores, n, bound, spread)
+            seen = None if visible is None else visible[:, lo:lo + step]
+            q, b = _best_columns(scores, n, bound, spread, seen)
             found.append((q, b + lo, exact_sq(queries, part, q, b)))
         if len(found) == 1:
             return found[0]
@@ -151,9 +167,8 @@ class AdcScorer:
                 scores = table[:, 0, part[:, 0]]
                 for j in range(1, m):
                     scores = scores + table[:, j, part[:, j]]
-                if visible is not None:
-                    scores[~visible[qlo:qlo + q_step, lo:lo + step]] = np.inf
-                q, b = _best_columns(scores, n, bound[qlo:qlo + q_step])
+                seen = None if visible is None else visible[qlo:qlo + q_step, lo:lo + step]
+                q, b = _best_columns(scores, n, bound[qlo:qlo + q_step], None, seen)
                 found.append((q + qlo, b + lo, scores[q, b]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 

@@ -111,6 +111,8 @@ def _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys) -> Data
     q_ids = id_values(q_table["query_id"])
     q_order = np.argsort(q_ids, kind="stable")
     q_ids = q_ids[q_order]
+    if (q_ids[1:] == q_ids[:-1]).any():
+        raise ValueError("query ids are not unique")
     q_vecs = (matrix(q_table["query_vec"]).astype(np.float64)[q_order] if len(q_ids)
               else np.zeros((0, 0)))
     key_codes = p_table["key"].combine_chunks().dictionary_encode()
@@ -179,9 +181,13 @@ def _key_groups(keys) -> Iterator[tuple[str, np.ndarray]]:
 
 def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -> DataFrame:
     capped = "take" in probes.columns
+    if not queries.groupBy("query_id").count().where("count > 1").isEmpty():
+        raise ValueError("query ids are not unique")
     # Outer: a plain explode would add a filter that runs the Python key function a second time.
     by_key = base.select("id", "embedding", F.explode_outer("keys").alias("key"),
                          *(["pos"] if capped else []))
+    # Rows behind keys that nobody asks for don't travel.
+    by_key = by_key.join(probes.select("key").distinct(), "key", "left_semi")
     # Only keys above one block get an entry, so this table stays at most rows / block long.
     splits = settle(
         by_key.groupBy("key").agg(F.ceil(F.count("*") / base_block).alias("parts"))

@@ -168,6 +168,8 @@ def lsh_fallback(index: DataFrame, queries: DataFrame, probes: DataFrame, bucket
     counted = short.join(found.groupBy("query_id").agg(F.count("*").alias("have")), "query_id", "left")
     thin = settle(counted.select("query_id", F.coalesce("have", F.lit(0)).alias("have")).where(
         F.col("have") < 2 * n))
+    if thin.isEmpty():
+        return nothing
 
     # Both lists are short whatever the base size: a distributed top 10n, and one row per table.
     oldest = buckets.where("tbl = 0").orderBy("first_ord").limit(budget).select("key", "members")
@@ -189,7 +191,8 @@ def lsh_fallback(index: DataFrame, queries: DataFrame, probes: DataFrame, bucket
         """The listed buckets as one exploded array constant."""
         columns = {"tbl": [r["tbl"] for r in rows], "place": list(range(1, len(rows) + 1)),
                    "key": [bytes(r["key"]).hex() for r in rows], "members": [r["members"] for r in rows]}
-        return F.explode(F.arrays_zip(*[F.lit(v).alias(c) for c, v in columns.items()]))
+        kinds = {"tbl": "array<int>", "place": "array<int>", "key": "array<string>", "members": "array<bigint>"}
+        return F.explode(F.arrays_zip(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in columns.items()]))
 
     known = (
         found.join(thin, "query_id", "left_semi")
@@ -214,7 +217,7 @@ def lsh_fallback(index: DataFrame, queries: DataFrame, probes: DataFrame, bucket
 
 def lsh_candidates(index: DataFrame, queries: DataFrame, n: int, p: LshParams) -> DataFrame:
     """All buckets a query reads, probed and fallback, each once: query_id, tbl, key, members."""
-    buckets = lsh_buckets(index)
+    buckets = settle(lsh_buckets(index))
     probes = settle(lsh_probes(index, queries, p, buckets=buckets))
     if not p.fallback or short_queries(queries, probes, n).isEmpty():
         return probes

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import dimension
-from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small
+from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, settle
 from .ivf import assign_nearest, cell_sizes, kmeans, probe_cells, search_cells
 from .kernels import AdcScorer, matrix, nearest_rows
 
@@ -127,10 +127,12 @@ def pq_lloyd_step(res: DataFrame, codebook: DataFrame) -> DataFrame:
 
 
 def pq_train(res: DataFrame, m: int = 8, seed: int = 42, restarts: int = 2,
-             max_iter: int = 20) -> DataFrame:
+             max_iter: int = 300) -> DataFrame:
     """Codebook by k-means in each subspace (seed + subspace number): m, code, centroid."""
     dim = dimension(res, "residual")
     m = fit_m(dim, m)
+    # The residuals feed one training run per subspace.
+    res = settle(res.select("residual"))
     size = codes_for(dim // m, res.limit(CODES_LONG).count())
     books = None
     for j in range(m):

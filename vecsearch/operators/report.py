@@ -136,7 +136,7 @@ def format_rows(report: DataFrame) -> DataFrame:
         fixed(F.col("identity"), 1), F.col("in_truth"), F.col("comment")))
 
 
-BLOCK = 1_000_000  # line numbers reserved per method block
+BLOCK = 1 << 40  # line numbers reserved per method block, more than a list can have rows
 
 
 def _fixed(keys: DataFrame, lines: list[tuple[int, int, Column]]) -> DataFrame:

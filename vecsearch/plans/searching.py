@@ -232,7 +232,7 @@ def q_lloyd(t):
 
 @query("kmeans_train")
 def q_kmeans(t):
-    return ivf.kmeans(t.base, sql.NLIST, seed=42, restarts=2).select("cell", joined("centroid"))
+    return ivf.kmeans(t.base, sql.NLIST, seed=42, restarts=10).select("cell", joined("centroid"))
 
 
 @query("coarse_probe", sql.select([*sql.IVF, sql.PROBES], "SELECT query_id, cell FROM probes"))
@@ -312,7 +312,7 @@ def q_pq_step(t):
 def q_pq_train(t):
     cells = centroids(t)
     res = pq.residuals(ivf.assign_nearest(t.base, cells), cells)
-    return pq.pq_train(res, m=2, restarts=1, max_iter=5).select("m", "code", joined("centroid"))
+    return pq.pq_train(res).select("m", "code", joined("centroid"))
 
 
 @query("pq_encode", sql.select(sql.PQ, "SELECT id, cell, string_agg(CAST(code AS VARCHAR), ',' ORDER BY m) AS codes FROM enc GROUP BY id, cell"))
@@ -449,7 +449,8 @@ def q_index_roundtrip(t):
         stored.tables["centroids"], stored.tables["assigned"]))
 
 
-@query("index_reuse_or_rebuild")
+@query("index_reuse_or_rebuild", """SELECT step, reused, (SELECT count(*) FROM embeddings) AS rows FROM (VALUES ('first', false), ('same', true),
+  ('other parameters', false), ('other data', false), ('forced', false)) AS v(step, reused)""")
 def q_index_reuse(t):
     """Build, reuse, changed parameters, changed data, forced rebuild."""
     path = scratch_path(t.spark, "index")
@@ -466,15 +467,3 @@ def q_index_reuse(t):
              ("forced", scaled, {"nlist": 21}, True)]
     rows = [(name, *ask(base, params, force)) for name, base, params, force in steps]
     return t.spark.createDataFrame(rows, "step string, reused boolean, rows bigint")
-
-
-@query("bench_methods")
-def q_bench(t):
-    cells = centroids(t)
-    assigned = ivf.assign_nearest(t.base, cells)
-    plans = {
-        "Exact": (lambda: None, lambda _: knn_exact(t.base, t.queries, N)),
-        "IVF-Flat": (lambda: settle(assigned), lambda index: ivf.search_ivfflat(
-            t.base, t.queries, N, IVF, cells, index)),
-    }
-    return evaluate.bench(plans, t.n, t.spark)

@@ -198,7 +198,7 @@ def q_check(t):
   CAST(upto AS BIGINT) AS end_off, CAST(1 AS BIGINT) AS node_weight FROM (SELECT node, degree, sum(degree) OVER (ORDER BY node) AS upto
   FROM (SELECT e.vec_id AS node, count(s.src) AS degree FROM embeddings AS e LEFT JOIN sym AS s ON s.src = e.vec_id GROUP BY e.vec_id) AS d) AS c"""))
 def q_csr(t):
-    return graph.csr_offsets(graph.symmetrize(t.edges), t.n, bucket=97)
+    return graph.csr_offsets(graph.symmetrize(t.edges), t.n)
 
 
 @query("graph_sample", sql.select([sql.HITS, sql.EDGES, sql.CLEAN, sql.WEIGHTS, sql.SYM,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -31,26 +33,30 @@ def fingerprint(base: DataFrame) -> str:
 
 
 def save_index(index: Index, path: str) -> None:
-    """Write every table, then the parameter row last: its presence marks a complete index."""
+    """Write every table into a folder of its own version, then append the parameter row that points to it.
+
+    A reader takes the newest row, so a rebuild that breaks off leaves the former index in use.
+    """
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     for name, table in index.tables.items():
         by = next((c for c in LAYOUT_COLUMNS if c in table.columns), None)
         if name in LAID_OUT and by:
             # Rebalancing by the layout column also splits a cell that is far larger than others.
             table.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(
-                f"{path}/{name}")
+                f"{path}/{version}/{name}")
         else:
-            table.write.mode("overwrite").parquet(f"{path}/{name}")
+            table.write.mode("overwrite").parquet(f"{path}/{version}/{name}")
     spark = next(iter(index.tables.values())).sparkSession
     described = json.dumps(index.params, sort_keys=True)
-    spark.createDataFrame([(described, ",".join(index.tables))], "params string, tables string").coalesce(
-        1).write.mode("overwrite").parquet(f"{path}/params")
+    spark.createDataFrame([(version, described, ",".join(index.tables))],
+                          "version string, params string, tables string").coalesce(1).write.mode("append").parquet(f"{path}/params")
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
-    """Read a stored index; raises if there is none."""
-    row = spark.read.parquet(f"{path}/params").first()
+    """Read the newest complete version of a stored index; raises if there is none."""
+    row = spark.read.parquet(f"{path}/params").orderBy(F.desc("version")).first()
     names = row["tables"].split(",")
-    return Index({name: spark.read.parquet(f"{path}/{name}") for name in names}, json.loads(row["params"]))
+    return Index({name: spark.read.parquet(f"{path}/{row['version']}/{name}") for name in names}, json.loads(row["params"]))
 
 
 def get_or_build(spark: SparkSession, path: str, params: dict, base: DataFrame,

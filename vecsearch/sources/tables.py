@@ -56,27 +56,22 @@ def write_fasta(df: DataFrame, path: str, width: int = 60) -> None:
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated hits without header plus ``hit_seq``, the file order; empty if unreadable.
 
-    ``hit_seq`` is block start + row number inside the block (a block has fewer rows than bytes),
-    with the rank of the file above it when there are several.
+    ``hit_seq`` is (file path, block start + row number inside the block); a block has fewer rows than
+    bytes. It only serves to order rows, whatever the number of files.
     """
     try:
         raw = spark.read.csv(path, sep="\t", schema=HIT_SCHEMA)
     except AnalysisException:
-        return spark.createDataFrame([], HIT_SCHEMA.add("hit_seq", T.LongType()))
+        place = T.StructType([T.StructField("file", T.StringType()), T.StructField("place", T.LongType())])
+        return spark.createDataFrame([], T.StructType([*HIT_SCHEMA.fields, T.StructField("hit_seq", place)]))
     row = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
-    rows = raw.select("*", F.col("_metadata.file_path").alias("file"),
-                      (F.col("_metadata.file_block_start") + row).alias("in_file"))
-    # One row per input file.
-    files = raw.select(F.col("_metadata.file_path").alias("file")).distinct().select(
-        "file", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("file")) - 1)
-        .cast("bigint").alias("file_no"))
-    return rows.join(files, "file").withColumn(
-        "hit_seq", F.shiftleft("file_no", 48) + F.col("in_file")).drop("file", "file_no", "in_file")
+    place = (F.col("_metadata.file_block_start") + row).alias("place")
+    return raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"), place).alias("hit_seq"))
 
 
 def write_hits(hits: DataFrame, path: str) -> None:
     """Write hits as tab-separated text in ``hit_seq`` order."""
-    hits.orderBy("hit_seq").select(*[f.name for f in HIT_SCHEMA.fields if f.name != "hit_seq"]).write.csv(
+    hits.orderBy("hit_seq").select(*HIT_SCHEMA.names).write.csv(
         path, sep="\t")
 
 
