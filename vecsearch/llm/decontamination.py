@@ -12,12 +12,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, fresh
-from .words import mix, multipliers, word_hashes
+from .words import mix, multipliers
 
 # Which words of a window count ("1") and which are ignored.
 MASKS = ("111010011", "110101101", "101101110", "110011101")
@@ -27,24 +28,49 @@ NEED, SHARE = 13, 0.75  # equal words that make an overlap; for short items this
 MISS = -2  # weight of an unequal word against 1 of an equal one: a stretch has two thirds equal words at least
 CONTEXT = 32
 LEAST_BITS, MOST_BITS, PROBES = 16, 27, 3
+MULTIPLIERS = multipliers(SPAN, 23)
+ROOM = 400_000  # words a worker remembers
+BATCH = 1 << 16  # words scanned at once
 _WORD = re.compile(r"[^\W_]+")
 
 
+class _Hashes(dict):
+    """A worker's memory of word hashes, of bounded size."""
+
+    def __missing__(self, word: str) -> int:
+        h = xxhash.xxh64_intdigest(word.encode(), 3)
+        if len(self) < ROOM:
+            self[word] = h
+        return h
+
+
+_hashes = _Hashes()
+
+
 def tokens(text: str | None) -> np.ndarray:
     """Hashes of a text's words: letters and digits, in lower case."""
-    return word_hashes([w.encode() for w in _WORD.findall((text or "").lower())])
+    words = _WORD.findall(text.lower()) if text else []
+    if len(_hashes) >= ROOM:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
 
+def products(words: np.ndarray) -> list[np.ndarray]:
+    """Every word's share in a seed, for each place of a window."""
+    with np.errstate(over="ignore"):
+        return [words * m for m in MULTIPLIERS]
 
-def seeds(words: np.ndarray, mask: str) -> np.ndarray:
-    """Seed of the window at every position."""
-    n, span = len(words) - len(mask) + 1, len(mask)
+
+def seeds(shares: list[np.ndarray], mask: str) -> np.ndarray:
+    """Seed of the window at every position, from the words' ``products``."""
+    n = len(shares[0]) - len(mask) + 1
     if n <= 0:
-        return words[:0]
-    h = np.full(n, np.uint64(int(mask, 2) * 2 + span))
+        return shares[0][:0]
+    h = np.full(n, np.uint64(int(mask, 2) * 2 + len(mask)))
     with np.errstate(over="ignore"):
-        for k, m in enumerate(multipliers(span, 23)):
-            if mask[k] == "1":
-                h += words[k:k + n] * m
+        for k, bit in enumerate(mask):
+            if bit == "1":
+                h += shares[k][k:k + n]
     return mix(h)
 
 
@@ -55,14 +81,13 @@ def masks_of(length: int) -> tuple[str, ...]:
 
 def slots(h: np.ndarray, probe: int, bits: int) -> np.ndarray:
     """Place of each hash in the bitmap of 2 ** bits, for one of the probes."""
-    with np.errstate(over="ignore"):
-        return (mix(h + np.uint64(probe)) >> np.uint64(64 - bits)).astype(np.int64)
+    return (h << np.uint64(18 * probe) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def possible(h: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
     """Indexes of the hashes that the bitmap doesn't rule out."""
     may = np.arange(len(h))
-    for probe in range(1, PROBES + 1):
+    for probe in range(PROBES):
         place = slots(h[may], probe, bits)
         may = may[(marks[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)]
     return may
@@ -75,8 +100,10 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
             out = []
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
                 w = tokens(text)
+                shares = products(w)
                 for mask in masks_of(len(w)):
-                    out += [(item, s, p, len(w), w.view(np.int64) if not p else None) for p, s in enumerate(seeds(w, mask).view(np.int64).tolist())]
+                    out += [(item, s, p, len(w), w.view(np.int64) if not p else None)
+                            for p, s in enumerate(seeds(shares, mask).view(np.int64).tolist())]
             cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 4, pa.list_(pa.int64())))],
                                              ["item_id", "seed", "item_pos", "item_words", "words"])
@@ -92,7 +119,7 @@ def bitmap(seed_rows: DataFrame, count: int) -> tuple[np.ndarray, int]:
     def run(batches):
         for batch in batches:
             h = batch.column("seed").to_numpy().view(np.uint64)
-            s = np.unique(np.concatenate([slots(h, probe, bits) for probe in range(1, PROBES + 1)]))
+            s = np.unique(np.concatenate([slots(h, probe, bits) for probe in range(PROBES)]))
             yield pa.RecordBatch.from_arrays([pa.array(s // 64), pa.array(s % 64)], ["word", "bit"])
 
     marks = seed_rows.select("seed").mapInArrow(run, "word long, bit long")
@@ -124,28 +151,43 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = sorted(r[0] for r in items.df.where(F.col("item_words") < SPAN).select("item_words").distinct().collect())
     masks = (MASKS if items.df.where(F.col("item_words") >= SPAN).limit(1).count() else ()) + tuple("1" * n for n in lengths)
 
+    def scan(texts: list[np.ndarray]) -> list[tuple[int, int, int]]:
+        """(text, position, seed) of all windows that the bitmap doesn't rule out, over several texts at once."""
+        ends = np.cumsum([len(w) for w in texts])
+        shares, found = products(np.concatenate(texts)), []
+        for mask in masks:
+            s = seeds(shares, mask)
+            at = possible(s, marks, bits)
+            owner = np.searchsorted(ends, at, side="right")
+            whole = at + len(mask) <= ends[owner] if len(at) else np.zeros(0, bool)  # no window reaches into the next text
+            at, owner = at[whole], owner[whole]
+            begin = ends[owner] - np.array([len(w) for w in texts])[owner]
+            found += zip(owner.tolist(), (at - begin).tolist(), s[at].view(np.int64).tolist())
+        return sorted(found)
+
     def run(batches):
         task, made = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
-            out = []
-            for doc, text, th in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "text_hash"))):
-                w = tokens(text)
-                hits = []
-                for mask in masks:
-                    s = seeds(w, mask)
-                    may = possible(s, marks, bits)
-                    hits += zip(may.tolist(), s[may].view(np.int64).tolist())
-                hits.sort()
+            doc_ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
+            out, group, first, size = [], [], 0, 0
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                group.append(tokens(text))
+                size += len(group[-1])
+                if size < BATCH and row + 1 < batch.num_rows:
+                    continue
+                hits = scan(group)
                 i = 0
                 while i < len(hits):  # hits close to one another share a stretch of words
                     j = i
-                    while j + 1 < len(hits) and hits[j + 1][0] - hits[j][0] <= CONTEXT:
+                    while j + 1 < len(hits) and hits[j + 1][0] == hits[i][0] and hits[j + 1][1] - hits[j][1] <= CONTEXT:
                         j += 1
-                    start = max(0, hits[i][0] - CONTEXT)
-                    words = w[start:hits[j][0] + SPAN + CONTEXT].view(np.int64)
-                    out.append((task + made, doc, th, start, words, [{"seed": s, "pos": p} for p, s in hits[i:j + 1]]))
+                    own, start = hits[i][0], max(0, hits[i][1] - CONTEXT)
+                    words = group[own][start:hits[j][1] + SPAN + CONTEXT].view(np.int64)
+                    out.append((task + made, doc_ids[first + own], hashes[first + own], start, words,
+                                [{"seed": s, "pos": p} for _, p, s in hits[i:j + 1]]))
                     made += 1
                     i = j + 1
+                group, first, size = [], row + 1, 0
             cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
