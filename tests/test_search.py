@@ -314,3 +314,26 @@ def test_repeated_query_ids_are_refused(spark, strategy):
     asked = query_frame(spark, vectors(2)).withColumn("query_id", F.lit(1).cast("bigint"))
     with pytest.raises(Exception, match="unique"):
         knn_exact(base, asked, 2, strategy=strategy).collect()
+
+
+def test_quantised_search_above_the_centroid_limit_is_the_same(spark, monkeypatch):
+    x, q = vectors(400, 16, 1), vectors(30, 16, 2)
+    base, asked = base_frame(spark, x), query_frame(spark, q)
+    cells = ivf.kmeans(base, 12, seed=1, max_iter=5)
+    res = pq.residuals(ivf.assign_nearest(base, cells), cells)
+    book = pq.pq_train(res, m=4, restarts=1, max_iter=5)
+    codes = pq.pq_encode(res, book)
+    probes = ivf.probe_cells(asked, cells, 4)
+    want = rows(pq.adc_distances(codes, probes, asked, cells, book, 6))
+    monkeypatch.setattr(pq, "SMALL_CENTROID_ROWS", 5)
+    same(rows(pq.adc_distances(codes, probes, asked, cells, book, 6)), want)
+
+
+def test_probable_partitions_equal_ranked_rows(spark):
+    base = base_frame(spark, vectors(300, 6, 3))
+    labelled = base.withColumn("part", (F.col("id") % 5).cast("int"))
+    model, _ = learned.train_partition_model(labelled, epochs=3)
+    asked = query_frame(spark, vectors(40, 6, 4))
+    ranked = learned.top_partitions(learned.predict_scores(model, asked), 3)
+    key = lambda df: sorted((r.query_id, r["rank"], r.part, round(r.prob, 12)) for r in df.collect())
+    assert key(learned.probable_partitions(model, asked, 3)) == key(ranked)

@@ -289,3 +289,54 @@ def test_bench_and_missing_queries(spark):
     wanted = spark.createDataFrame([(1,), (99,)], "query_id bigint")
     found, missing = io.resolve_queries(wanted, base)
     assert [r["query_id"] for r in found.collect()] == [1] and [r["query_id"] for r in missing.collect()] == [99]
+
+
+def test_bad_path_leaves_later_reads_alone(spark, tmp_path):
+    for _ in range(2):
+        empty = io.read_hits(spark, str(tmp_path / "missing"))
+        assert empty.count() == 0 and empty.columns == [*io.HIT_SCHEMA.names, "hit_seq"]
+    (tmp_path / "hits.tsv").write_text("a\tb\t90\t10\t0\t0\t1\t10\t1\t10\t1e-5\t50\n")
+    assert io.read_hits(spark, str(tmp_path / "hits.tsv")).columns == empty.columns
+
+
+def test_broken_rebuild_leaves_the_stored_index(spark, tmp_path):
+    from vecsearch.sources.index_store import Index, load_index, save_index
+    path = str(tmp_path / "index")
+    save_index(Index({"t": spark.range(3), "u": spark.range(4)}, {"v": 1}), path)
+    fail = F.raise_error(F.lit("broken")).cast("long")
+    with pytest.raises(Exception, match="broken"):
+        save_index(Index({"t": spark.range(7), "u": spark.range(2).select(fail.alias("id"))}, {"v": 2}), path)
+    stored = load_index(spark, path)
+    assert stored.params == {"v": 1} and stored.tables["t"].count() == 3
+
+
+def test_scratch_needs_a_shared_folder_unless_local(spark, monkeypatch):
+    from vecsearch.operators import common
+
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    assert common.scratch_path(Session("local[4]"), "x")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="share"):
+            common.scratch_path(Session(master), "x")
+
+
+def test_mean_times_reach_the_summary(spark):
+    from vecsearch.operators import evaluate, report
+    scored = spark.createDataFrame([("A", 1, 2, 1, 0.5), ("A", 2, 2, 2, 1.0)], "method string, query_id long, truth_size long, hits long, recall double")
+    measured = spark.createDataFrame([("A", 0.1, 4.0, 0.5)], "method string, build_s double, search_s double, qps double")
+    times = evaluate.mean_timings(measured, scored)
+    assert {r.seconds for r in times.collect()} == {2.0}
+    summary = evaluate.run_summary(scored, spark.range(9), 4.0, times)
+    row = summary.first()
+    assert (row.avg_time, row.avg_qps, row.db_size, row.total_qps) == (2.0, 0.5, 9, 0.5)
+    assert report.summary_lines(summary, ["A"], 10).count() > 6

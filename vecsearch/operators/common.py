@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A query set up to this many rows is shipped to every task; a larger one is shuffled.
@@ -29,14 +29,27 @@ def _reads_little(df: DataFrame) -> bool:
     return sum(int(str(size)) for size in sizes) <= SMALL_BYTES
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes once collected."""
+    size = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        length = (F.octet_length(column) if kind in ("string", "binary") else F.size(column) * 8 if kind.startswith(("array", "map"))
+                  else F.lit(16))
+        size = size + F.coalesce(length.cast("bigint"), F.lit(8))
+    return size
+
+
 def fetch_if_small(df: DataFrame, max_rows: int) -> pa.Table | None:
     """The rows of ``df`` if there are at most ``max_rows`` of them, else None.
 
-    The bound is proven on the data: never more than ``max_rows + 1`` rows are fetched. The size
-    of the input only decides whether a row count (which moves nothing) comes first.
+    The bound is proven on the data: never more than ``max_rows + 1`` rows are fetched, and from
+    large inputs nothing before the executors have summed up rows and bytes.
     """
-    if not _reads_little(df) and df.count() > max_rows:
-        return None
+    if not _reads_little(df):
+        size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
+        if size["rows"] > max_rows or (size["bytes"] or 0) > SMALL_BYTES:
+            return None
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows > max_rows or table.nbytes > SMALL_BYTES:
         return None

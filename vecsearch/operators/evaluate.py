@@ -119,16 +119,25 @@ def method_summary(scored: DataFrame, timings: DataFrame | None = None) -> DataF
         F.coalesce(F.avg(F.when(F.col("seconds") > 0, 1 / F.col("seconds"))), F.lit(0.0)).alias("avg_qps"))
 
 
-def run_summary(scored: DataFrame, base: DataFrame, total_seconds: float | None = None) -> DataFrame:
-    """Closing figures per method: n_queries, db_size, avg_recall [, total_time, total_qps]."""
-    out = method_summary(scored).select("method", "n_queries", "avg_recall",
-                                        base.agg(F.count("*")).scalar().alias("db_size"))
+def run_summary(scored: DataFrame, base: DataFrame, total_seconds: float | None = None,
+                timings: DataFrame | None = None) -> DataFrame:
+    """Closing figures per method: n_queries, db_size, avg_recall [, avg_time, avg_qps] [, total_time, total_qps]."""
+    times = [] if timings is None else ["avg_time", "avg_qps"]
+    out = method_summary(scored, timings).select("method", "n_queries", "avg_recall", *times,
+                                                 base.agg(F.count("*")).scalar().alias("db_size"))
     if total_seconds is not None:
         out = out.withColumn("total_time", F.lit(total_seconds)).withColumn(
             "total_qps", F.col("n_queries") / F.lit(total_seconds) if total_seconds > 0 else F.lit(0.0))
     return out
 
 
+def mean_timings(measured: DataFrame, queries: DataFrame) -> DataFrame:
+    """Each query's share of the bulk search time of ``bench`` rows: method, query_id, seconds."""
+    methods = [(r["method"], 1 / r["qps"] if r["qps"] else None) for r in measured.collect()]  # one row per method
+    each = F.array(*[F.struct(F.lit(m).alias("method"), F.lit(s).cast("double").alias("seconds")) for m, s in methods])
+    return queries.select("query_id", F.explode(each).alias("t")).select("t.method", "query_id", "t.seconds")
+
+
 def bench(methods: Mapping[str, tuple[Callable[[], object], Callable[[object], DataFrame]]],
           n_queries: int, spark: SparkSession) -> DataFrame:
     """Build and bulk-search wall time per method: method, build_s, search_s, qps.

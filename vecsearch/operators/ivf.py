@@ -113,7 +113,8 @@ def keyed_by(assigned: DataFrame, by: str = "cell", vector: str = "embedding") -
 def search_cells(assigned: DataFrame, probes: DataFrame, queries: DataFrame, n: int | None,
                  by: str = "cell", vector: str = "embedding", **how) -> DataFrame:
     """Top ``n`` (or all within ``radius=``) among the rows of the probed cells."""
-    keys = probes.select("query_id", F.col(by).cast("string").alias("key"))
+    own = ["query_vec"] if "query_vec" in probes.columns else []
+    keys = probes.select("query_id", F.col(by).cast("string").alias("key"), *own)
     return search_keyed(keyed_by(assigned, by, vector), keys, queries, n, key_column=by, **how)
 
 

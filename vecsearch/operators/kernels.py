@@ -148,13 +148,14 @@ class AdcScorer:
     """Table-lookup scoring of product-quantised rows (codes instead of vectors)."""
 
     def __init__(self, shared):
-        # Broadcast of ({cell key: centroid}, codebook array (m, codes, sub_dim)).
+        # Broadcast of ({cell key: centroid}, codebook array (m, codes, sub_dim)); without
+        # centroids the queries are residuals already.
         self.shared = shared
 
     def pairs(self, key, queries, base, n, bound, visible=None):
         centroids, codebook = self.shared.value
         m, n_codes, sub = codebook.shape
-        residual = queries - centroids[key]
+        residual = queries if centroids is None else queries - centroids[key]
         codes = base.astype(np.int64)
         found = []
         q_step = max(1, BLOCK_CELLS // (m * n_codes * sub))

@@ -51,7 +51,7 @@ def search_keyed(
     """Nearest base rows behind the probed keys.
 
     ``base``: id, embedding, keys ARRAY<STRING or BINARY> [, pos]; ``probes``: query_id, key [, take];
-    ``queries``: query_id, query_vec. With ``pos``/``take`` a probe sees only rows ``pos <= take``.
+    ``queries``: query_id, query_vec (``probes`` may carry a ``query_vec`` per key instead, in blocks). With ``pos``/``take`` a probe sees only rows ``pos <= take``.
     ``key_column`` names a base column equal to the (single) key: few probed keys then filter the
     base at the source, so a table partitioned by that column is read in part only.
     ``many_keys`` says that a base row can be met through several keys (duplicates are removed).
@@ -214,7 +214,7 @@ def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -
                 (F.col("pos").cast("bigint") if capped else no_cap).alias("cap"))
     )
     right = (
-        probes.join(queries.select("query_id", "query_vec"), "query_id")
+        (probes if "query_vec" in probes.columns else probes.join(queries.select("query_id", "query_vec"), "query_id"))
         .join(splits, "key", "left")
         .withColumn("q_salt", F.pmod(F.xxhash64("query_id"), q_parts))
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))

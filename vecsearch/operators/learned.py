@@ -86,6 +86,18 @@ def predict_scores(model, queries: DataFrame) -> DataFrame:
     return scored.select("query_id", F.posexplode(vector_to_array("probability")).alias("part", "prob"))
 
 
+def probable_partitions(model, queries: DataFrame, t: int) -> DataFrame:
+    """The ``t`` most probable partitions per query: query_id, part, prob, rank.
+
+    Taken inside the row, so only ``t`` rows per query arise and nothing is shuffled.
+    """
+    scored = model.transform(_features(queries, "query_vec"))
+    coded = F.transform(vector_to_array("probability"), lambda p, i: F.struct((-p).alias("minus"), i.alias("part")))
+    best = F.posexplode(F.slice(F.array_sort(coded), 1, t)).alias("at", "b")
+    return scored.select("query_id", best).select(
+        "query_id", F.col("b.part").alias("part"), (-F.col("b.minus")).alias("prob"), (F.col("at") + 1).cast("bigint").alias("rank"))
+
+
 def softmax_scores(raw: DataFrame) -> DataFrame:
     """Raw (query_id, part, score) -> probabilities, shifted by the maximum for stability."""
     each = Window.partitionBy("query_id")
@@ -110,7 +122,7 @@ def search_learned(base: DataFrame, queries: DataFrame, n: int, p: LearnedParams
     if scores is None:
         if model is None:
             model, _ = train_partition_model(labelled, p.epochs, p.seed)
-        scores = predict_scores(model, queries)
+        return search_cells(labelled, probable_partitions(model, queries, p.probes), queries, n, by="part", **how)
     return search_cells(labelled, top_partitions(scores, p.probes), queries, n, by="part", **how)
 
 

@@ -147,8 +147,13 @@ def adc_distances(codes: DataFrame, probes: DataFrame, queries: DataFrame, centr
                   codebook: DataFrame, n: int, **how) -> DataFrame:
     """Top ``n`` by approximate distance between query residuals and codes."""
     table = fetch_if_small(centroids.select("cell", "centroid"), SMALL_CENTROID_ROWS)
-    if table is None:
-        raise ValueError("centroid table too large for lookup search")
+    if table is None:  # every probe then carries its own residual instead
+        cell = centroids.select("cell", F.col("centroid").cast("array<double>").alias("centroid"))
+        minus = F.zip_with(F.col("query_vec").cast("array<double>"), F.col("centroid"), lambda x, c: x - c)
+        own = probes.select("query_id", "cell").join(queries.select("query_id", "query_vec"), "query_id").join(cell, "cell").select(
+            "query_id", "cell", minus.alias("query_vec"))
+        shared = codes.sparkSession.sparkContext.broadcast((None, _book(codebook)))
+        return search_cells(codes, own, queries, n, vector="codes", scorer=AdcScorer(shared), **{**how, "strategy": "blocks"})
     cells = dict(zip((str(c) for c in table["cell"].to_pylist()), matrix(table["centroid"]),
                      strict=True))
     shared = codes.sparkSession.sparkContext.broadcast((cells, _book(codebook)))

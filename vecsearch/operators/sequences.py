@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import type_of
@@ -44,23 +44,24 @@ def truncate(df: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
     return df.withColumn("seq", F.substring("seq", 1, max_length))
 
 
-def composition(texts: list[str]) -> np.ndarray:
+def composition(seq: Column) -> Column:
     """Default embedding: share of each residue letter in the sequence."""
-    codes = np.frombuffer(RESIDUES.encode(), dtype=np.uint8)
-    out = np.zeros((len(texts), len(codes)))
-    for i, text in enumerate(texts):
-        counts = np.bincount(np.frombuffer(text.encode("utf-8"), dtype=np.uint8), minlength=256)
-        out[i] = counts[codes] / max(len(text), 1)
-    return out
+    total = F.greatest(F.length(seq), F.lit(1))
+    count = lambda letter: F.length(seq) - F.length(F.replace(seq, F.lit(letter), F.lit("")))
+    return F.array(*[(count(letter) / total).cast("float") for letter in RESIDUES])
 
 
-def embed(df: DataFrame, embed_fn: EmbedFn = composition, batch_size: int = 8,
+def embed(df: DataFrame, embed_fn: EmbedFn | None = None, batch_size: int = 8,
           max_length: int = MAX_LENGTH) -> DataFrame:
-    """One vector per sequence from a batch function: id, embedding.
+    """One vector per sequence, its ``composition`` or what a batch function gives: id, embedding.
 
     Rows are ordered by length inside their partition only, so batches hold similar lengths
     without shuffling the texts (a range shuffle by length would pile the long ones up).
     """
+    short = truncate(df.select("id", "seq"), max_length)
+    if embed_fn is None:
+        return short.select("id", composition(F.col("seq")).alias("embedding"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("seq").to_pylist()
@@ -74,7 +75,6 @@ def embed(df: DataFrame, embed_fn: EmbedFn = composition, batch_size: int = 8,
                 [batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))],
                 names=["id", "embedding"])
 
-    short = truncate(df.select("id", "seq"), max_length)
     ordered = short.sortWithinPartitions(F.length("seq"))
     return ordered.mapInArrow(run, f"id {type_of(df, 'id')}, embedding array<float>")
 

@@ -232,10 +232,24 @@ def q_lines(t):
     return lines(t)
 
 
-@query("report_sink", sql.select(LINE_CTES, "SELECT line, count(*) AS n FROM lines GROUP BY line"))
+SUMMARY = f"""SELECT CAST(4 AS INTEGER) AS section, l.no::BIGINT AS line_no, l.line
+FROM (SELECT method, count(*) AS n, avg(recall) AS r FROM scored GROUP BY method) AS s,
+  LATERAL (VALUES (1, method || ':'), (4, printf('  Μέσος Recall@{RECALL_N}: %.3f', r)), (5, '')) AS v(o, line),
+  LATERAL (SELECT CASE method WHEN 'Exact' THEN {B} ELSE {2 * B} END + o AS no, line) AS l
+UNION ALL SELECT 4, l.no, l.line FROM (SELECT count(*) AS n FROM embeddings) AS e,
+  LATERAL (VALUES (1, '{report.SUMMARY_HEAD}'), (2, printf('Συνολικός αριθμός queries: %d', n)),
+    (3, printf('Μέγεθος βάσης δεδομένων: %d', n)), (6, '')) AS l(no, line)"""
+
+
+def closing(t: Tables) -> DataFrame:
+    return report.summary_lines(evaluate.run_summary(scored(t), t.base), NAMES, RECALL_N)
+
+
+@query("report_sink", sql.select(LINE_CTES, f"""SELECT line, count(*) AS n FROM (SELECT line FROM lines UNION ALL
+SELECT line FROM ({SUMMARY}) AS s) AS u GROUP BY line"""))
 def q_sink(t):
     path = scratch_path(t.spark, "report")
-    write_report(lines(t), path)
+    write_report(lines(t), path, closing(t))
     return t.spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 
@@ -249,12 +263,6 @@ def q_legacy(t):
     return report.legacy_lines(found(t), scored(t), RECALL_N, NAMES)
 
 
-@query("summary_lines", sql.select([*TRUTH, FOUND, SCORED], f"""SELECT CAST(4 AS INTEGER) AS section, l.no::BIGINT AS line_no, l.line
-FROM (SELECT method, count(*) AS n, avg(recall) AS r FROM scored GROUP BY method) AS s,
-  LATERAL (VALUES (1, method || ':'), (4, printf('  Μέσος Recall@{RECALL_N}: %.3f', r)), (5, '')) AS v(o, line),
-  LATERAL (SELECT CASE method WHEN 'Exact' THEN {B} ELSE {2 * B} END + o AS no, line) AS l
-UNION ALL SELECT 4, l.no, l.line FROM (SELECT count(*) AS n FROM embeddings) AS e,
-  LATERAL (VALUES (1, '{report.SUMMARY_HEAD}'), (2, printf('Συνολικός αριθμός queries: %d', n)),
-    (3, printf('Μέγεθος βάσης δεδομένων: %d', n)), (6, '')) AS l(no, line)"""))
+@query("summary_lines", sql.select([*TRUTH, FOUND, SCORED], SUMMARY))
 def q_summary_lines(t):
-    return report.summary_lines(evaluate.run_summary(scored(t), t.base), NAMES, RECALL_N)
+    return closing(t)

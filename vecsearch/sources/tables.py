@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.common import settle
+
 # The columns of a tabular aligner result, in file order.
 HIT_SCHEMA = T.StructType([
     T.StructField("query", T.StringType()),
@@ -163,26 +165,24 @@ def load_or_compute(spark: SparkSession, path: str | None, compute: Callable[[],
         return spark.read.parquet(path)
 
 
-def with_fallback_ids(df: DataFrame, order_col: str, prefix: str = "prot_", buckets: int = 256) -> DataFrame:
-    """Name unnamed rows ``prefix`` + 0-based position by the (numeric) ``order_col``.
+def with_fallback_ids(df: DataFrame, order_col: str, prefix: str = "prot_", range_rows: int = 1_000_000) -> DataFrame:
+    """Name unnamed rows ``prefix`` + 0-based position by ``order_col``.
 
-    Positions come from two passes, inside value ranges and over the range totals, so no single
-    window holds the whole table.
+    Rows are put into value ranges of about ``range_rows``, so their number follows the table; a position is
+    the place inside the range and the total of the ranges before it. No window holds the whole table.
     """
-    cuts = df.agg(F.percentile_approx(
-        order_col, [i / buckets for i in range(1, buckets)]).alias("c")).first()["c"] or []
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast(
-        f"array<{df.schema[order_col].dataType.simpleString()}>")
-    ranged = df.withColumn("_part", F.size(F.filter(bounds, lambda b: b <= F.col(order_col))))
+    ranges = max(1, -(-df.count() // range_rows))
+    ordered = df.repartitionByRange(ranges, order_col).sortWithinPartitions(order_col)
+    numbered = settle(ordered.withColumn("_at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit(ROW_BITS))
     # One row per range.
-    totals = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    totals = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_part").orderBy(order_col)
-    place = F.col("_offset") + F.row_number().over(inside) - 1
-    named = F.concat(F.lit(prefix), place.cast("string"))
+    named = F.concat(F.lit(prefix), (F.col("_offset") + place).cast("string"))
     new_id = F.coalesce(F.col("id").cast("string"), named) if "id" in df.columns else named
-    return ranged.join(offsets, "_part").withColumn("id", new_id).drop("_part", "_offset")
+    joined = numbered.withColumn("_part", part).join(offsets, "_part")
+    return joined.withColumn("id", new_id).drop("_part", "_offset", "_at")
 
 
 def resolve_queries(wanted: DataFrame, vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -192,6 +192,8 @@ def resolve_queries(wanted: DataFrame, vectors: DataFrame) -> tuple[DataFrame, D
     return ids.join(known, "query_id"), ids.join(known, "query_id", "left_anti")
 
 
-def write_report(lines: DataFrame, path: str) -> None:
-    """Write report lines as UTF-8 text in (query, section, line) order."""
-    lines.orderBy("query_id", "section", "line_no").select("line").write.text(path)
+def write_report(lines: DataFrame, path: str, summary: DataFrame | None = None) -> None:
+    """Write report lines as UTF-8 text in (query, section, line) order, then the closing ``summary`` lines."""
+    if summary is not None:
+        lines = lines.unionByName(summary, allowMissingColumns=True)
+    lines.orderBy(F.asc_nulls_last("query_id"), "section", "line_no").select("line").write.text(path)
