@@ -69,7 +69,7 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rng: np.random.
         left = n // 2
         cut = len(rows) * left // n
         stack += [(order[:cut], first, left), (order[cut:], first + left, n - left)]
-    room = int(np.ceil(slack * len(x) / parts))
+    room = max(-(-len(x) // parts), int(slack * len(x) / parts))
     both = np.concatenate([np.stack([np.repeat(np.arange(len(x)), graph.shape[1]), graph.ravel()], 1)] * 2)
     both[len(both) // 2:] = both[len(both) // 2:, ::-1]
     for _ in range(rounds):
