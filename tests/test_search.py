@@ -337,3 +337,14 @@ def test_probable_partitions_equal_ranked_rows(spark):
     ranked = learned.top_partitions(learned.predict_scores(model, asked), 3)
     key = lambda df: sorted((r.query_id, r["rank"], r.part, round(r.prob, 12)) for r in df.collect())
     assert key(learned.probable_partitions(model, asked, 3)) == key(ranked)
+
+
+def test_stored_learned_index_gives_the_same_neighbours(spark, tmp_path):
+    base, asked = base_frame(spark, vectors(300, 6, 3)), query_frame(spark, vectors(40, 6, 4))
+    labelled = base.withColumn("part", (F.col("id") % 5).cast("int"))
+    model, _ = learned.train_partition_model(labelled, epochs=3)
+    learned.save_learned(str(tmp_path / "learned"), model, labelled)
+    again, stored = learned.load_learned(spark, str(tmp_path / "learned"))
+    p = learned.LearnedParams(probes=2)
+    want = rows(learned.search_learned(base, asked, 5, p, labelled=labelled, model=model))
+    same(rows(learned.search_learned(base, asked, 5, p, labelled=stored, model=again)), want)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -82,7 +83,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="vecsearch-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    """Results are lazy and may read scratch tables until the program ends; then they go."""
+    for spark, path in _written:
+        try:
+            remove_path(spark, path)
+        except Exception:  # the session is gone already: its owner has the folder
+            return
 
 
 def arrow_column(return_type: str):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small
+from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, settle
 from .exact import knn_exact
 from .kernels import id_values, matrix, nearest_rows
 from .keyed import search_keyed
@@ -27,8 +27,14 @@ class IvfParams:
     restarts: int = 10
 
 
-def kmeans(base: DataFrame, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 300) -> DataFrame:
-    """Best of several seeded k-means runs: cell, centroid."""
+def kmeans(base: DataFrame, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 300,
+           init: DataFrame | None = None) -> DataFrame:
+    """Best of several seeded k-means runs: cell, centroid.
+
+    With ``init`` (cell, centroid) one run of at most ``max_iter`` steps from that start; it ends when nothing moves.
+    """
+    if init is not None:
+        return _from_start(init, lambda c: lloyd_step(base, c), ["cell"], max_iter)
     points = base.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -40,6 +46,19 @@ def kmeans(base: DataFrame, k: int, seed: int = 42, restarts: int = 1, max_iter:
     return base.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
 
 
+def _from_start(start: DataFrame, step, keys: list[str], max_iter: int) -> DataFrame:
+    """Repeat a training step until its centroids stay where they are."""
+    current = start
+    for _ in range(max_iter):
+        moved = settle(step(current))
+        before = current.select(*keys, F.col("centroid").cast("array<double>").alias("before"))
+        still = moved.join(before, keys).where(~F.col("before").eqNullSafe(F.col("centroid"))).isEmpty()
+        current = moved
+        if still:
+            break
+    return current
+
+
 def nearest_cells(df: DataFrame, id_col: str, vec_col: str, centroids: DataFrame, n: int) -> DataFrame:
     """The input with ``cells``: the ``n`` nearest cells, nearest first, lowest cell on ties.
 

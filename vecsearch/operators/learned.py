@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import dimension
+from ..sources.index_store import Index, load_index, save_index
 from .common import SMALL_CENTROID_ROWS, fetch_if_small, type_of
 from .ivf import assign_nearest, kmeans, search_cells
 from .kernels import BLOCK_CELLS, matrix
@@ -80,6 +81,18 @@ def fit_quality(model, train: DataFrame, held: DataFrame) -> DataFrame:
     return train.sparkSession.createDataFrame([row], "train_loss double, val_loss double, val_accuracy double")
 
 
+def save_learned(path: str, model: MultilayerPerceptronClassificationModel, labelled: DataFrame) -> None:
+    """Store the classifier and the labelled base, laid out by partition."""
+    model.write().overwrite().save(f"{path}/model")
+    save_index(Index({"labelled": labelled}), f"{path}/index")
+
+
+def load_learned(spark: SparkSession, path: str) -> tuple[MultilayerPerceptronClassificationModel, DataFrame]:
+    """(model, labelled) as ``save_learned`` stored them, so that nothing is trained again."""
+    model = MultilayerPerceptronClassificationModel.load(f"{path}/model")
+    return model, load_index(spark, f"{path}/index").tables["labelled"]
+
+
 def predict_scores(model, queries: DataFrame) -> DataFrame:
     """Probability of every partition: query_id, part, prob."""
     scored = model.transform(_features(queries, "query_vec"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import dimension
 from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, settle
-from .ivf import assign_nearest, cell_sizes, kmeans, probe_cells, search_cells
+from .ivf import _from_start, assign_nearest, cell_sizes, kmeans, probe_cells, search_cells
 from .kernels import AdcScorer, matrix, nearest_rows
 
 
@@ -127,8 +127,14 @@ def pq_lloyd_step(res: DataFrame, codebook: DataFrame) -> DataFrame:
 
 
 def pq_train(res: DataFrame, m: int = 8, seed: int = 42, restarts: int = 2,
-             max_iter: int = 300) -> DataFrame:
-    """Codebook by k-means in each subspace (seed + subspace number): m, code, centroid."""
+             max_iter: int = 300, init: DataFrame | None = None) -> DataFrame:
+    """Codebook by k-means in each subspace (seed + subspace number): m, code, centroid.
+
+    With ``init`` (m, code, centroid) one run of at most ``max_iter`` steps from that start in all subspaces together.
+    """
+    if init is not None:
+        res = settle(res.select("residual"))
+        return _from_start(init, lambda book: pq_lloyd_step(res, book), ["m", "code"], max_iter)
     dim = dimension(res, "residual")
     m = fit_m(dim, m)
     # The residuals feed one training run per subspace.

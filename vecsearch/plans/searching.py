@@ -235,6 +235,23 @@ def q_kmeans(t):
     return ivf.kmeans(t.base, sql.NLIST, seed=42, restarts=10).select("cell", joined("centroid"))
 
 
+@query("kmeans_given_start", sql.select(sql.IVF, f"""SELECT cell, CAST(i - 1 AS INTEGER) AS dim, round(c[i], 6) AS value
+FROM c2, range(1, {sql.DIM + 1}) AS d(i)"""))
+def q_kmeans_given(t):
+    """Training from a given start, two steps of it."""
+    trained = ivf.kmeans(t.base, sql.NLIST, max_iter=2, init=start_centroids(t))
+    return rounded(trained.select("cell", F.posexplode("centroid").alias("dim", "value")), "value")
+
+
+@query("kmeans_means", f"SELECT {sql.NLIST}::BIGINT AS cells, 0::BIGINT AS off_mean")
+def q_kmeans_means(t):
+    """Every trained centroid is the mean of its members (to a thousandth)."""
+    trained = settle(ivf.kmeans(t.base, sql.NLIST, seed=42, restarts=1))
+    after = ivf.lloyd_step(t.base, trained).select("cell", F.col("centroid").alias("mean"))
+    far = F.exists(F.zip_with("centroid", "mean", lambda a, b: F.abs(a - b)), lambda d: d > 1e-3)
+    return trained.join(after, "cell").agg(F.count("*").alias("cells"), F.count(F.when(far, 1)).alias("off_mean"))
+
+
 @query("coarse_probe", sql.select([*sql.IVF, sql.PROBES], "SELECT query_id, cell FROM probes"))
 def q_coarse(t):
     return ivf.probe_cells(t.queries, centroids(t), sql.NPROBE)
@@ -315,6 +332,18 @@ def q_pq_train(t):
     return pq.pq_train(res).select("m", "code", joined("centroid"))
 
 
+@query("pq_given_start", sql.select(sql.PQ, f"""SELECT CAST(m AS INTEGER) AS m, code, CAST(i - 1 AS INTEGER) AS dim, round(v[i], 6) AS value
+FROM book, range(1, {sql.SUB + 1}) AS d(i)"""))
+def q_pq_given(t):
+    """Codebook training from a given start, one step of it."""
+    cells = centroids(t)
+    res = pq.residuals(ivf.assign_nearest(t.base, cells), cells)
+    start = pq.split_subvectors(res.where(F.col("id") < sql.CODES), sql.M, sql.SUB).select(
+        "m", F.col("id").cast("int").alias("code"), F.col("sub").alias("centroid"))
+    book = pq.pq_train(res, sql.M, max_iter=1, init=settle(start))
+    return rounded(book.select("m", "code", F.posexplode("centroid").alias("dim", "value")), "value")
+
+
 @query("pq_encode", sql.select(sql.PQ, "SELECT id, cell, string_agg(CAST(code AS VARCHAR), ',' ORDER BY m) AS codes FROM enc GROUP BY id, cell"))
 def q_pq_encode(t):
     *_, codes = quantised(t)
@@ -384,7 +413,29 @@ def q_fit_quality(t):
 @query("predict_partitions")
 def q_predict(t):
     model, _ = learned.train_partition_model(learned.partition_labels(t.base, centroids(t)), epochs=10)
-    return learned.top_partitions(learned.predict_scores(model, t.queries), sql.TOP_T)
+    return learned.probable_partitions(model, t.queries, sql.TOP_T)
+
+
+@query("predicted_partition_rows", f"""SELECT vec_id AS query_id, {sql.TOP_T}::BIGINT AS parts, true AS ordered FROM embeddings""")
+def q_predicted_rows(t):
+    """Every query gets its most probable partitions, probabilities falling."""
+    model, _ = learned.train_partition_model(learned.partition_labels(t.base, centroids(t)), epochs=10)
+    tops = learned.probable_partitions(model, t.queries, sql.TOP_T)
+    probs = F.transform(F.sort_array(F.collect_list(F.struct("rank", "prob"))), lambda x: x["prob"])
+    return tops.groupBy("query_id").agg(F.count("*").alias("parts"), (probs == F.reverse(F.array_sort(probs))).alias("ordered"))
+
+
+@query("learned_neighbors_inside", "SELECT 0::BIGINT AS outside, 0::BIGINT AS wrong")
+def q_learned_inside(t):
+    """All neighbours lie in predicted partitions, and their distances are exact."""
+    labelled = settle(learned.partition_labels(t.base, centroids(t)))
+    model, _ = learned.train_partition_model(labelled, epochs=10)
+    found = learned.search_learned(t.base, t.queries, N, learned.LearnedParams(probes=sql.TOP_T), labelled=labelled, model=model)
+    tops = learned.probable_partitions(model, t.queries, sql.TOP_T).select("query_id", "part", F.lit(1).alias("predicted"))
+    placed = found.join(labelled.select(F.col("id").alias("neighbor_id"), "embedding", "part"), "neighbor_id").join(t.queries, "query_id")
+    seen = placed.join(tops, ["query_id", "part"], "left")
+    off = F.abs(l2(F.col("query_vec"), F.col("embedding")) - F.col("distance")) > 1e-6
+    return seen.agg(F.count(F.when(F.col("predicted").isNull(), 1)).alias("outside"), F.count(F.when(off, 1)).alias("wrong"))
 
 
 @query("search_learned_trained")
@@ -394,6 +445,41 @@ def q_search_trained(t):
     return learned.search_learned(t.base, t.queries, N, labelled=labelled, model=model)
 
 
+# --- the same searches in blocks, the form that large query sets take ----------------------------
+
+@query("knn_exact_blocks", sql.exact(N))
+def q_exact_blocks(t):
+    return rounded(knn_exact(t.base, t.queries, N, strategy="blocks"))
+
+
+@query("search_lsh_blocks", sql.lsh(N))
+def q_lsh_blocks(t):
+    return rounded(lsh.search_lsh(t.base, t.queries, N, LSH, strategy="blocks"))
+
+
+@query("search_hypercube_blocks", sql.cube(N))
+def q_cube_blocks(t):
+    return rounded(hypercube.search_hypercube(t.base, t.queries, N, CUBE, strategy="blocks"))
+
+
+@query("search_ivfflat_blocks", sql.ivf(N))
+def q_ivf_blocks(t):
+    return rounded(ivf.search_ivfflat(t.base, t.queries, N, IVF, centroids(t), strategy="blocks"))
+
+
+@query("search_ivfpq_blocks", sql.pq(N))
+def q_pq_blocks(t):
+    cells, _, book, _ = quantised(t)
+    return rounded(pq.search_ivfpq(t.base, t.queries, N, PQ, cells, book, strategy="blocks"))
+
+
+@query("search_learned_blocks", sql.learned(N))
+def q_learned_blocks(t):
+    labelled, _, probs = partitions(t)
+    p = learned.LearnedParams(probes=sql.TOP_T)
+    return rounded(learned.search_learned(t.base, t.queries, N, p, scores=probs, labelled=labelled, strategy="blocks"))
+
+
 # --- several methods, stored indexes -----------------------------------------------------------
 
 def method_table(t: Tables) -> dict[str, evaluate.SearchFn]:
