@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.common import scratch_path
+from ..operators.common import remove_path, scratch_path
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -23,9 +23,7 @@ class Stored:
 
     def drop(self) -> None:
         """Delete the folder once nothing reads it any more."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(self.spark, self.path)
 
 
 def drop_all(stored: Iterable[Stored]) -> None:
