@@ -4,15 +4,20 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from vecsearch.llm.chat import CONTROL, digest, escape, format_examples, unescape
-from vecsearch.llm.queries import QUERIES, SQL
+from vecsearch.llm import toxicity
+from vecsearch.llm.decontamination import NEED, SHARE, SHORTEST, best_stretch, tokens
+from vecsearch.llm.queries import QUERIES, SQL, VOCABULARY
 from vecsearch.llm.sharding import shard_documents, write_shards
 
 from .conftest import ODD
+from .test_duplicates import brute_components, plain_lines
 
 FOLDER = "/root/testdata/sf0.001"
 TALK = "conv_id long, turn long, role string, text string, t string, turns string, k string"
@@ -106,10 +111,34 @@ def test_pipeline_stages(odd, empty, spark, tmp_path):
             assert 7 not in left and {1, 2, 6, 8} <= left
 
 
-def test_pipeline_runs(spark):
+def leaks(text, items):
+    """Does a comparison along every diagonal find an overlap?"""
+    w = tokens(text)
+    for it in items:
+        for shift in range(1 - len(it), len(w)):
+            lo, hi = max(0, shift), min(len(w), shift + len(it))
+            equal = w[lo:hi] == it[lo - shift:hi - shift]
+            a, b = best_stretch(equal)
+            if len(it) >= SHORTEST and equal[a:b].sum() >= min(NEED, np.ceil(SHARE * len(it))):
+                return True
+    return False
+
+
+def test_pipeline_equals_brute_force(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
-    docs = {r.doc_id for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
-    assert rows and {r.doc_id for r in rows} < docs
+    docs, labels, items = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    model = toxicity.train(docs, labels)
+    left = {r.doc_id: r for r in docs.collect()}
+    scores = dict(zip(left, model.scores([r.text for r in left.values()])))
+    texts = [(i, left[i].text) for i in sorted(left) if scores[i] < model.thresholds.get(left[i].lang, toxicity.CUT)]
+    assert 0 < len(texts) < len(left)
+    lean = [(i, t) for i, (t, gone) in plain_lines(texts).items() if not gone or t.strip()]
+    single = brute_components(lean)
+    wanted = [tokens(r.text) for r in items.collect()]
+    final = {i: t for i, t in lean if single[i][2] and not leaks(t, wanted)}
+    library = Tokenizer.from_file(VOCABULARY)
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in final.items()}
+    assert sum(r.length for r in rows) == sum({r.doc_id: r.doc_tokens for r in rows}.values())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
 
 

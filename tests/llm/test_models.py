@@ -162,3 +162,23 @@ def test_gradient_by_differences():
     np.add.at(got, rows, grad)
     real = [i for i in range(12) if i not in (5, 11)]
     np.testing.assert_allclose(got[real], want[real], atol=1e-5)
+
+
+@pytest.mark.parametrize("part_rows", [1000, 60])
+def test_ann_repeated_ids_do_not_crowd(spark, part_rows):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 4)).astype(np.float32).astype(float)
+    ids = [*range(100), *[7] * 200]  # two thirds of all rows share one id
+    got = {}
+    for r in learned_ann.search(vectors(spark, x, ids), F.col("vec_id") % 10 == 0, 8, part_rows=part_rows).collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    for i in range(0, 100, 10):
+        best = {}
+        for v, j in zip(x, ids):
+            if j != i:
+                best[j] = max(best.get(j, -9e9), float((v * x[i]).sum()))
+        want = sorted((-s, j) for j, s in best.items())[:8]
+        assert len({j for _, j in got[i]}) == len(got[i]) == 8
+        if part_rows == 1000:  # one part: exact
+            assert [j for _, j in sorted(got[i])] == [j for _, j in want]
+        assert all(-s <= best[j] + 1e-12 for s, j in got[i])
