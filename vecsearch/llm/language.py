@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_texts
+from .common import hash_sample, plain_texts
 from .convnet import ConvNet, Embedding, softmax
 
 WINDOW = 256
@@ -62,10 +62,9 @@ def train(docs: DataFrame, per_language: int = 600, chars_each: int = 4096, wind
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & training_part(F.col("doc_id")))
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("doc_id")
-    order = Window.partitionBy("lang").orderBy(h, "doc_id")
-    ids = rows.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    ids = hash_sample(rows.select("doc_id", "lang").distinct(), "lang", "doc_id", per_language)
     spot = F.pmod(h, F.greatest(F.lit(1), F.length("text") - chars_each)).cast("int") + 1
-    part = rows.join(F.broadcast(ids.select("doc_id", "lang")), ["doc_id", "lang"]).select("doc_id", "lang", F.substring(F.col("text"), spot, F.lit(chars_each)).alias("text"))
+    part = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", F.substring(F.col("text"), spot, F.lit(chars_each)).alias("text"))
     sample = part.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toArrow()
     names = sorted(set(sample.column("lang").to_pylist()))
     if not names:
