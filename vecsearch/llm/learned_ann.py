@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import Stored
 from .convnet import adam, softmax
 
-BLOCK = 4096  # base rows, and queries, that one task holds at a time
+BLOCK, BUNDLE = 4096, 16_384  # queries, and base rows, that one task holds at a time
 SLICE = 256
 
 
@@ -143,22 +143,57 @@ def usable(vector: Column) -> Column:
 
 
 def best_of(q: np.ndarray, q_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, base, score) of the ``k`` best base rows per query; a row is no candidate of its own id."""
-    out_q, out_b, out_s = [], [], []
+    """(query id, base id, score) of the ``k`` best base ids per query row; none is a candidate of its own id."""
+    order = np.argsort(b_ids, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(b_ids[order]) != 0))
+    single = len(starts) == len(b_ids)
+    out_q, out_b, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
     for at in range(0, len(q), SLICE):
         s = q[at:at + SLICE] @ b.T
         own = q_ids[at:at + SLICE]
         s[own[:, None] == b_ids[None]] = -np.inf
-        low = np.partition(s, len(b) - k, axis=1)[:, len(b) - k] if len(b) > k else np.full(len(s), -np.inf)
+        each = s if single else np.maximum.reduceat(s[:, order], starts, axis=1)  # the best row of an id
+        low = np.partition(each, len(starts) - k, axis=1)[:, len(starts) - k] if len(starts) > k else np.full(len(s), -np.inf)
         margin = 1e-12 * (1 + np.abs(np.where(np.isfinite(low), low, 0)))
         for i in range(len(s)):
             may = np.flatnonzero((s[i] >= low[i] - margin[i]) & (s[i] > -np.inf))
             exact = (b[may] * q[at + i]).sum(axis=1)  # the same order of additions for every row: equal vectors tie
+            if not single:
+                best = np.lexsort((-exact, b_ids[may]))
+                best = best[np.append(True, np.diff(b_ids[may[best]]) != 0)] if len(best) else best
+                may, exact = may[best], exact[best]
             top = np.lexsort((b_ids[may], -exact))[:k]
             out_q.append(np.full(len(top), own[i])), out_b.append(b_ids[may[top]]), out_s.append(exact[top])
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(out_q) if out_q else none, np.concatenate(out_b) if out_b else none,
-            np.concatenate(out_s) if out_s else np.zeros(0))
+    return np.concatenate(out_q), np.concatenate(out_b), np.concatenate(out_s)
+
+
+def best_in_parts(base: pa.Table, asked: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``best_of`` over the parts in ``base``, each query row only in the parts it visits, merged per query."""
+    part, b, b_ids = base.column("part").to_numpy(), matrix(base.column("embedding")), base.column("vec_id").to_numpy()
+    q, q_ids, visits = matrix(asked.column("embedding")), asked.column("vec_id").to_numpy(), asked.column("parts").combine_chunks()
+    rows, to = np.repeat(np.arange(len(q)), np.diff(visits.offsets.to_numpy())), visits.flatten().to_numpy()
+    found = []
+    for p in np.unique(part).tolist():
+        mine, who = part == p, rows[to == p]
+        found.append(best_of(q[who], q_ids[who], b[mine], b_ids[mine], k))
+    query, row, score = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((-score, row, query))  # the best row of an id that lies in several parts
+    query, row, score = query[order], row[order], score[order]
+    first = np.ones(len(query), bool)
+    first[1:] = (query[1:] != query[:-1]) | (row[1:] != row[:-1])
+    query, row, score = query[first], row[first], score[first]
+    order = np.lexsort((row, -score, query))
+    query, row, score = query[order], row[order], score[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
+    return query[place < k], row[place < k], score[place < k]
+
+
+def per_part(df: DataFrame, parts: int) -> np.ndarray:
+    """Rows of every part (one number per part reaches the driver)."""
+    out = np.zeros(parts, np.int64)
+    for r in df.groupBy("part").count().collect():
+        out[r["part"]] = r["count"]
+    return out
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, part_rows: int = 512, sample_rows: int = 8192, most_parts: int = 256,
@@ -167,12 +202,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, part_rows: int = 5
 
     Returns query_id, rank (from 1), vec_id, score; nearest first, ties to the smaller vec_id. The router is fitted on at most
     ``sample_rows`` vectors (those of smallest hash); every row is indexed, and the number of probes is set for ``recall`` on held-out
-    vectors. A part of any size is searched in blocks, so no task holds more than ``BLOCK`` rows of either side. A query whose
+    vectors. A part of any size is searched in blocks, so no task holds more than about ``BUNDLE`` rows and ``BLOCK`` queries. A query whose
     probed parts hold fewer than ``k`` others visits further parts until they do.
 
     Vectors null, empty, zero, or with null or non-finite components take no part, nor do those whose length isn't the commonest
-    (ties: the smaller), nor rows without vec_id. Rows that repeat a vec_id are candidates once per distinct vector, and never of their
-    own id. Further columns are ignored; an empty table gives no row.
+    (ties: the smaller), nor rows without vec_id. Rows that share a vec_id are one candidate, and one query, of several vectors, for
+    which the best product counts; no row is a candidate of its own id. Further columns are ignored; an empty table gives no row.
     """
     plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("embedding"), is_query.alias("asks"))
     plain = plain.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
@@ -198,46 +233,52 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, part_rows: int = 5
 
     kind = dict(plain.dtypes)["embedding"]
     index = Stored(plain.mapInArrow(place, f"part int, vec_id long, embedding {kind}, asks boolean"), "ann_index")
-    counted = index.df.groupBy("part").agg(F.count("vec_id").alias("rows")).collect()  # one row per part
-    held = np.zeros(parts, np.int64)
-    for r in counted:
-        held[r["part"]] = r["rows"]
+    held = per_part(index.df, parts)
+    # Distinct ids, each counted in one part only: so many others a set of parts holds at least.
+    ids = per_part(index.df.groupBy("vec_id").agg(F.min("part").alias("part")), parts)
 
     def route(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             order = np.argsort(-router.probabilities(matrix(batch.column("embedding"))), axis=1, kind="stable")
-            enough = (np.cumsum(held[order], axis=1) < k + 1).sum(axis=1) + 1
+            enough = (np.cumsum(ids[order], axis=1) < k + 1).sum(axis=1) + 1
             visits = np.minimum(np.maximum(enough, router.probes), parts)
             to = pa.array([o[:v] for o, v in zip(order.astype(np.int32), visits)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, to], [*batch.schema.names, "parts"])
 
     asked = index.df.where("asks").select("vec_id", "embedding").mapInArrow(route, f"vec_id long, embedding {kind}, parts array<int>")
     asked = Stored(asked, "ann_queries")
-    visits = asked.df.select(F.explode("parts").alias("part")).groupBy("part").count().collect()
-    wanted = np.zeros(parts, np.int64)
-    for r in visits:
-        wanted[r["part"]] = r["count"]
-    blocks = {p: max(1, -(-int(held[p]) // BLOCK)) for p in range(parts)}
-    groups = {p: max(1, -(-int(wanted[p]) // BLOCK)) for p in range(parts)}
-    of = lambda table: F.create_map(*[F.lit(v) for item in table.items() for v in item])[F.col("part")]
-    salt = lambda table: F.pmod(F.xxhash64("vec_id", "embedding"), of(table)).cast("int")
-    every = lambda table: F.explode(F.sequence(F.lit(0), of(table) - 1))
-    base = index.df.withColumn("block", salt(blocks)).select("part", "block", every(groups).alias("turn"), "vec_id", "embedding")
-    ask = asked.df.select(F.explode("parts").alias("part"), "vec_id", "embedding").withColumn("turn", salt(groups))
-    ask = ask.select("part", every(blocks).alias("block"), "turn", "vec_id", "embedding")
-    key = ["part", "block", "turn"]
+    wanted = per_part(asked.df.select(F.explode("parts").alias("part")), parts)
+    # Small parts share a bundle, a large one is split into several; a task searches one bundle.
+    blocks, start, filled = [], [], BUNDLE
+    bundle = -1
+    for rows in held.tolist():
+        blocks.append(max(1, -(-rows // BUNDLE)))
+        if blocks[-1] > 1 or filled + rows > BUNDLE:
+            bundle, filled = bundle + 1, 0
+        start.append(bundle)
+        bundle += blocks[-1] - 1
+        filled += rows
+    turns = [1] * (bundle + 1)  # groups of queries per bundle
+    for first, n_blocks, n_asked in zip(start, blocks, wanted.tolist()):
+        for i in range(first, first + n_blocks):
+            turns[i] = max(turns[i], -(-n_asked // BLOCK))
+    of = lambda table, at: F.get(F.array(*[F.lit(int(v)) for v in table]), at)
+    salt = lambda n: F.pmod(F.xxhash64("vec_id", "embedding"), n).cast("int")
+    base = index.df.withColumn("bundle", of(start, F.col("part")) + salt(of(blocks, F.col("part"))))
+    base = base.select("bundle", F.explode(F.sequence(F.lit(0), of(turns, F.col("bundle")) - 1)).alias("turn"), "part", "vec_id", "embedding")
+    to = F.array_distinct(F.flatten(F.transform("parts", lambda p: F.sequence(of(start, p), of(start, p) + of(blocks, p) - 1))))
+    ask = asked.df.select(F.explode(to).alias("bundle"), "vec_id", "embedding", "parts")
+    ask = ask.select("bundle", salt(of(turns, F.col("bundle"))).alias("turn"), "vec_id", "embedding", "parts")
+    key = ["bundle", "turn"]
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        else:
-            found = best_of(matrix(right.column("embedding")), right.column("vec_id").to_numpy(), matrix(left.column("embedding")), left.column("vec_id").to_numpy(), k)
+        found = best_in_parts(left, right, k) if left.num_rows and right.num_rows else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
         return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
 
     found = base.groupBy(*key).cogroup(ask.groupBy(*key)).applyInArrow(rank, "query_id long, vec_id long, score double")
-    found = found.distinct()
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
