@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import dimension
 from ..sources.index_store import Index, load_index, save_index
-from .common import SMALL_CENTROID_ROWS, fetch_if_small, type_of
+from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, type_of
 from .ivf import assign_nearest, kmeans, search_cells
 from .kernels import BLOCK_CELLS, matrix
 
@@ -45,7 +45,18 @@ def partition_labels(base: DataFrame, centroids: DataFrame) -> DataFrame:
     # One row per cell; the unpartitioned window only ever sees the cell list.
     dense = assigned.select("cell").distinct().select(
         "cell", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("cell")) - 1).alias("part"))
-    return assigned.join(dense, "cell").drop("cell")
+    table = fetch_if_small(dense, SMALL_CENTROID_ROWS)
+    if table is None:
+        return assigned.join(dense, "cell").drop("cell")
+    cells, parts = table["cell"].to_numpy(), table["part"].to_numpy().astype(np.int32)
+    order = np.argsort(cells)
+    cells, parts = cells[order], parts[order]
+
+    @arrow_column("int")
+    def part(column: pa.Array) -> pa.Array:
+        return pa.array(parts[np.searchsorted(cells, column.to_numpy())], pa.int32())
+
+    return assigned.withColumn("part", part(F.col("cell"))).drop("cell")
 
 
 def _features(df: DataFrame, column: str) -> DataFrame:

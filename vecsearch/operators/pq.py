@@ -54,9 +54,28 @@ def coarse_cells(nlist: int, rows: int) -> int:
 
 def residuals(assigned: DataFrame, centroids: DataFrame, id_col: str = "id",
               vec_col: str = "embedding") -> DataFrame:
-    """Vector minus the centroid of its cell: id, cell, residual."""
-    minus = F.zip_with(F.col(vec_col).cast("array<double>"), F.col("centroid"), lambda x, c: x - c)
-    return assigned.join(centroids, "cell").select(id_col, "cell", minus.alias("residual"))
+    """Vector minus the centroid of its cell: id, cell, residual.
+
+    Centroids are subtracted inside the task once their size has been checked; a larger table is joined.
+    """
+    table = fetch_if_small(centroids.select("cell", "centroid"), SMALL_CENTROID_ROWS)
+    if table is None:
+        minus = F.zip_with(F.col(vec_col).cast("array<double>"), F.col("centroid"), lambda x, c: x - c)
+        return assigned.join(centroids, "cell").select(id_col, "cell", minus.alias("residual"))
+    names = table["cell"].to_numpy()
+    order = np.argsort(names)
+    shared = assigned.sparkSession.sparkContext.broadcast((names[order], matrix(table["centroid"]).astype(np.float64)[order]))
+
+    @arrow_column("array<double>")
+    def subtract(cells: pa.Array, vectors: pa.Array) -> pa.Array:
+        if len(cells) == 0:
+            return pa.array([], type=pa.list_(pa.float64()))
+        names, centres = shared.value
+        rows = matrix(vectors).astype(np.float64) - centres[np.searchsorted(names, cells.to_numpy())]
+        offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1])
+        return pa.ListArray.from_arrays(offsets, pa.array(rows.ravel()))
+
+    return assigned.select(id_col, "cell", subtract(F.col("cell"), F.col(vec_col)).alias("residual"))
 
 
 def split_subvectors(df: DataFrame, m: int, sub_dim: int, vec_col: str = "residual") -> DataFrame:
