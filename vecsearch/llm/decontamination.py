@@ -29,7 +29,7 @@ MISS = -2  # weight of an unequal word against 1 of an equal one: a stretch has
 CONTEXT = 32
 LEAST_BITS, MOST_BITS, PROBES = 16, 27, 3
 MULTIPLIERS = multipliers(SPAN, 23)
-ROOM = 400_000  # words a worker remembers
+ROOM = 150_000  # words a worker remembers
 BATCH = 1 << 16  # words scanned at once
 _WORD = re.compile(r"[^\W_]+")
 

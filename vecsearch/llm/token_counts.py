@@ -123,7 +123,7 @@ def load(path: str) -> Merges:
 class Encoder:
     """Token ids of texts; distinct pre-tokens are merged once and remembered up to ``room`` of them."""
 
-    def __init__(self, path: str, room: int = 1_000_000, chunk_chars: int = 1 << 19):
+    def __init__(self, path: str, room: int = 300_000, chunk_chars: int = 1 << 19):
         self.merges, self.room, self.chunk_chars = load(path), room, chunk_chars
         self._forget()
 
