@@ -15,13 +15,15 @@ At a similarity of 0.75 a pair misses all bands with a probability of 5e-6.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, components, drop_all, plain_texts
+from .common import Stored, components, drop_all, fresh, plain_texts
 from .words import mix, shingle_set
 
 BANDS, ROWS, BITS = 32, 4, 4
@@ -175,6 +177,28 @@ def prefix_pairs(texts: DataFrame, placed: DataFrame, size: int, percent: int) -
     return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
+def possibly_in(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test whether a doc_id may be among ``ids`` (doc_id): no for most others, never for one of them.
+
+    A bitmap of at most 2 ** 27 bits, whatever the number of ids, so that a join moves the texts of those alone.
+    """
+    bits = min(27, max(16, (16 * ids.count()).bit_length()))
+    slot = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
+    marks = ids.select(slot(F.col("doc_id")).alias("slot")).select(
+        F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, int(slot & 63))").alias("bit"))
+    table = marks.groupBy("word").agg(F.bit_or("bit").alias("mask")).toArrow()
+    words = np.zeros(1 << (bits - 6), np.int64)
+    words[table.column("word").to_numpy()] = table.column("mask").to_numpy()
+    shared = ids.sparkSession.sparkContext.broadcast(words)
+
+    @F.arrow_udf("boolean")
+    def marked(slots: pa.Array) -> pa.Array:
+        at = slots.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    return lambda doc_id: marked(slot(F.coalesce(doc_id.cast("long"), F.lit(0))))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """Component of every document under links of 100 * |A and B| >= ``percent`` * |A or B| of word shingles.
 
@@ -193,7 +217,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     shared = rows.groupBy("key").agg(F.min("id").alias("centre"), F.count("id").alias("members")).where("members > 1")
     crowded = Stored(rows.join(shared, "key"), "crowded")
     signature = classes.df.select("id", "n", "packed")
-    texts = Stored(docs.join(crowded.df.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "candidate_texts")
+    wanted = crowded.df.select(F.col("id").alias("doc_id")).distinct()
+    texts = Stored(docs.where(possibly_in(wanted)(F.col("doc_id"))).join(wanted, "doc_id", "left_semi"), "candidate_texts")
 
     def candidates(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(signature.select(F.col("id").alias("a"), F.struct("n", "packed").alias("x")), "a")
@@ -230,7 +255,11 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     found = Stored(near_duplicates(docs, size, percent), "near")
     gone = found.df.where("not kept").select("doc_id").distinct()
     repeated = found.df.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(gone.withColumnRenamed("doc_id", "gone_id"), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    place = fresh(docs, "may_go")
+    marked = docs.withColumn(place, possibly_in(gone)(F.col("doc_id")))
+    same_id = F.col("doc_id").cast("long") == F.col("gone_id")
+    left = marked.where(~F.col(place)).union(
+        marked.where(F.col(place)).join(gone.withColumnRenamed("doc_id", "gone_id"), same_id, "left_anti")).drop(place)
     if not repeated.limit(1).count():
         return left
     twice = repeated.withColumnRenamed("doc_id", "twice_id")
