@@ -152,6 +152,52 @@ def test_lines_odd_rows(odd, empty):
     assert drop_repeated_lines(empty).collect() == []
 
 
+def plain_units(t):
+    """Lines, cut again after each end of a sentence, scanned by character."""
+    out, cur, i = [], "", 0
+    while i < len(t):
+        cur += t[i]
+        i += 1
+        if cur[-1] in "\n。！？":
+            out, cur = [*out, cur], ""
+        elif cur[-1] in ".!?…" and len(cur) > 2 and cur[-3:-1].isalnum():
+            j = i
+            while j < len(t) and t[j] in '")]':
+                j += 1
+            k = j
+            while k < len(t) and t[k] == " ":
+                k += 1
+            if k > j:
+                k += t[k:k + 1] == "\n"
+                out, cur, i = [*out, cur + t[i:k]], "", k
+    return out + [cur] * bool(cur)
+
+
+def plain_sentences(docs):
+    units, first, out = {i: plain_units(t) for i, t in docs}, {}, {}
+    at = lambda u, p: tuple(x.strip(" \n") for x in u[p:p + 3])
+    for i, u in units.items():
+        for p in range(len(u) - 2):
+            first.setdefault(at(u, p), (i, p))
+    for i, u in units.items():
+        gone = {p + k for p in range(len(u) - 2) for k in range(3)
+                if any(at(u, p)) and (first[at(u, p)][0] != i or p >= first[at(u, p)][1] + 3)}
+        out[i] = ("".join(x for k, x in enumerate(u) if k not in gone), len(gone))
+    return out
+
+
+def test_repeated_sentences_inside_lines_go(spark):
+    rnd = random.Random(9)
+    passage = " ".join(" ".join(f"p{rnd.randrange(99)}" for _ in range(18)) + "." for _ in range(4))
+    part = lambda: rnd.choice(["xx. ", "yy! ", "zz?) ", "J. ", "no end ", "\n", " \n", "完了。", f"u{rnd.randrange(30)}. ", 'end." \n'])
+    docs = [(i, "".join(part() for _ in range(rnd.randint(0, 30)))) for i in range(200)]
+    docs += [(500, f"It began so. {passage} It went on"), (501, f"Another text. {passage} and ends otherwise")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.text, r.lines_removed) for r in drop_repeated_lines(frame, sentences=True).collect()}
+    assert got == plain_sentences(docs)
+    assert got[501] == ("Another text. and ends otherwise", 4) and got[500] == (docs[200][1], 0)
+
+
 def leak_fixture():
     rnd = random.Random(5)
     word = lambda: f"t{rnd.randrange(3000)}"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import chat, language, learned_ann, toxicity
 from .common import read_table
 from .decontamination import find_overlaps
-from .line_dedup import drop_repeated_lines
+from .line_dedup import SENTENCE, drop_repeated_lines
 from .minhash import near_duplicates
 from .packing import pack_documents
 from .sharding import shard_documents
@@ -96,6 +96,17 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(read_table(spark, folder, "documents")).select("doc_id", "text", "lines_removed")
 
 
+SENTENCES_SQL = LINES_SQL.replace("string_split(text, chr(10))", f"regexp_extract_all(text, '{SENTENCE}')").replace(
+    "array_to_string(k.kept, chr(10))", "array_to_string(k.kept, '')")
+for _k in "123":
+    SENTENCES_SQL = SENTENCES_SQL.replace(f"trim(ls[pos + {_k}])", f"trim(ls[pos + {_k}], ' ' || chr(10))")
+
+
+@query("op8_sentence_windows", SENTENCES_SQL)
+def op8_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_lines(read_table(spark, folder, "documents"), sentences=True).select("doc_id", "text", "lines_removed")
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
