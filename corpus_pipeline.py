@@ -37,7 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark item."""
-    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), null_ids=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -244,6 +244,19 @@ def test_leaks_odd_rows(odd, empty, spark):
     assert find_overlaps(empty, items).collect() == [] and drop_contaminated(odd, items.limit(0)).count() == len(ODD)
 
 
+def test_leaks_of_items_with_repeated_or_no_id(spark):
+    rnd = random.Random(12)
+    texts = [" ".join(f"q{rnd.randrange(5000)}" for _ in range(n)) for n in (20, 25, 30, 7)]
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[0]), (None, texts[2]), (None, texts[3])], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before it {t} after it") for i, t in enumerate([*texts, "clean text of some words"])]
+                                 + [(9, " and ".join(texts[:2]))], "doc_id long, text string").repartition(3)
+    given = [(0, 1), (0, 2), (1, 1), (9, 1), (9, 1), (9, 2)]
+    assert sorted((r.doc_id, r.item_id) for r in find_overlaps(docs, items).collect()) == given
+    every = find_overlaps(docs, items, null_ids=True).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in every), key=str) == sorted([*given, (2, None), (3, None)], key=str)
+    assert [r.doc_id for r in drop_contaminated(docs, items, null_ids=True).collect()] == [4]
+
+
 def test_seed_ignores_masked_words():
     w = tokens("a b c d e f g h i")
     other = w.copy()

@@ -94,22 +94,22 @@ def possible(h: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item words, seed, item_pos), with one row per seed of every item."""
+    """(item_id, item_key, seed, item_pos, item_words, words), with one row per seed of every item; the key is a hash of its words."""
     def run(batches):
         for batch in batches:
             out = []
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
                 w = tokens(text)
-                shares = products(w)
+                shares, key = products(w), int(np.uint64(xxhash.xxh64_intdigest(w.tobytes(), 5)).view(np.int64))
                 for mask in masks_of(len(w)):
-                    out += [(item, s, p, len(w), w.view(np.int64) if not p else None)
+                    out += [(item, key, s, p, len(w), w.view(np.int64) if not p else None)
                             for p, s in enumerate(seeds(shares, mask).view(np.int64).tolist())]
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 4, pa.list_(pa.int64())))],
-                                             ["item_id", "seed", "item_pos", "item_words", "words"])
+            cols = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 5, pa.list_(pa.int64())))],
+                                             ["item_id", "item_key", "seed", "item_pos", "item_words", "words"])
 
     plain = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInArrow(run, "item_id long, seed long, item_pos long, item_words long, words array<long>")
+    return plain.mapInArrow(run, "item_id long, item_key long, seed long, item_pos long, item_words long, words array<long>")
 
 
 def bitmap(seed_rows: DataFrame, count: int) -> tuple[np.ndarray, int]:
@@ -137,14 +137,17 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return int(np.flatnonzero(total[:end + 1] == total[end] - gain[end])[-1]), end
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, null_ids: bool = False) -> DataFrame:
     """Overlaps of documents with benchmark items: doc_id, text_hash, item_id, start, length, equal_words.
 
-    One row per document text and item: the best stretch of words on one diagonal, if at least ``NEED`` words of it (``SHARE``
+    One row per document text and item (item_id and words): the best stretch of words on one diagonal, if at least ``NEED`` words of it (``SHARE``
     of a short item's words) are equal; ``start`` counts the document's words. Items with fewer than ``SHORTEST`` words,
     null and empty texts have no overlap. A null doc_id is reported as null (text_hash tells which text it was); repeated rows
-    are reported once; further columns are ignored; an empty table on either side gives no row.
+    are reported once; further columns are ignored; an empty table on either side gives no row. Items are told apart by their words,
+    so an item_id may occur with several texts. Items without an id take part with ``null_ids`` only, item_id null.
     """
+    if not null_ids:
+        benchmark = benchmark.where(F.col("item_id").isNotNull())
     items = Stored(benchmark_seeds(benchmark), "benchmark_seeds")
     count = items.df.count()
     marks, bits = bitmap(items.df, count)
@@ -198,15 +201,15 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     found = Stored(texts.mapInArrow(run, schema), "stretches")
     hits = found.df.select("stretch", F.explode("hits").alias("hit")).select("stretch", "hit.*")
-    lined = (hits.join(items.df.select("seed", "item_id", "item_pos"), "seed")
-             .select("stretch", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct())
-    item_words = items.df.where("words is not null").groupBy("item_id").agg(F.first("words").alias("item"))
-    both = lined.join(found.df.drop("hits"), "stretch").join(item_words, "item_id")
+    lined = (hits.join(items.df.select("seed", "item_key", "item_pos"), "seed")
+             .select("stretch", "item_key", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct())
+    item_words = items.df.where("words is not null").groupBy("item_key").agg(F.first("words").alias("item"))
+    both = lined.join(found.df.drop("hits"), "stretch").join(item_words, "item_key")
 
     def verify(batches):
         for batch in batches:
             out = []
-            for doc, th, item_id, diagonal, start, words, item in zip(*(batch.column(c) for c in order)):
+            for doc, th, key, diagonal, start, words, item in zip(*(batch.column(c) for c in order)):
                 w, it = words.values.to_numpy(), item.values.to_numpy()
                 shift = diagonal.as_py() - start.as_py()  # place of the item's first word within the stretch
                 lo, hi = max(0, shift), min(len(w), shift + len(it))
@@ -216,22 +219,23 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 a, b = best_stretch(equal)
                 same = int(equal[a:b].sum())
                 if same >= min(NEED, int(np.ceil(SHARE * len(it)))):
-                    out.append((doc.as_py(), th.as_py(), item_id.as_py(), start.as_py() + lo + a, b - a, same))
+                    out.append((doc.as_py(), th.as_py(), key.as_py(), start.as_py() + lo + a, b - a, same))
             cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], final)
 
-    order = ["doc_id", "text_hash", "item_id", "diagonal", "start", "words", "item"]
-    final = ["doc_id", "text_hash", "item_id", "start", "length", "equal_words"]
+    order = ["doc_id", "text_hash", "item_key", "diagonal", "start", "words", "item"]
+    final = ["doc_id", "text_hash", "item_key", "start", "length", "equal_words"]
     checked = both.select(*order).mapInArrow(verify, ", ".join(f"{c} long" for c in final))
     best = F.max(F.struct("equal_words", (-F.col("start")).alias("back"), "length")).alias("best")
-    return checked.groupBy("doc_id", "text_hash", "item_id").agg(best).select(
+    ids = items.df.select("item_key", "item_id").distinct()
+    return checked.groupBy("doc_id", "text_hash", "item_key").agg(best).join(ids, "item_key").select(
         "doc_id", "text_hash", "item_id", (-F.col("best.back")).alias("start"), "best.length", "best.equal_words")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text overlaps no benchmark item."""
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, null_ids: bool = False) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text overlaps no benchmark item (``null_ids`` as in ``find_overlaps``)."""
     th = fresh(docs, "text_hash")
-    found = find_overlaps(docs, benchmark).select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct()
+    found = find_overlaps(docs, benchmark, null_ids).select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct()
     keyed = docs.withColumn(th, F.xxhash64(F.col("text").cast("string")))
     same = (keyed[th] == F.col("found_hash")) & keyed["doc_id"].cast("long").eqNullSafe(F.col("found_id"))
     return keyed.join(found, same, "left_anti").drop(th)

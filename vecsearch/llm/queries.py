@@ -70,7 +70,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_decontamination")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    found = find_overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    found = find_overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), null_ids=True)
     return found.select("doc_id", "item_id", "start", "length", "equal_words")
 
 
