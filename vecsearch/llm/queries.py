@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, learned_ann, toxicity
+from . import chat, language, learned_ann, toxicity, whitening
 from .common import read_table
 from .decontamination import find_overlaps
 from .line_dedup import SENTENCE, drop_repeated_lines
@@ -166,3 +166,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_learned_partitions")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return learned_ann.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
