@@ -61,6 +61,23 @@ def hash_sample(df: DataFrame, group: str, key: str, n: int) -> DataFrame:
     return df.where(slot <= share[F.col(group)]).withColumn(place, F.row_number().over(order)).where(F.col(place) <= n).drop(place)
 
 
+HEAVY = 1000
+
+
+def join_by_weight(rows: DataFrame, keyed: DataFrame, on: str | list[str], weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed``: one row per key, and in ``weight`` (dropped) how many of ``rows`` have that key.
+
+    Keys with more than a thousandth of all weight are fewer than a thousand, so those are broadcast and their rows stay where they
+    are; the others are joined by shuffle, where no key has more than that share. ``keyed`` is read several times.
+    """
+    on = [on] if isinstance(on, str) else on
+    most = (keyed.agg(F.sum(weight)).first()[0] or 0) // HEAVY
+    heavy, light = keyed.where(F.col(weight) > most), keyed.where(F.col(weight) <= most)
+    here = rows.join(F.broadcast(heavy.drop(weight)), on)
+    rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(light.drop(weight), on)
+    return here.unionByName(rest)
+
+
 def components(edges: DataFrame) -> Stored:
     """(node, component): the smallest node reachable over the undirected ``edges`` (a, b).
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, learned_ann, toxicity, whitening
+from . import chat, language, learned_ann, toxicity, warc, whitening
+from ..operators.common import scratch_path
 from .common import read_table
 from .decontamination import find_overlaps
 from .line_dedup import SENTENCE, drop_repeated_lines
@@ -168,6 +169,24 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return learned_ann.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+ARCHIVE_BYTES = 1 << 20  # so that files roll on small tables; the default is 256 MiB
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f
+"""
+
+
+@query("op12_warc", WARC_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.write_archive(read_table(spark, folder, "pages"), path, ARCHIVE_BYTES)
+    records = warc.read_archive(spark, path, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read_table(spark, folder, "embeddings"))
