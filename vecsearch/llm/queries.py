@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, learned_ann, toxicity, warc, whitening
+from . import chat, language, learned_ann, prefix_trie, toxicity, warc, whitening
 from ..operators.common import scratch_path
 from .common import read_table
 from .decontamination import find_overlaps
@@ -169,6 +169,38 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return learned_ann.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+TRIE_SQL = r"""
+WITH t AS (SELECT conv_id, coalesce(text, '') AS text,
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, name, len(regexp_extract_all(text, '[^ 	-]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) AS pos FROM t),
+c AS (SELECT conv_id, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+m AS (SELECT c.conv_id, h, count(b.pos) AS m FROM c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 20 AND b.pos <= h GROUP BY ALL),
+r AS (SELECT m.conv_id, b.pos AS depth, b.name, b.words FROM m JOIN o b ON b.conv_id = m.conv_id - m.conv_id % 20 AND b.pos <= h
+  UNION ALL SELECT m.conv_id, b.pos - h + m AS depth, b.name, b.words FROM m JOIN o b ON b.conv_id = m.conv_id AND b.pos > h),
+s AS (SELECT conv_id, depth, words, string_agg(name, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM m),
+n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM s GROUP BY path, depth),
+k AS (SELECT path[:64 * (depth - 1)] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+a AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+u AS (SELECT path[:64 * up] AS path, sum((n_convs - 1) * words) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM a) GROUP BY 1),
+l AS (SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY path)
+SELECT a.conv_id, a.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, u.leaves AS n_leaves,
+  u.saved::BIGINT AS saved_tokens, sha256(coalesce(l.ids, '')) AS ends_sha256
+FROM a JOIN u USING (path) LEFT JOIN l USING (path) LEFT JOIN n p ON a.depth > 0 AND p.depth = a.depth - 1 AND p.path = a.path[:64 * (a.depth - 1)]
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, folder, "conversations"))
+
+
 ARCHIVE_BYTES = 1 << 20  # so that files roll on small tables; the default is 256 MiB
 WARC_SQL = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
