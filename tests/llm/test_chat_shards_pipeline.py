@@ -148,7 +148,7 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations", "embeddings", "labels"):
+    for t in ("documents", "benchmark", "conversations", "embeddings", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     got, want = QUERIES[name](spark, FOLDER), con.sql(SQL[name])
     columns = sorted(got.columns)

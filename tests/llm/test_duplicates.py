@@ -1,5 +1,6 @@
 """Near duplicates, repeated lines and leaks against brute force."""
 
+import itertools
 import random
 
 import numpy as np
@@ -263,3 +264,39 @@ def test_seed_ignores_masked_words():
     other[3] += np.uint64(1)
     mask = masks_of(9)[0]
     assert mask[3] == "0" and seeds(products(w), mask)[0] == seeds(products(other), mask)[0] and len(seeds(products(w[:5]), mask)) == 0
+
+
+@pytest.mark.parametrize("several", [True, False])
+def test_no_unique_text_is_lost_where_ids_repeat(spark, several):
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    other = [f"word{i} stands{i} alone{i} here{i} now{i} and{i} then{i}" for i in range(5)]
+    rows = [(1, a), (2, a), (3, other[1]), (None, a), (None, a), (5, other[0]), (5, other[0]), (9, None), (9, None), (6, None), (7, "")]
+    kept = {(1, a), (3, other[1]), (None, a), (5, other[0]), (9, None), (6, None), (7, "")}
+    if several:
+        rows += [(2, other[2]), (3, other[3]), (4, other[3]), (8, other[4]), (8, other[4] + " x"), (-2, a + " thirteen"), (-2, other[0])]
+        kept = (kept - {(1, a), (5, other[0])}) | {(2, other[2]), (3, other[3]), (-2, a + " thirteen"), (-2, other[0])}
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, text_digest string, may_go string")
+    got = one_of_each(docs.repartition(4))
+    assert got.columns == docs.columns
+    back = [(r.doc_id, r.text) for r in got.collect()]
+    eighth = [t for i, t in back if i == 8]
+    assert len(eighth) == several and set(eighth) <= {other[4], other[4] + " x"}
+    rest = [r for r in back if r[0] != 8]
+    assert set(rest) == kept and len(rest) == len(kept) + 1  # both rows without id stay
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    items = [(1, "alpha beta gamma delta epsilon"), (2, "un deux trois quatre cinq six sept huit"), (3, "语言模型的评测基准问题"), (4, "too short here"),
+             (5, "north south east west up down")]
+    texts = {1: "x alpha beta OTHER delta epsilon y", 2: "alpha beta other other epsilon", 3: "a un x trois quatre cinq six y huit b", 4: "un x y quatre z six sept huit",
+             5: "这里有语言模型的评测基准问题吗", 6: "语言模型的测评基准问题", 7: "too short here", 8: "north south east west up down", 9: "first south east west up down end",
+             10: "north south east west up last", 11: "norths south east west ups down"}
+    for short, n in ((items[0], 1), (items[4], 1), (items[1], 2)):
+        words = short[1].split()
+        for gone in itertools.combinations(range(len(words)), n):
+            texts[100 * short[0] + len(texts)] = " ".join("other" if i in gone else w for i, w in enumerate(words))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.equal_words) for r in find_overlaps(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {f for f in found if f[0] < 100} == {(1, 1, 4), (3, 2, 6), (5, 3, 11), (8, 5, 6), (9, 5, 5), (10, 5, 5)} | {f for f in found if f[0] == 6}
+    assert {f[:2] for f in found if f[0] > 100} == {(i, i // 100) for i in texts if i > 100}
+    assert [len(tokens(t)) for t in ("语言 ab", "ภาษา_x", "日本語のテキスト", "한국어 문장", "a_b")] == [3, 5, 8, 2, 2]

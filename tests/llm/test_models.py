@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vecsearch.llm import language, learned_ann, toxicity
 from vecsearch.llm.convnet import ConvNet
+from vecsearch.llm.learned_ann import best_of
 
 from .conftest import ODD
 
@@ -182,3 +183,83 @@ def test_ann_repeated_ids_do_not_crowd(spark, part_rows):
         if part_rows == 1000:  # one part: exact
             assert [j for _, j in sorted(got[i])] == [j for _, j in want]
         assert all(-s <= best[j] + 1e-12 for s, j in got[i])
+
+
+@pytest.mark.parametrize("text, known", [("½ ²", False), ("Ⅷ 7", False), ("_", False), ("ª", True), ("½ é", True), ("12 日", True)])
+def test_only_letters_make_a_language(text, known):
+    model = language.LanguageModel(["en"], ConvNet(8, (2, 3, 4), 16, 1, 0), np.zeros((256, 8), np.float32))
+    assert (language.predict([text], model)[0] == ["en"]) == known
+
+
+def test_language_column_of_free_text_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(i, "some words of text here", ["en", "de", f"junk{i}", None][i % 4]) for i in range(200)] + [(i, "more", "en") for i in range(200, 220)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), epochs=1)
+    assert model.names == ["de", "en"]
+
+
+def test_language_scores_equal_a_plain_forward_pass():
+    rng = np.random.default_rng(4)
+    net, table = ConvNet(8, (2, 3, 4), 16, 3, 4), rng.normal(size=(256, 8)).astype(np.float32)
+    for name in net.params:
+        net.params[name] = rng.normal(size=net.params[name].shape).astype(np.float32) * 0.5
+    model = language.LanguageModel(["a", "b", "c"], net, table)
+    texts = ["short é", "x" * 256, "exactly one more " * 16 + "y", "".join(map(chr, rng.integers(97, 123, 3000))), "日本 " * 400]
+
+    def plain(text):
+        raw, total = text.encode(), np.zeros(3)
+        full = len(raw) // 256
+        cuts = [raw.ljust(256, b"\0")] if len(raw) <= 256 else [raw[i * 256:(i + 1) * 256] for i in range(full)] + [raw[-256:]] * (len(raw) % 256 > 0)
+        for w in cuts:
+            x = table[list(w)].astype(np.float64)
+            tops = []
+            for width in net.widths:
+                kernel, bias = net.params[f"w{width}"].astype(np.float64), net.params[f"b{width}"]
+                padded = np.vstack([x, np.tile(table[0].astype(np.float64), (net.gap, 1))])
+                values = [np.maximum(sum(padded[p + j] @ kernel[j] for j in range(width)) + bias, 0) for p in range(256)]
+                tops.append(np.max(values, axis=0))
+            z = np.concatenate(tops) @ net.params["out"] + net.params["bias"]
+            p = np.exp(z - z.max())
+            total += p / p.sum() * sum(b != 0 for b in w)
+        return total / total.sum()
+
+    names, scores = language.predict(texts, model)
+    for text, name, score in zip(texts, names, scores):
+        p = plain(text)
+        assert name == "abc"[int(p.argmax())] and abs(score - p.max()) < 1e-4
+
+
+def test_ann_order_of_long_vectors():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        q = rng.normal(size=(1, 64)) * 1e6
+        b = rng.normal(size=(200, 64)) * 1e6
+        b -= (b @ q.T) * q / (q ** 2).sum()  # nearly at right angles
+        exact = (b * q[0]).sum(axis=1)
+        want = np.lexsort((np.arange(200), -exact))[:20]
+        assert best_of(q, np.array([-1]), b, np.arange(200), 20)[1].tolist() == want.tolist()
+
+
+def test_toxicity_sample_comes_from_documents_that_exist(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ("bad " if i % 2 else "good ") * (30_000 if i % 4 == 0 else 30), "en") for i in range(100)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(i, i % 2) for i in range(1000, 9000)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, per_class=60, longest=1000, least_steps=60)
+    assert model.net is not None
+    texts = ["bad bad bad", "good good good", "", None, "good " * 50 + "bad", "new words only", "!"]
+    score = model.scores(texts)
+    assert score[0] > 0.7 > score[1]
+    monkeypatch.setattr(toxicity, "CHUNK", 7)  # many chunks give what a plain pass over the whole text gives
+    np.testing.assert_allclose(model.scores(texts), [plain_toxicity(model, t) for t in texts], atol=1e-5)
+    np.testing.assert_allclose(score, model.scores(texts), atol=1e-6)
+
+
+def plain_toxicity(model, text):
+    net, words = model.net, toxicity.words_of(text)
+    x = [model.table[model.hashed.lookup([w])[0]].sum(axis=0).astype(np.float64) for w in words] + [np.zeros(net.dim)] * net.gap
+    tops = []
+    for width in net.widths:
+        kernel, bias = net.params[f"w{width}"], net.params[f"b{width}"]
+        values = [sum(x[p + j] @ kernel[j] for j in range(width)) + bias for p in range(len(words))]
+        tops.append(np.maximum(np.max(values, axis=0), 0) if values else np.zeros(net.filters))
+    z = np.concatenate(tops) @ net.params["out"] + net.params["bias"]
+    return 1 / (1 + np.exp(-(model.slope * (z[1] - z[0]) + model.shift)))

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from vecsearch.llm.packing import CapacityTree, first_fit_decreasing, pack_documents
+from vecsearch.llm.pretokens import Spans, segments
 from vecsearch.llm.token_counts import Encoder, count_tokens
 
 from .conftest import ODD
@@ -95,3 +96,35 @@ def test_packing_empty_and_padding(empty, spark):
     rows = pack_documents(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), PATH).collect()
     sequences = {r.sequence_id for r in rows}
     assert sum(r.length for r in rows) / (1024 * len(sequences)) > 0.98
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_of_one_hash_are_told_apart(library, n):
+    a, b = thue_morse(n, "ab"), thue_morse(n, "ba")
+    spans = Spans([a, b])
+    assert spans.key[0] == spans.key[1] and a != b
+    for texts in ([a, b], [b, a, a + " x", b], [f"{a} {b} {a}"], [a * 2, b * 2, (a + b) * 2]):
+        coder = Encoder(PATH)
+        want = [ids_of(library, t) for t in texts]
+        assert [x.tolist() for x in coder.ids(texts)] == want and [x.tolist() for x in coder.ids(texts[::-1])] == want[::-1]
+        assert coder.counts(texts).tolist() == [len(x) for x in want]
+
+
+def test_long_texts_are_cut_at_borders_of_classes(library):
+    rnd = random.Random(8)
+    signs = ["语", "言", "，", "。", "7", "'", "s", "re", "+", "/", "A", "z", "\n", "\t ", "é"]
+    texts = ["".join(rnd.choices(signs[k:], k=4000)) for k in (0, 2, 4, 6)] + ["".join(rnd.choices("ABab01+/", k=6000)), "字" * 700]
+    group = [g for g, _, _ in segments(texts, None, 50)]
+    assert all("".join(s for g, o, _ in segments([t], None, 50) for s in g) == t for t in texts) and len(group) > 200
+    coder = Encoder(PATH, chunk_chars=50)
+    assert [x.tolist() for x in coder.ids(texts)] == [ids_of(library, t) for t in texts]
+
+
+def test_fifty_megabytes_of_one_script_come_in_pieces():
+    text = "语言模型的文本没有空格，" * 1_400_000  # 50 MB in UTF-8
+    sizes = [sum(map(len, g)) for g, _, _ in segments([text], None, 1 << 19)]
+    assert sum(sizes) == len(text) and max(sizes) <= (1 << 19) + 12

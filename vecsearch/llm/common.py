@@ -45,15 +45,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name if name not in df.columns else f"{name}_{uuid.uuid4().hex[:8]}"
 
 
-def hash_sample(df: DataFrame, group: str, key: str, n: int) -> DataFrame:
+def hash_sample(df: DataFrame, group: str, key: str, n: int, most_groups: int = 256) -> DataFrame:
     """The ``n`` rows of smallest hash of ``key`` in every group; ``df`` has one row per group and key.
 
-    A group is thinned by the hash itself to about ``4 n`` rows before its rows meet, whatever its size. Groups are few
-    (classes of a model): one count each reaches the driver.
+    A group is thinned by the hash itself to about ``4 n`` rows before its rows meet, whatever its size. Groups are the classes
+    of a model: the ``most_groups`` largest are used, and one count of each reaches the driver.
     """
-    sizes = {r[0]: r[1] for r in df.groupBy(group).count().collect()}
+    largest = df.where(F.col(group).isNotNull()).groupBy(group).count().orderBy(F.desc("count"), group).limit(most_groups)
+    sizes = {r[0]: r[1] for r in largest.collect()}
     if not sizes:
-        return df
+        return df.limit(0)
     slot = F.pmod(F.xxhash64(key), F.lit(1 << 32))
     share = F.create_map(*[F.lit(x) for g, size in sizes.items() for x in (g, int((1 << 32) * min(1.0, (4 * n + 200) / size)))])
     order = Window.partitionBy(group).orderBy(slot, key)

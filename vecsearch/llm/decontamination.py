@@ -9,6 +9,7 @@ diagonal, and the best stretch decides.
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import Stored, fresh
 from .words import mix, multipliers
 
-# Which words of a window count ("1") and which are ignored.
+# Which words of a window count ("1") and which are ignored, and the letters of scripts written without spaces.
 MASKS = ("111010011", "110101101", "101101110", "110011101")
 SPAN = 9
 SHORTEST = 5  # items with fewer words take no part
@@ -31,7 +32,8 @@ LEAST_BITS, MOST_BITS, PROBES = 16, 27, 3
 MULTIPLIERS = multipliers(SPAN, 23)
 ROOM = 150_000  # words a worker remembers
 BATCH = 1 << 16  # words scanned at once
-_WORD = re.compile(r"[^\W_]+")
+_UNSPACED = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W_{_UNSPACED}]+|(?!_)[{_UNSPACED}](?<=\w)")
 
 
 class _Hashes(dict):
@@ -48,7 +50,7 @@ _hashes = _Hashes()
 
 
 def tokens(text: str | None) -> np.ndarray:
-    """Hashes of a text's words: letters and digits, in lower case."""
+    """Hashes of a text's words: letters and digits, in lower case; each letter of a script without spaces is a word."""
     words = _WORD.findall(text.lower()) if text else []
     if len(_hashes) >= ROOM:
         _hashes.clear()
@@ -75,8 +77,18 @@ def seeds(shares: list[np.ndarray], mask: str) -> np.ndarray:
 
 
 def masks_of(length: int) -> tuple[str, ...]:
-    """Masks for an item of so many words; one shorter than a window is hashed whole."""
-    return MASKS if length >= SPAN else ("1" * length,) if length >= SHORTEST else ()
+    """Masks for an item of so many words.
+
+    An item shorter than a window is a window of its own, and its masks leave out words so that, wherever as many words
+    differ as ``SHARE`` allows, some mask ignores them all: every single word in turn, or of eight words every two of the four pairs.
+    """
+    if length >= SPAN:
+        return MASKS
+    if length < SHORTEST:
+        return ()
+    if length < 8:
+        return tuple("1" * i + "0" + "1" * (length - i - 1) for i in range(length))
+    return tuple("".join("00" if p in gone else "11" for p in range(4)) for gone in combinations(range(4), 2))
 
 
 def slots(h: np.ndarray, probe: int, bits: int) -> np.ndarray:
@@ -141,8 +153,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, null_ids: bool = False)
     """Overlaps of documents with benchmark items: doc_id, text_hash, item_id, start, length, equal_words.
 
     One row per document text and item (item_id and words): the best stretch of words on one diagonal, if at least ``NEED`` words of it (``SHARE``
-    of a short item's words) are equal; ``start`` counts the document's words. Items with fewer than ``SHORTEST`` words,
-    null and empty texts have no overlap. A null doc_id is reported as null (text_hash tells which text it was); repeated rows
+    of a short item's words) are equal; ``start`` counts the document's words. Of an item shorter than a window (9 words) all words
+    are compared, so 1 of 5 to 7 or 2 of 8 may differ. ``CONTEXT`` words on both sides of the hits are looked at: where a long stretch goes on
+    without another hit, its end is not reported. Items with fewer than ``SHORTEST`` words, null and empty texts have no overlap. A null doc_id is reported as null (text_hash tells which text it was); repeated rows
     are reported once; further columns are ignored; an empty table on either side gives no row. Items are told apart by their words,
     so an item_id may occur with several texts. Items without an id take part with ``null_ids`` only, item_id null.
     """
@@ -152,7 +165,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, null_ids: bool = False)
     count = items.df.count()
     marks, bits = bitmap(items.df, count)
     lengths = sorted(r[0] for r in items.df.where(F.col("item_words") < SPAN).select("item_words").distinct().collect())
-    masks = (MASKS if items.df.where(F.col("item_words") >= SPAN).limit(1).count() else ()) + tuple("1" * n for n in lengths)
+    masks = (MASKS if items.df.where(F.col("item_words") >= SPAN).limit(1).count() else ()) + tuple(m for n in lengths for m in masks_of(n))
 
     def scan(texts: list[np.ndarray]) -> list[tuple[int, int, int]]:
         """(text, position, seed) of all windows that the bitmap doesn't rule out, over several texts at once."""
@@ -216,7 +229,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, null_ids: bool = False)
                 if lo >= hi:
                     continue
                 equal = w[lo:hi] == it[lo - shift:hi - shift]
-                a, b = best_stretch(equal)
+                a, b = best_stretch(equal) if len(it) >= SPAN else (0, len(equal))
                 same = int(equal[a:b].sum())
                 if same >= min(NEED, int(np.ceil(SHARE * len(it)))):
                     out.append((doc.as_py(), th.as_py(), key.as_py(), start.as_py() + lo + a, b - a, same))

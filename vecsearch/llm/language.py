@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +15,7 @@ from .convnet import ConvNet, Embedding, softmax
 WINDOW = 256
 BATCH = 256  # windows scored at once
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+MOST_LANGUAGES = 256
 
 
 @dataclass
@@ -55,14 +54,15 @@ def train(docs: DataFrame, per_language: int = 600, chars_each: int = 4096, wind
     """Fits the network on a bounded sample: ``per_language`` documents of each language, ``chars_each`` characters of each.
 
     The documents with the smallest hash of doc_id are taken, of each a stretch at a place that this hash gives. Only the fit
-    is bounded; predictions cover whole texts. With no usable row the model knows no language.
+    is bounded; predictions cover whole texts. With no usable row the model knows no language. Of more than ``MOST_LANGUAGES``
+    values of ``lang`` the commonest are learned (ties: the smaller), so a column of free text can't swell the model.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & training_part(F.col("doc_id")))
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("doc_id")
-    ids = hash_sample(rows.select("doc_id", "lang").distinct(), "lang", "doc_id", per_language)
+    ids = hash_sample(rows.select("doc_id", "lang").distinct(), "lang", "doc_id", per_language, MOST_LANGUAGES)
     spot = F.pmod(h, F.greatest(F.lit(1), F.length("text") - chars_each)).cast("int") + 1
     part = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", F.substring(F.col("text"), spot, F.lit(chars_each)).alias("text"))
     sample = part.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toArrow()
@@ -113,7 +113,7 @@ def predict(texts: list[str | None], model: LanguageModel) -> tuple[list[str], l
 
     held, known = 0, []
     for i, text in enumerate(texts):
-        if text and _LETTER.search(text):
+        if text and any(map(str.isalpha, text)):  # Unicode category L
             known.append(i)
             waiting.append((i, windows_of(text.encode())))
             held += len(waiting[-1][1])

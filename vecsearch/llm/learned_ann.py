@@ -148,13 +148,15 @@ def best_of(q: np.ndarray, q_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray,
     starts = np.flatnonzero(np.append(True, np.diff(b_ids[order]) != 0))
     single = len(starts) == len(b_ids)
     out_q, out_b, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    # Two orders of the additions of a product differ by less than this times the query's length.
+    slack = 2 * (b.shape[1] + 8) * np.finfo(np.float64).eps * np.linalg.norm(b, axis=1).max(initial=0)
     for at in range(0, len(q), SLICE):
         s = q[at:at + SLICE] @ b.T
         own = q_ids[at:at + SLICE]
         s[own[:, None] == b_ids[None]] = -np.inf
         each = s if single else np.maximum.reduceat(s[:, order], starts, axis=1)  # the best row of an id
         low = np.partition(each, len(starts) - k, axis=1)[:, len(starts) - k] if len(starts) > k else np.full(len(s), -np.inf)
-        margin = 1e-12 * (1 + np.abs(np.where(np.isfinite(low), low, 0)))
+        margin = slack * np.linalg.norm(q[at:at + SLICE], axis=1)
         for i in range(len(s)):
             may = np.flatnonzero((s[i] >= low[i] - margin[i]) & (s[i] > -np.inf))
             exact = (b[may] * q[at + i]).sum(axis=1)  # the same order of additions for every row: equal vectors tie

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, components, drop_all, fresh, plain_texts
+from .common import Stored, components, drop_all, fresh, join_by_weight, plain_texts
 from .words import mix, shingle_set
 
 BANDS, ROWS, BITS = 32, 4, 4
@@ -248,20 +248,47 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs``, all columns, without those of which a near duplicate with a smaller doc_id exists.
+    """The rows of ``docs``, all columns, without those whose text is a near duplicate of one that comes before by (doc_id, text digest).
 
-    Of rows that repeat a doc_id one is kept. Rows without doc_id stay.
+    Texts are told apart from one another also where they share a doc_id; of rows equal in both one is kept. Rows without
+    doc_id stay.
     """
-    found = Stored(near_duplicates(docs, size, percent), "near")
-    gone = found.df.where("not kept").select("doc_id").distinct()
-    repeated = found.df.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    place = fresh(docs, "may_go")
-    marked = docs.withColumn(place, possibly_in(gone)(F.col("doc_id")))
-    same_id = F.col("doc_id").cast("long") == F.col("gone_id")
-    left = marked.where(~F.col(place)).union(
-        marked.where(F.col(place)).join(gone.withColumnRenamed("doc_id", "gone_id"), same_id, "left_anti")).drop(place)
-    if not repeated.limit(1).count():
-        return left
-    twice = repeated.withColumnRenamed("doc_id", "twice_id")
-    same = F.col("doc_id").cast("long") == F.col("twice_id")
-    return left.join(twice, same, "left_anti").union(left.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+    digest, place = fresh(docs, "text_digest"), fresh(docs, "may_go")
+    named = docs.withColumn(digest, F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256))
+    ids = F.col("doc_id").cast("long").alias("doc_id")
+    twice = Stored(named.where("doc_id is not null").groupBy(ids).agg(
+        F.count(F.lit(1)).alias("rows"), (F.min(digest) != F.max(digest)).alias("several")).where("rows > 1"), "repeated_ids")
+    if twice.df.where("several").isEmpty():
+        found = Stored(near_duplicates(docs, size, percent), "near")
+        gone = found.df.where("not kept").select("doc_id", F.lit(None).cast("string").alias("gone_digest")).distinct()
+    else:
+        gone = _gone_texts(named, digest, twice.df.where("several").select("doc_id"), size, percent).df
+    gone = gone.withColumnRenamed("doc_id", "gone_id")
+    same = (F.col("doc_id").cast("long") == F.col("gone_id")) & (F.col("gone_digest").isNull() | (F.col("gone_digest") == F.col(digest)))
+    marked = named.withColumn(place, possibly_in(gone.select(F.col("gone_id").alias("doc_id")))(F.col("doc_id")))
+    left = marked.where(~F.col(place)).union(marked.where(F.col(place)).join(gone, same, "left_anti")).drop(place)
+    if not twice.df.isEmpty():
+        again = F.col("doc_id").cast("long") == F.col("twice_id")
+        ids = twice.df.select(F.col("doc_id").alias("twice_id"))
+        left = left.join(ids, again, "left_anti").union(left.join(ids, again, "left_semi").dropDuplicates(["doc_id", digest]))
+    return left.drop(digest)
+
+
+def _gone_texts(named: DataFrame, digest: str, several: DataFrame, size: int, percent: int) -> Stored:
+    """(doc_id, gone_digest) of the texts to drop where some ids (``several``) have more than one text; a null digest means all of an id.
+
+    For the search the texts of those ids get ids of their own, above all others.
+    """
+    plain = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(digest).alias("own_digest"))
+    plain = plain.where("doc_id is not null")
+    most = plain.agg(F.max("doc_id")).first()[0]
+    apart = Stored(plain.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "own_digest"]).select(
+        (F.lit(most + 1) + F.monotonically_increasing_id()).alias("own_id"), "doc_id", "own_digest", "text"), "texts_of_one_id")
+    every = plain.join(several, "doc_id", "left_anti").select("doc_id", "text").unionByName(apart.df.select(F.col("own_id").alias("doc_id"), "text"))
+    found = near_duplicates(every, size, percent).select(F.col("doc_id").alias("own_id"), "component_id").distinct()
+    found = Stored(found.join(apart.df.drop("text"), "own_id", "left").withColumn("doc_id", F.coalesce("doc_id", "own_id")), "near")
+    first = found.df.groupBy("component_id").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("doc_id", "own_digest")).alias("first"))
+    first = Stored(first.where("members > 1"), "first")
+    out = join_by_weight(found.df, first.df, "component_id", "members")
+    out = out.where(~F.struct("doc_id", "own_digest").eqNullSafe(F.col("first"))).select("doc_id", F.col("own_digest").alias("gone_digest"))
+    return Stored(out, "gone")

@@ -7,7 +7,6 @@ follows. A whole batch of texts is cut at once: every decision depends on charac
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,7 +20,7 @@ ENDINGS_1 = "stmd"
 ENDINGS_2 = ("re", "ve", "ll")
 
 _WALL_CODE = 0x110000
-_CUT = re.compile(r"\w ")
+_LOOK = 1 << 16
 _R = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,8 +42,28 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
+def stretches(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indexes begin ... begin + size - 1 of every row, one row after the other."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)
+
+
+def border(text: str, at: int) -> int:
+    """The first place from ``at`` on where a pre-token starts whatever stands around: behind a sign of one class (no white space, no
+    apostrophe) that one of another class follows; else the end of the text."""
+    while at < len(text):
+        part = text[at - 1:at + _LOOK]
+        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4")
+        c = classes()[codes]
+        found = np.flatnonzero((c[1:] != c[:-1]) & (c[:-1] != SPACE) & (codes[:-1] != 39))
+        if len(found):
+            return at + int(found[0])
+        at += _LOOK
+    return len(text)
+
+
 class Spans:
-    """Pre-tokens of some text segments: ``segment`` index, ``key`` (64-bit content hash), and their texts."""
+    """Pre-tokens of some text segments: ``segment`` index, ``key`` (64-bit hash; unequal ones may share it), and their code points."""
 
     def __init__(self, segments: list[str]):
         codes = np.frombuffer("".join(segments).encode("utf-32-le"), "<u4")
@@ -88,6 +107,10 @@ class Spans:
             h += (self.end - self.begin).astype(np.uint64)
         self.key = h ^ (h >> np.uint64(32))
 
+    def codes(self, rows: np.ndarray) -> np.ndarray:
+        """Code points of some pre-tokens, one after the other."""
+        return self._codes[stretches(self.begin[rows], self.end[rows] - self.begin[rows])]
+
     def text(self, i: int) -> str:
         return self._codes[self.begin[i]:self.end[i]].astype("<u4").tobytes().decode("utf-32-le")
 
@@ -95,8 +118,9 @@ class Spans:
 def segments(texts: list[str | None], special: str | None, limit: int) -> Iterator[tuple[list[str], list[int], np.ndarray]]:
     """Groups of segments of about ``limit`` characters: (segments, their text's index, specials per text).
 
-    A text is cut at its special strings, and beyond ``limit`` before a space after a word, where a pre-token always
-    starts; so any length is handled whole, in bounded memory. Null counts as empty.
+    A text is cut at its special strings, and beyond ``limit`` at the next border of classes (letters, digits, white space, other
+    signs), where a pre-token always starts; so texts of any length are handled whole, a piece of about ``limit`` characters at a time. Only
+    a run of one class that is longer, being one pre-token, is held as a whole. Null counts as empty.
     """
     group, owner, size = [], [], 0
     extra = np.zeros(len(texts), np.int64)
@@ -109,8 +133,8 @@ def segments(texts: list[str | None], special: str | None, limit: int) -> Iterat
             at = 0
             while at < len(part):
                 cut = len(part)
-                if cut - at > limit and (m := _CUT.search(part, at + limit)):
-                    cut = m.start() + 1
+                if cut - at > limit:
+                    cut = border(part, at + limit)
                 group.append(part[at:cut])
                 owner.append(i)
                 size += cut - at

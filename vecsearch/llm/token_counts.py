@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import plain_texts
-from .pretokens import Spans, segments
+from .pretokens import Spans, segments, stretches
 
 _NONE = np.int32(2**31 - 1)
 _SLOTS = 19
@@ -23,7 +23,7 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _byte_letters() -> list[str]:
-    """The printable character by which a byte-level vocabulary file writes each byte."""
+    """The printable character by which a byte-level vocabulary file writes each byte (fixed values)."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = iter(range(256, 512))
     return [chr(b if b in set(plain) else next(rest)) for b in range(256)]
@@ -121,7 +121,10 @@ def load(path: str) -> Merges:
 
 
 class Encoder:
-    """Token ids of texts; distinct pre-tokens are merged once and remembered up to ``room`` of them."""
+    """Token ids of texts; distinct pre-tokens are merged once and remembered up to ``room`` of them.
+
+    Pre-tokens are looked up by a hash, and every one is then compared with the remembered one sign by sign.
+    """
 
     def __init__(self, path: str, room: int = 300_000, chunk_chars: int = 1 << 19):
         self.merges, self.room, self.chunk_chars = load(path), room, chunk_chars
@@ -130,37 +133,66 @@ class Encoder:
     def _forget(self) -> None:
         self._place: dict[int, int] = {}
         self._pool, self._starts = np.zeros(1 << 16, np.uint16 if len(self.merges.product) < 65_000 else np.int32), np.zeros(1 << 14, np.int64)
-        self._used = 0
+        self._letters, self._letter_starts = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64)
+        self._used = self._held = 0
 
     def _places(self, spans: Spans) -> np.ndarray:
         """Per pre-token its place in the memory of merged ones."""
         keys, first, back = np.unique(spans.key, return_index=True, return_inverse=True)
-        if len(self._place) + len(keys) > self.room:
+        if self._held + len(keys) > self.room:
             self._forget()
         get = self._place.get
         known = keys.tolist()
         place = np.fromiter((get(k, -1) for k in known), np.int64, len(known))
         missing = np.flatnonzero(place < 0)
         if len(missing):
-            raw = [spans.text(i).encode() for i in first[missing].tolist()]
-            lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-            symbols = self.merges.first[np.frombuffer(b"".join(raw), np.uint8)]
-            ids, counts = self.merges.merge(symbols, lengths)
-            place[missing] = self._add(ids, counts)
+            place[missing] = self._add(spans, first[missing])
             self._place.update(zip(keys[missing].tolist(), place[missing].tolist()))
-        return place[back]
-
-    def _add(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        n, used = len(self._place), self._used
-        while used + len(ids) > len(self._pool):
-            self._pool = np.concatenate([self._pool, np.zeros_like(self._pool)])
-        while n + len(counts) + 1 > len(self._starts):
-            self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
-        self._pool[used:used + len(ids)] = ids
-        self._starts[n + 1:n + 1 + len(counts)] = used + np.cumsum(counts)
-        self._used = used + len(ids)
+        place = place[back]
+        other = self._unlike(spans, place)
+        if len(other):  # they share the hash of another pre-token
+            texts = [spans.text(i) for i in other.tolist()]
+            one = {t: i for t, i in zip(texts, other.tolist())}
+            new = dict(zip(one, self._add(spans, np.fromiter(one.values(), np.int64, len(one))).tolist()))
+            place[other] = [new[t] for t in texts]
+        return place
+
+    def _unlike(self, spans: Spans, place: np.ndarray) -> np.ndarray:
+        """Pre-tokens that differ from the remembered one at their place."""
+        begin = self._letter_starts[place]
+        size = self._letter_starts[place + 1] - begin
+        unlike = size != spans.end - spans.begin
+        rows = np.flatnonzero(~unlike)
+        if len(rows):
+            wrong = spans.codes(rows) != self._letters[stretches(begin[rows], size[rows])]
+            if wrong.any():
+                unlike[rows[np.unique(np.repeat(np.arange(len(rows)), size[rows])[wrong])]] = True
+        return np.flatnonzero(unlike)
+
+    def _add(self, spans: Spans, rows: np.ndarray) -> np.ndarray:
+        """Merges some pre-tokens and remembers them: their places."""
+        raw = [spans.text(i).encode() for i in rows.tolist()]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        ids, counts = self.merges.merge(self.merges.first[np.frombuffer(b"".join(raw), np.uint8)], lengths)
+        codes, n = spans.codes(rows), self._held
+        self._pool = self._room(self._pool, self._used + len(ids))
+        self._starts = self._room(self._starts, n + len(counts) + 1)
+        self._letter_starts = self._room(self._letter_starts, n + len(counts) + 1)
+        told = int(self._letter_starts[n])
+        self._letters = self._room(self._letters, told + len(codes))
+        self._pool[self._used:self._used + len(ids)] = ids
+        self._letters[told:told + len(codes)] = codes
+        self._starts[n + 1:n + 1 + len(counts)] = self._used + np.cumsum(counts)
+        self._letter_starts[n + 1:n + 1 + len(counts)] = told + np.cumsum(spans.end[rows] - spans.begin[rows])
+        self._used, self._held = self._used + len(ids), n + len(counts)
         return np.arange(n, n + len(counts))
 
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        while size > len(array):
+            array = np.concatenate([array, np.zeros_like(array)])
+        return array
+
     def counts(self, texts: list[str | None]) -> np.ndarray:
         total = np.zeros(len(texts), np.int64)
         extra = np.zeros(len(texts), np.int64)
@@ -189,8 +221,7 @@ class Encoder:
             place = self._places(spans)
             begin = self._starts[place]
             size = self._starts[place + 1] - begin
-            ends = np.cumsum(size)
-            flat = self._pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)]
+            flat = self._pool[stretches(begin, size)]
             per = np.bincount(spans.segment, size, len(group)).astype(np.int64)
             for i, piece in zip(owner, np.split(flat, np.cumsum(per)[:-1])):
                 parts[i].append(piece)
