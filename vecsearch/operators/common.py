@@ -72,6 +72,31 @@ def settle(df: DataFrame, max_rows: int = SMALL_PROBE_ROWS) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written to the shared scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def evaluated(df: DataFrame) -> DataFrame:
+    """``df`` for several readers: as it is if they would only scan a table, settled if each would run Python functions again."""
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except AttributeError:  # a remote session has no plan to look at
+        return settle(df)
+    return settle(df) if "EvalPython" in plan or "InArrow" in plan or "InPandas" in plan else df
+
+
+def stored_by(df: DataFrame) -> list[str]:
+    """Columns by which the one table that ``df`` reads is laid out in folders; none if that can't be told."""
+    try:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        return list(leaves.apply(0).relation().partitionSchema().fieldNames()) if leaves.size() == 1 else []
+    except Exception:  # another kind of source has no such schema
+        return []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint directory.
 

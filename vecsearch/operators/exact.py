@@ -13,7 +13,7 @@ def knn_exact(base: DataFrame, queries: DataFrame, n: int, **how) -> DataFrame:
     """``n`` nearest base rows of every query: query_id, neighbor_id, distance, rank."""
     everywhere = base.select("id", "embedding", F.array(F.lit(ANY_KEY)).alias("keys"))
     probes = queries.select("query_id", F.lit(ANY_KEY).alias("key"))
-    return search_keyed(everywhere, probes, queries, n, **how)
+    return search_keyed(everywhere, probes, queries, n, everywhere=True, **how)
 
 
 def knn_self(base: DataFrame, k: int, **how) -> DataFrame:

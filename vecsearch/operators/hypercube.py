@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HashTable, dimension, hash_params
-from .common import SMALL_CENTROID_ROWS, arrow_column, settle
+from .common import SMALL_CENTROID_ROWS, arrow_column, evaluated, settle
 from .exact import knn_exact
 from .kernels import matrix
 from .keyed import search_keyed
@@ -76,7 +76,7 @@ def cube_members(base: DataFrame, p: CubeParams, salts: int = 64) -> DataFrame:
     for the rows that stay.
     """
     order = "ord" if "ord" in base.columns else "id"
-    at = cube_vertices(base, p)
+    at = evaluated(cube_vertices(base, p))  # read for the last places and again for the rows
     group = Window.partitionBy("vertex", "salt").orderBy("at")
     whole = Window.partitionBy("vertex").orderBy("at")
     few = F.col("place") <= p.max_checked

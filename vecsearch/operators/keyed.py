@@ -1,7 +1,7 @@
 """Bulk top-n / radius search of many queries against a table, restricted to matching keys.
 
 Every search method reduces to the same job: a base row carries one or more bucket keys, a
-query probes some keys, and the closest base rows behind the probed keys win. Two physical
+query probes some keys, and the closest base rows behind the probed keys win. Three physical
 forms, chosen by the measured size of the query side:
 
 * **scan** - few queries: they travel to the tasks, the base is read once with no shuffle, every
@@ -11,7 +11,10 @@ forms, chosen by the measured size of the query side:
   (query side), so no task ever holds more than one block of queries plus one Arrow batch,
   whatever share of the rows a single key has. Pairs are never materialised as rows.
 
-Both return local winners; a window over ``query_id`` merges them.
+* **grid** (``grid.py``) - many queries that see all rows, or meet a row through several keys: blocks of queries by
+  stripes of the base.
+
+All return local winners; a window over ``query_id`` merges them.
 """
 
 from __future__ import annotations
@@ -24,14 +27,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SMALL_PROBE_ROWS, SMALL_QUERY_ROWS, fetch_if_small, settle, top_n, type_of
+from .common import SMALL_PROBE_ROWS, SMALL_QUERY_ROWS, evaluated, fetch_if_small, settle, stored, stored_by, top_n, type_of
+from .grid import OUT, Asked, keyed_grid, knn_grid, shape
 from .kernels import BestN, FlatScorer, id_values, matrix, without_spare_copies
 
 BASE_BLOCK_ROWS = 50_000
 QUERY_BLOCK_ROWS = 2_000
 ANY_KEY = ""
-# Up to this many distinct keys are pushed into the scan as a filter.
-MAX_FILTER_KEYS = 1_000
 
 
 def search_keyed(
@@ -42,33 +44,50 @@ def search_keyed(
     *,
     radius: float | None = None,
     scorer=None,
-    many_keys: bool = False,
+    many_keys: int = 0,
+    everywhere: bool = False,
     key_column: str | None = None,
     strategy: str = "auto",
-    base_block: int = BASE_BLOCK_ROWS,
-    query_block: int = QUERY_BLOCK_ROWS,
+    base_block: int | None = None,
+    query_block: int | None = None,
 ) -> DataFrame:
     """Nearest base rows behind the probed keys.
 
     ``base``: id, embedding, keys ARRAY<STRING or BINARY> [, pos]; ``probes``: query_id, key [, take];
     ``queries``: query_id, query_vec (``probes`` may carry a ``query_vec`` per key instead, in blocks). With ``pos``/``take`` a probe sees only rows ``pos <= take``.
-    ``key_column`` names a base column equal to the (single) key: few probed keys then filter the
-    base at the source, so a table partitioned by that column is read in part only.
-    ``many_keys`` says that a base row can be met through several keys (duplicates are removed).
+    ``key_column`` names a base column equal to the (single) key: a table partitioned by it is read only where probed.
+    ``many_keys`` says through how many keys a base row can be met (duplicates are removed), ``everywhere`` that every query
+    probes every row.
     """
-    scorer = scorer or FlatScorer()
     winners = None
     if strategy in ("auto", "scan"):
         q_table = fetch_if_small(queries.select("query_id", "query_vec"), SMALL_QUERY_ROWS)
         p_table = fetch_if_small(probes, SMALL_PROBE_ROWS) if q_table is not None else None
         if p_table is not None:
             if key_column:
-                base = _only_probed(base, p_table, key_column)
-            winners = _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys)
+                base = only_probed(base, base.sparkSession.createDataFrame(pa.table({"key": pc.unique(p_table["key"])})), key_column)
+            winners = _scan(base, p_table, q_table, queries, n, radius, scorer or FlatScorer(), bool(many_keys))
         elif strategy == "scan":
             raise ValueError("query side too large for the scan strategy")
     if winners is None:
-        winners = _blocks(base, probes, queries, n, radius, scorer, base_block, query_block)
+        asked = queries.groupBy("query_id").count().agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first()
+        if (asked["most"] or 0) > 1:
+            raise ValueError("query ids are not unique")
+        if everywhere or many_keys:
+            base = evaluated(base)
+            first = queries.select(F.size("query_vec")).first()
+            sizes = {"rows": base.count(), "asked": asked["rows"] or 0, "dim": first[0] if first else 1}
+            size = {"base_block": base_block, "query_block": query_block}
+            if everywhere:
+                return knn_grid(base, queries, n, scorer=scorer, **sizes, **size)
+            cores = base.sparkSession.sparkContext.defaultParallelism
+            blocks, stripes = shape(sizes["rows"], sizes["asked"], sizes["dim"], cores, work=0, **size)
+            if blocks <= many_keys:  # else a row travels less often by its keys
+                grid = keyed_grid(base, probes, queries, n, blocks, stripes, radius=radius, scorer=scorer)
+                return grid if n is None else top_n(grid, n)
+        if key_column:
+            base = only_probed(base, probes.select("key").distinct(), key_column)
+        winners = _blocks(base, probes, queries, n, radius, scorer or FlatScorer(), base_block or BASE_BLOCK_ROWS, query_block or QUERY_BLOCK_ROWS)
     if many_keys:
         # One shuffle by query serves both the duplicate removal and the ranking window.
         winners = winners.repartition("query_id").dropDuplicates(["query_id", "neighbor_id"])
@@ -77,12 +96,21 @@ def search_keyed(
     return top_n(winners, n)
 
 
-def _only_probed(base: DataFrame, p_table: pa.Table, key_column: str) -> DataFrame:
-    keys = pc.unique(p_table["key"])
-    if len(keys) > MAX_FILTER_KEYS:
+def only_probed(base: DataFrame, keys: DataFrame, key_column: str) -> DataFrame:
+    """``base`` without rows of other keys, where it is stored by ``key_column``: Spark then opens the files of those keys alone.
+
+    The keys are joined, so that their number doesn't matter to the plan (dynamic partition pruning); they are written first, as
+    Spark prunes by a filtered table only. A base that isn't stored by the column stays as it is.
+    """
+    if key_column not in stored_by(base):
+        return base
+    wanted = stored(keys.select(F.col("key").cast(type_of(base, key_column)).alias(key_column)).distinct(), "probed")
+    size = wanted.agg(F.count(F.lit(1)).alias("keys"), F.min(key_column).alias("least")).first()
+    if size["keys"] > SMALL_PROBE_ROWS:
         return base
-    kind = type_of(base, key_column)
-    return base.where(F.col(key_column).isin([F.lit(k).cast(kind) for k in keys.to_pylist()]))
+    if not size["keys"]:
+        return base.limit(0)
+    return base.join(F.broadcast(wanted.where(F.col(key_column) >= F.lit(size["least"]))), key_column, "left_semi")
 
 
 def _out_schema(base: DataFrame, queries: DataFrame) -> str:
@@ -103,9 +131,6 @@ def _within(q, b, d2, radius):
     return q[keep], b[keep], d2[keep]
 
 
-OUT = ["query_id", "neighbor_id", "distance"]
-
-
 def _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys) -> DataFrame:
     spark = base.sparkSession
     q_ids = id_values(q_table["query_id"])
@@ -130,59 +155,25 @@ def _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q_ids, q_vecs, probe_map = shared.value
-        best = BestN(len(q_ids), n, dedupe=many_keys)
-        id_type = None
+        asked, id_type = Asked(q_ids, q_vecs, n, scorer, probe_map, dedupe=many_keys, radius=radius), None
         for batch in batches:
             if not batch.num_rows or not probe_map:
                 continue
             id_type = batch.column("id").type
-            ids = id_values(batch.column("id"))
-            vecs = matrix(batch.column("embedding"))
-            pos = (batch.column("pos").to_numpy(zero_copy_only=False)
-                   if "pos" in batch.schema.names else None)
-            found_q, found_b, found_d = [], [], []
-            for key, members in _key_groups(batch.column("keys")):
-                if key not in probe_map:
-                    continue
-                who, take = probe_map[key]
-                if take is None and n is not None:
-                    members = members[without_spare_copies(vecs[members], ids[members], n)]
-                visible = None if take is None else pos[members][None, :] <= take[:, None]
-                bound = best.bound[who] if radius is None else np.full(len(who), radius ** 2)
-                q, b, d2 = scorer.pairs(key, q_vecs[who], vecs[members], n, bound, visible)
-                if radius is not None:
-                    q, b, d2 = _within(q, b, d2, radius)
-                found_q.append(who[q]), found_b.append(members[b]), found_d.append(d2)
-            if not found_q:
-                continue
-            best.add(np.concatenate(found_q), np.concatenate(found_d),
-                     ids[np.concatenate(found_b)])
-            if n is None and best.ids is not None:
-                yield _emit(OUT, best, q_ids, (types[0], id_type))
-                best = BestN(len(q_ids), n, dedupe=many_keys)
-        if best.ids is not None:
-            yield _emit(OUT, best, q_ids, (types[0], id_type))
+            pos = batch.column("pos").to_numpy(zero_copy_only=False) if "pos" in batch.schema.names else None
+            asked.add(id_values(batch.column("id")), matrix(batch.column("embedding")), batch.column("keys"), pos)
+            if n is None:
+                yield from asked.winners(OUT, (types[0], id_type))
+                asked.fresh()
+        yield from asked.winners(OUT, (types[0], id_type))
 
     columns = ["id", "embedding", "keys"] + (["pos"] if takes is not None else [])
     return base.select(*columns).mapInArrow(run, _out_schema(base, queries))
 
 
-def _key_groups(keys) -> Iterator[tuple[str, np.ndarray]]:
-    """(key, row numbers) for every distinct key of a batch of key lists."""
-    per_row = np.diff(keys.offsets.to_numpy())
-    owner = np.repeat(np.arange(len(per_row)), per_row)
-    coded = keys.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy()
-    order = np.argsort(codes, kind="stable")
-    cuts = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
-    for i, key in enumerate(coded.dictionary.to_pylist()):
-        yield key, owner[order[cuts[i]:cuts[i + 1]]]
-
-
 def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -> DataFrame:
     capped = "take" in probes.columns
-    if not queries.groupBy("query_id").count().where("count > 1").isEmpty():
-        raise ValueError("query ids are not unique")
+    base = evaluated(base)  # read for the splits and again for the search
     # Outer: a plain explode would add a filter that runs the Python key function a second time.
     by_key = base.select("id", "embedding", F.explode_outer("keys").alias("key"),
                          *(["pos"] if capped else []))

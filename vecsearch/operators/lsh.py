@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HashTable, dimension, hash_params, projection_codes
-from .common import arrow_column, settle, type_of
+from .common import arrow_column, evaluated, settle, type_of
 from .kernels import matrix
 from .keyed import search_keyed
 
@@ -231,6 +231,6 @@ def search_lsh(base: DataFrame, queries: DataFrame, n: int, p: LshParams = LshPa
 
     Pass a stored ``index`` (see ``lsh_index``) to skip hashing the base again.
     """
-    index = lsh_index(base, p) if index is None else index
+    index = evaluated(lsh_index(base, p) if index is None else index)  # buckets, fallback and search read it
     probes = lsh_candidates(index, queries, n, p).select("query_id", "key")
-    return search_keyed(index, probes, queries, n, many_keys=True, **how)
+    return search_keyed(index, probes, queries, n, many_keys=p.tables, **how)
