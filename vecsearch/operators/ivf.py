@@ -6,17 +6,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from ..functions.hashing import dimension
 from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, settle
 from .exact import knn_exact
 from .kernels import id_values, matrix, nearest_rows
 from .keyed import search_keyed
+from .lloyd import train
 
 
 @dataclass(frozen=True)
@@ -29,20 +29,15 @@ class IvfParams:
 
 def kmeans(base: DataFrame, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 300,
            init: DataFrame | None = None) -> DataFrame:
-    """Best of several seeded k-means runs: cell, centroid.
+    """Best of several seeded k-means runs, all advanced in one scan per step: cell, centroid.
 
+    An empty cell starts again at the row farthest from its centroid, so none stays empty while there are rows apart.
     With ``init`` (cell, centroid) one run of at most ``max_iter`` steps from that start; it ends when nothing moves.
     """
     if init is not None:
         return _from_start(init, lambda c: lloyd_step(base, c), ["cell"], max_iter)
-    points = base.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    points.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = (KMeans(k=k, seed=seed + r, maxIter=max_iter).fit(points) for r in range(restarts))
-        best = min(fits, key=lambda model: model.summary.trainingCost)
-    finally:
-        points.unpersist()
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(best.clusterCenters())]
+    best = train(base, [(0, dimension(base))], k, seed, restarts, max_iter)[0]
+    rows = [(i, c) for i, c in enumerate(best.centres.tolist())]
     return base.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
 
 

@@ -15,6 +15,7 @@ from ..functions.hashing import dimension
 from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, settle
 from .ivf import _from_start, assign_nearest, cell_sizes, kmeans, probe_cells, search_cells
 from .kernels import AdcScorer, matrix, nearest_rows
+from .lloyd import train
 
 
 @dataclass(frozen=True)
@@ -147,7 +148,7 @@ def pq_lloyd_step(res: DataFrame, codebook: DataFrame) -> DataFrame:
 
 def pq_train(res: DataFrame, m: int = 8, seed: int = 42, restarts: int = 2,
              max_iter: int = 300, init: DataFrame | None = None) -> DataFrame:
-    """Codebook by k-means in each subspace (seed + subspace number): m, code, centroid.
+    """Codebook by k-means in each subspace, restarts and subspaces advanced together in one scan per step: m, code, centroid.
 
     With ``init`` (m, code, centroid) one run of at most ``max_iter`` steps from that start in all subspaces together.
     """
@@ -156,16 +157,12 @@ def pq_train(res: DataFrame, m: int = 8, seed: int = 42, restarts: int = 2,
         return _from_start(init, lambda book: pq_lloyd_step(res, book), ["m", "code"], max_iter)
     dim = dimension(res, "residual")
     m = fit_m(dim, m)
-    # The residuals feed one training run per subspace.
     res = settle(res.select("residual"))
     size = codes_for(dim // m, res.limit(CODES_LONG).count())
-    books = None
-    for j in range(m):
-        piece = res.select(F.slice("residual", j * (dim // m) + 1, dim // m).alias("embedding"))
-        book = kmeans(piece, size, seed + j, restarts, max_iter).select(
-            F.lit(j).alias("m"), F.col("cell").alias("code"), "centroid")
-        books = book if books is None else books.unionByName(book)
-    return books
+    slices = [(j * (dim // m), (j + 1) * (dim // m)) for j in range(m)]
+    found = train(res.select(F.col("residual").alias("embedding")), slices, size, seed, restarts, max_iter)
+    rows = [(j, code, centre) for j, p in enumerate(found) for code, centre in enumerate(p.centres.tolist())]
+    return res.sparkSession.createDataFrame(rows, "m int, code int, centroid array<double>")
 
 
 def adc_distances(codes: DataFrame, probes: DataFrame, queries: DataFrame, centroids: DataFrame,

@@ -344,6 +344,19 @@ def q_pq_given(t):
     return rounded(book.select("m", "code", F.posexplode("centroid").alias("dim", "value")), "value")
 
 
+@query("pq_means", f"SELECT CAST(m AS INTEGER) AS m, {sql.CODES}::BIGINT AS codes, 0::BIGINT AS off_mean FROM range({sql.M}) AS r(m)")
+def q_pq_means(t):
+    """Every trained code is the mean of the sub-vectors that it is nearest to (to a thousandth), and none is empty."""
+    cells = centroids(t)
+    res = settle(pq.residuals(ivf.assign_nearest(t.base, cells), cells).select("id", "cell", "residual"))
+    book = settle(pq.pq_train(res, sql.M))
+    after = pq.pq_lloyd_step(res, book).select("m", "code", F.col("centroid").alias("mean"))
+    used = pq.pq_encode(res, book).select(F.posexplode("codes").alias("m", "code")).distinct()
+    far = F.exists(F.zip_with("centroid", "mean", lambda a, b: F.abs(a - b)), lambda d: d > 1e-3)
+    return book.join(after, ["m", "code"]).join(used.select("m", F.col("code").cast("int").alias("code")), ["m", "code"]).groupBy("m").agg(
+        F.count("*").alias("codes"), F.count(F.when(far, 1)).alias("off_mean"))
+
+
 @query("pq_encode", sql.select(sql.PQ, "SELECT id, cell, string_agg(CAST(code AS VARCHAR), ',' ORDER BY m) AS codes FROM enc GROUP BY id, cell"))
 def q_pq_encode(t):
     *_, codes = quantised(t)
