@@ -340,3 +340,26 @@ def test_mean_times_reach_the_summary(spark):
     row = summary.first()
     assert (row.avg_time, row.avg_qps, row.db_size, row.total_qps) == (2.0, 0.5, 9, 0.5)
     assert report.summary_lines(summary, ["A"], 10).count() > 6
+
+
+@pytest.mark.parametrize("bucket", [2, 7, 100_000])
+def test_adjacency_arrays(spark, bucket):
+    rng = np.random.default_rng(3)
+    pairs = {(0, int(j)) for j in range(1, 30)} | {tuple(map(int, sorted(rng.choice(30, 2, replace=False)))) for _ in range(40)}  # node 0 is a hub
+    edges = sorted((a, b, 1 + (a + b) % 2) for x, y in pairs for a, b in ((x, y), (y, x)))
+    df = spark.createDataFrame(edges, "src bigint, dst bigint, weight int").repartition(5)
+    got = [tuple(r) for r in graph.csr_adjacency(df, 33, bucket).orderBy("pos").collect()]
+    assert got == [(i, a, b, w) for i, (a, b, w) in enumerate(edges)]
+    offsets = {r.node: (r.start_off, r.end_off) for r in graph.csr_offsets(df, 33, bucket).collect()}
+    for node, (start, end) in offsets.items():
+        assert [r[1] for r in got[start:end]] == [node] * (end - start)
+    assert graph.csr_adjacency(df.limit(0), 3).count() == 0
+
+
+def test_composition_counts_characters(spark):
+    texts = ["ACDC", "", None, "éAß日C", "ac", "W" * 5000, "A\nC"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "seq string").coalesce(1).select(sequences.composition(F.col("seq"))).collect()]
+    assert got[2] is None and len(got) == len(texts)
+    for t, v in zip(texts, got):
+        if t is not None:
+            np.testing.assert_allclose(v, [t.count(c) / max(len(t), 1) for c in sequences.RESIDUES], atol=1e-7)

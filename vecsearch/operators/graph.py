@@ -73,6 +73,23 @@ def csr_offsets(edges: DataFrame, n: int, bucket: int = 100_000) -> DataFrame:
     )
 
 
+def csr_adjacency(edges: DataFrame, n: int, bucket: int = 100_000) -> DataFrame:
+    """The neighbour list behind the offsets: pos (0-based), node, neighbor, weight, in the order of (node, neighbor).
+
+    ``edges``: src, dst, weight without repeats. A second running sum numbers the edges of a node: inside ranges of ``bucket``
+    neighbours, and over the range totals of each node, so a node of any degree is spread over tasks.
+    """
+    ranged = edges.select("src", "dst", "weight", F.floor(F.col("dst") / bucket).alias("part"))
+    before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("src", "part").agg(F.count("*").alias("members")).withColumn(
+        "ahead", F.coalesce(F.sum("members").over(before), F.lit(0)))
+    offsets = csr_offsets(edges, n, bucket).select(F.col("node").alias("src"), "start_off")
+    placed = starts.join(offsets, "src").select("src", "part", (F.col("start_off") + F.col("ahead")).alias("first"))
+    inside = Window.partitionBy("src", "part").orderBy("dst")
+    return ranged.join(placed, ["src", "part"]).select(
+        (F.col("first") + F.row_number().over(inside) - 1).alias("pos"), F.col("src").alias("node"), F.col("dst").alias("neighbor"), "weight")
+
+
 def graph_counts(edges: DataFrame) -> DataFrame:
     """One row: n_nodes, n_edges (unordered pairs)."""
     ends = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().agg(

@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import type_of
+from .common import arrow_column, type_of
 
 # Residue letters that are kept, longest sequence, smallest pooling divisor.
 RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
@@ -46,9 +46,24 @@ def truncate(df: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
 
 def composition(seq: Column) -> Column:
     """Default embedding: share of each residue letter in the sequence."""
-    total = F.greatest(F.length(seq), F.lit(1))
-    count = lambda letter: F.length(seq) - F.length(F.replace(seq, F.lit(letter), F.lit("")))
-    return F.array(*[(count(letter) / total).cast("float") for letter in RESIDUES])
+    width = len(RESIDUES)
+    kind = np.full(256, width, np.int64)
+    kind[np.frombuffer(RESIDUES.encode(), np.uint8)] = np.arange(width)
+
+    @arrow_column("array<float>")
+    def shares(texts: pa.Array) -> pa.Array:
+        texts = texts.cast(pa.large_binary())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = texts.buffers()[2] if len(texts) else None
+        raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+        row = np.repeat(np.arange(len(texts)), np.diff(offsets))
+        counts = np.bincount(row * (width + 1) + kind[raw], minlength=len(texts) * (width + 1)).reshape(len(texts), width + 1)
+        # A character is every byte that doesn't go on with another one.
+        signs = np.bincount(row[raw & 0xC0 != 0x80], minlength=len(texts))
+        values = (counts[:, :width] / np.maximum(signs, 1)[:, None]).astype(np.float32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * width), pa.array(values.ravel()))
+
+    return F.when(seq.isNotNull(), shares(F.coalesce(seq, F.lit(""))))
 
 
 def embed(df: DataFrame, embed_fn: EmbedFn | None = None, batch_size: int = 8,

@@ -201,6 +201,12 @@ def q_csr(t):
     return graph.csr_offsets(graph.symmetrize(t.edges), t.n)
 
 
+@query("csr_adjacency", sql.select([sql.HITS, sql.EDGES, sql.CLEAN, sql.WEIGHTS, sql.SYM], """SELECT row_number() OVER (ORDER BY src, dst) - 1 AS pos,
+  src AS node, dst AS neighbor, CAST(weight AS INTEGER) AS weight FROM sym"""))
+def q_adjacency(t):
+    return graph.csr_adjacency(graph.symmetrize(t.edges), t.n)
+
+
 @query("graph_sample", sql.select([sql.HITS, sql.EDGES, sql.CLEAN, sql.WEIGHTS, sql.SYM,
                                    "kept AS (SELECT DISTINCT src AS node FROM sym ORDER BY node LIMIT 200)"], """SELECT src, dst, CAST(weight AS INTEGER) AS weight
 FROM sym WHERE src IN (SELECT node FROM kept) AND dst IN (SELECT node FROM kept)"""))
