@@ -49,15 +49,14 @@ def quantised(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     return cells, res, book, pq.pq_encode(res, book)
 
 
-def partitions(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Labelled base, raw scores per partition, probabilities."""
+def partitions(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Labelled base, and the most probable partitions of every query."""
     cells = centroids(t)
     assigned = ivf.assign_nearest(t.base, cells)
     labelled = learned.partition_labels(t.base, cells)
     names = assigned.select("id", "cell").join(labelled.select("id", "part"), "id").select(
         "cell", "part").distinct()
-    raw = learned.centroid_scores(t.queries, cells.join(names, "cell"))
-    return labelled, raw, learned.softmax_scores(raw)
+    return labelled, learned.near_partitions(t.queries, cells.join(names, "cell"), sql.TOP_T)
 
 
 # --- exact -------------------------------------------------------------------------------------
@@ -394,22 +393,22 @@ def q_labels(t):
 @query("partition_scores", sql.select(sql.LEARNED, """SELECT query_id, CAST(part AS INTEGER) AS part, round(prob, 6) AS prob,
   CAST(rank AS BIGINT) AS rank FROM tops"""))
 def q_scores(t):
-    _, _, probs = partitions(t)
-    return rounded(learned.top_partitions(probs, sql.TOP_T), "prob")
+    _, tops = partitions(t)
+    return rounded(tops, "prob")
 
 
 @query("learned_partition_join", sql.select(sql.LEARNED, """SELECT query_id, CAST(part AS INTEGER) AS part, count(*) AS members
 FROM tops JOIN labelled USING (part) GROUP BY query_id, part"""))
 def q_learned_join(t):
-    labelled, _, probs = partitions(t)
-    return ivf.cell_candidates(learned.top_partitions(probs, sql.TOP_T), labelled, "part")
+    labelled, tops = partitions(t)
+    return ivf.cell_candidates(tops, labelled, "part")
 
 
 @query("search_learned", sql.learned(N))
 def q_search_learned(t):
-    labelled, _, probs = partitions(t)
+    labelled, tops = partitions(t)
     return rounded(learned.search_learned(
-        t.base, t.queries, N, learned.LearnedParams(probes=sql.TOP_T), scores=probs, labelled=labelled))
+        t.base, t.queries, N, learned.LearnedParams(probes=sql.TOP_T), tops=tops, labelled=labelled))
 
 
 @query("train_partition_model")
@@ -488,9 +487,9 @@ def q_pq_blocks(t):
 
 @query("search_learned_blocks", sql.learned(N))
 def q_learned_blocks(t):
-    labelled, _, probs = partitions(t)
+    labelled, tops = partitions(t)
     p = learned.LearnedParams(probes=sql.TOP_T)
-    return rounded(learned.search_learned(t.base, t.queries, N, p, scores=probs, labelled=labelled, strategy="blocks"))
+    return rounded(learned.search_learned(t.base, t.queries, N, p, tops=tops, labelled=labelled, strategy="blocks"))
 
 
 # --- several methods, stored indexes -----------------------------------------------------------
@@ -498,14 +497,14 @@ def q_learned_blocks(t):
 def method_table(t: Tables) -> dict[str, evaluate.SearchFn]:
     """The five methods with their checked parameters, keyed as on the command line."""
     cells, _, book, codes = quantised(t)
-    labelled, _, probs = partitions(t)
+    labelled, tops = partitions(t)
     return {
         "lsh": lambda b, q, n: lsh.search_lsh(b, q, n, LSH),
         "hypercube": lambda b, q, n: hypercube.search_hypercube(b, q, n, CUBE),
         "ivfflat": lambda b, q, n: ivf.search_ivfflat(b, q, n, IVF, cells),
         "ivfpq": lambda b, q, n: pq.search_ivfpq(b, q, n, PQ, cells, book, codes),
         "neural": lambda b, q, n: learned.search_learned(
-            b, q, n, learned.LearnedParams(probes=sql.TOP_T), scores=probs, labelled=labelled),
+            b, q, n, learned.LearnedParams(probes=sql.TOP_T), tops=tops, labelled=labelled),
     }
 
 
