@@ -15,6 +15,7 @@ from vecsearch.llm.line_dedup import drop_repeated_lines
 from vecsearch.llm.minhash import one_of_each
 from vecsearch.llm.packing import pack_documents
 from vecsearch.llm.queries import VOCABULARY
+from vecsearch.operators.common import scratch_scope
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of a data folder, each written and read again before the next."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages on the documents of a data folder, each written and read again before the next.
+
+    What a stage has written for itself goes when its result is written, and that result when the next stage's is.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = Stored(stage(spark, docs, sf_dir), f"pipeline_{name}").df
+        with scratch_scope() as kept:
+            done = Stored(stage(spark, docs, sf_dir), f"pipeline_{name}")
+            kept.append(done.path)
+        if before is not None:
+            before.drop()
+        docs, before = done.df, done
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -128,8 +129,21 @@ def _remove_scratch() -> None:
     for spark, path in _written:
         try:
             remove_path(spark, path)
-        except Exception:  # the session is gone already: its owner has the folder
-            return
+        except Exception:  # its session is gone already, or its store doesn't answer: the next one may
+            continue
+
+
+@contextmanager
+def scratch_scope():
+    """Scratch folders written inside go at the end, but for those ``kept`` (a list of paths that the caller adds to)."""
+    mark, kept = len(_written), []
+    try:
+        yield kept
+    finally:
+        for spark, path in _written[mark:]:
+            if path not in kept:
+                remove_path(spark, path)
+        _written[mark:] = [w for w in _written[mark:] if w[1] in kept]
 
 
 def arrow_column(return_type: str):
