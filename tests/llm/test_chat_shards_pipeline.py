@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -156,3 +157,11 @@ def test_matches_sql(spark, name):
     assert {c: TYPES[t] for c, t in got.dtypes} == dict(zip(want.columns, map(str, want.types)))
     key = lambda t: sorted(str(tuple(r[c] for c in columns)) for r in t.to_pylist())
     assert key(got.toArrow()) == key(want.to_arrow_table())
+
+
+def test_pipeline_leaves_little_behind(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in root.iterdir()}
+    assert corpus_pipeline.run(spark, FOLDER).count() > 0
+    left = sorted(p.name.rsplit("-", 1)[0] for p in root.iterdir() if p.name not in before)
+    assert left == ["pieces", "pipeline_decontamination"]
