@@ -254,24 +254,28 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     doc_id stay.
     """
     digest, place = fresh(docs, "text_digest"), fresh(docs, "may_go")
-    named = docs.withColumn(digest, F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256))
-    ids = F.col("doc_id").cast("long").alias("doc_id")
-    twice = Stored(named.where("doc_id is not null").groupBy(ids).agg(
-        F.count(F.lit(1)).alias("rows"), (F.min(digest) != F.max(digest)).alias("several")).where("rows > 1"), "repeated_ids")
-    if twice.df.where("several").isEmpty():
-        found = Stored(near_duplicates(docs, size, percent), "near")
-        gone = found.df.where("not kept").select("doc_id", F.lit(None).cast("string").alias("gone_digest")).distinct()
-    else:
+    named, same_id = docs, F.col("doc_id").cast("long") == F.col("gone_id")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    hashes = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(97), text).alias("h2"))
+    twice = Stored(hashes.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), ((F.min("h1") != F.max("h1")) | (F.min("h2") != F.max("h2"))).alias("several")).where("rows > 1"), "repeated_ids")
+    several = not twice.df.where("several").isEmpty()
+    if several:  # rare: only then texts are told apart by a digest
+        named = docs.withColumn(digest, F.sha2(text.cast("binary"), 256))
         gone = _gone_texts(named, digest, twice.df.where("several").select("doc_id"), size, percent).df
+        same = same_id & (F.col("gone_digest").isNull() | (F.col("gone_digest") == F.col(digest)))
+    else:
+        found = Stored(near_duplicates(docs, size, percent), "near")
+        gone, same = found.df.where("not kept").select("doc_id").distinct(), same_id
     gone = gone.withColumnRenamed("doc_id", "gone_id")
-    same = (F.col("doc_id").cast("long") == F.col("gone_id")) & (F.col("gone_digest").isNull() | (F.col("gone_digest") == F.col(digest)))
     marked = named.withColumn(place, possibly_in(gone.select(F.col("gone_id").alias("doc_id")))(F.col("doc_id")))
     left = marked.where(~F.col(place)).union(marked.where(F.col(place)).join(gone, same, "left_anti")).drop(place)
     if not twice.df.isEmpty():
         again = F.col("doc_id").cast("long") == F.col("twice_id")
         ids = twice.df.select(F.col("doc_id").alias("twice_id"))
-        left = left.join(ids, again, "left_anti").union(left.join(ids, again, "left_semi").dropDuplicates(["doc_id", digest]))
-    return left.drop(digest)
+        left = left.join(ids, again, "left_anti").union(left.join(ids, again, "left_semi").dropDuplicates(["doc_id", digest] if several else ["doc_id"]))
+    return left.drop(digest) if several else left
 
 
 def _gone_texts(named: DataFrame, digest: str, several: DataFrame, size: int, percent: int) -> Stored:
