@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vecsearch.functions.text import fixed
 from vecsearch.operators import evaluate, graph, quality, report, sequences, truth
 from vecsearch.operators.exact import knn_exact
+from vecsearch.operators.run import compare_files
 from vecsearch.sources import tables as io
 from vecsearch.sources.index_store import Index, get_or_build, load_index, save_index
 
@@ -363,3 +364,52 @@ def test_composition_counts_characters(spark):
     for t, v in zip(texts, got):
         if t is not None:
             np.testing.assert_allclose(v, [t.count(c) / max(len(t), 1) for c in sequences.RESIDUES], atol=1e-7)
+
+
+def test_old_index_versions_go_after_their_grace(spark, tmp_path):
+    path = str(tmp_path / "index")
+    table = lambda k: base_frame(spark, vectors(6, seed=k))
+    versions = lambda: sorted(p.name for p in (tmp_path / "index").iterdir() if p.name != "params")
+    save_index(Index({"t": table(1)}, {"k": 1}), path)
+    first = versions()
+    save_index(Index({"t": table(2)}, {"k": 2}), path, grace=3600)
+    assert len(versions()) == 2  # a reader of the former one may still be at it
+    (tmp_path / "index" / "00000000000000000001-broken").mkdir()
+    save_index(Index({"t": table(3)}, {"k": 3}), path, grace=0)
+    assert len(versions()) == 1 and versions() != first and load_index(spark, path).params == {"k": 3}
+    assert load_index(spark, path).tables["t"].count() == 6
+
+
+def test_one_call_from_inputs_to_report(spark, tmp_path):
+    x = vectors(60, seed=4)
+    io.write_vectors(base_frame(spark, x, "p"), str(tmp_path / "vectors"))
+    hits = [(f"p{q}", f"p{(q * 7 + s) % 60}", 25.0 + s, 100, 1, 0, 1, 9, 1, 9, 1e-5 * (1 + s), 50.0 - s) for q in range(5) for s in range(4)]
+    (tmp_path / "hits.tsv").write_text("\n".join("\t".join(map(str, h)) for h in hits))
+    (tmp_path / "notes.json").write_text(json.dumps({f"p{i}": {"domains": ["PF1"], "ec_numbers": []} for i in range(60)}))
+
+    def broken(base, queries, n):
+        raise RuntimeError("no index")
+
+    wanted = spark.createDataFrame([("p0",), ("p1",), ("p9",), ("nobody",)], "query_id string")
+    run, missing = compare_files(spark, str(tmp_path / "vectors"), wanted, str(tmp_path / "hits.tsv"), {"Exact": knn_exact, "Broken": broken},
+                                 annotations=str(tmp_path / "notes.json"), recall_n=4, shown=3, path=str(tmp_path / "report"))
+    assert [r.query_id for r in missing.collect()] == ["nobody"] and [tuple(r) for r in run.errors.collect()] == [("Broken", "no index")]
+    near = {i: [j for j, _ in v] for i, v in brute_rows(x, (0, 1, 9), 4).items()}
+    got = {r.query_id: r for r in run.scores.where("method = 'Exact'").collect()}
+    for q in ("p0", "p1"):
+        truth_set = {h[1] for h in hits if h[0] == q}
+        assert got[q].truth_size == 4 and got[q].hits == len(truth_set & set(near[q])) and got[q].recall == got[q].hits / 4
+    assert got["p9"].truth_size == 0 and got["p9"].recall == 0
+    assert run.report.where("method = 'Exact'").count() == 9 and all("PF1" in r.comment for r in run.report.collect())
+    summary = {r.method: r for r in run.summary.collect()}
+    assert summary["Exact"].n_queries == 3 and summary["Exact"].db_size == 60 and summary["Exact"].avg_time > 0
+    text = [r.value for r in spark.read.text(str(tmp_path / "report")).collect()]
+    assert sum("ERROR" in line for line in text) == 3 and len(text) == run.lines.count() + run.closing.count()
+
+
+def brute_rows(x, asked, n):
+    out = {}
+    for i in asked:
+        d = np.sqrt(((x.astype(np.float64) - x[i].astype(np.float64)) ** 2).sum(axis=1))
+        out[f"p{i}"] = [(f"p{j}", d[j]) for j in sorted(range(len(x)), key=lambda j: (d[j], f"p{j}"))[:n]]
+    return out

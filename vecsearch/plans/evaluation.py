@@ -9,6 +9,7 @@ from ..operators import evaluate, report, truth
 from ..operators.common import scratch_path
 from ..operators.exact import knn_exact
 from ..operators.ivf import search_ivfflat
+from ..operators.run import compare_methods
 from ..sources.tables import write_report
 from . import sql
 from .registry import Tables, joined_set, query, rounded
@@ -232,6 +233,14 @@ def q_lines(t):
     return lines(t)
 
 
+@query("comparison_run", sql.select(LINE_CTES, "SELECT query_id, CAST(section AS INTEGER) AS section, CAST(line_no AS BIGINT) AS line_no, line FROM lines"))
+def q_comparison(t):
+    """The report of one call on vectors, hits and annotations, without times."""
+    methods = {"Exact": knn_exact, "IVF-Flat": lambda base, asked, n: search_ivfflat(base, asked, n, IVF, centroids(t))}
+    return compare_methods(t.base, t.queries, t.hits, methods, recall_n=RECALL_N, shown=SHOWN, annotations=t.annotations,
+                           threshold=THRESHOLD, timed=False).lines
+
+
 SUMMARY = f"""SELECT CAST(4 AS INTEGER) AS section, l.no::BIGINT AS line_no, l.line
 FROM (SELECT method, count(*) AS n, avg(recall) AS r FROM scored GROUP BY method) AS s,
   LATERAL (VALUES (1, method || ':'), (4, printf('  Μέσος Recall@{RECALL_N}: %.3f', r)), (5, '')) AS v(o, line),

@@ -32,10 +32,11 @@ def fingerprint(base: DataFrame) -> str:
     return f"{row['n']}:{row['x']}"
 
 
-def save_index(index: Index, path: str) -> None:
+def save_index(index: Index, path: str, grace: float | None = None) -> None:
     """Write every table into a folder of its own version, then append the parameter row that points to it.
 
-    A reader takes the newest row, so a rebuild that breaks off leaves the former index in use.
+    A reader takes the newest row, so a rebuild that breaks off leaves the former index in use. With ``grace`` versions that have
+    been out of use for so many seconds go afterwards (see ``remove_old``).
     """
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     for name, table in index.tables.items():
@@ -50,6 +51,30 @@ def save_index(index: Index, path: str) -> None:
     described = json.dumps(index.params, sort_keys=True)
     spark.createDataFrame([(version, described, ",".join(index.tables))],
                           "version string, params string, tables string").coalesce(1).write.mode("append").parquet(f"{path}/params")
+    if grace is not None:
+        remove_old(spark, path, grace)
+
+
+def remove_old(spark: SparkSession, path: str, grace: float) -> list[str]:
+    """Delete what no reader needs any more: versions replaced more than ``grace`` seconds ago, and folders of broken runs as old.
+
+    A version is out of use from the moment the next one was named; whoever opened it then has ``grace`` seconds to finish.
+    Returns the versions that went.
+    """
+    versions = sorted(r["version"] for r in spark.read.parquet(f"{path}/params").select("version").distinct().collect())  # one row per rebuild
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s.getPath().getName() for s in store.listStatus(root) if s.isDirectory() and s.getPath().getName() != "params"]
+    now, gone = time.time_ns(), []
+    for folder in sorted(folders):
+        if folder == versions[-1]:
+            continue
+        after = next((v for v in versions if v > folder), None)
+        since = int((after if folder in versions else folder).split("-")[0]) if after or folder not in versions else now
+        if now - since >= grace * 1e9:
+            store.delete(spark._jvm.org.apache.hadoop.fs.Path(root, folder), True)
+            gone.append(folder)
+    return gone
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
@@ -60,8 +85,8 @@ def load_index(spark: SparkSession, path: str) -> Index:
 
 
 def get_or_build(spark: SparkSession, path: str, params: dict, base: DataFrame,
-                 build: Callable[[], dict[str, DataFrame]], rebuild: bool = False) -> tuple[Index, bool]:
-    """(index, reused). Reuses the stored index only if parameters and data are unchanged."""
+                 build: Callable[[], dict[str, DataFrame]], rebuild: bool = False, grace: float | None = None) -> tuple[Index, bool]:
+    """(index, reused). Reuses the stored index only if parameters and data are unchanged; ``grace`` as in ``save_index``."""
     wanted = json.loads(json.dumps({**params, "fingerprint": fingerprint(base)}))
     if not rebuild:
         try:
@@ -70,5 +95,5 @@ def get_or_build(spark: SparkSession, path: str, params: dict, base: DataFrame,
                 return stored, True
         except AnalysisException:
             pass
-    save_index(Index(build(), wanted), path)
+    save_index(Index(build(), wanted), path, grace)
     return load_index(spark, path), False
