@@ -348,3 +348,21 @@ def test_stored_learned_index_gives_the_same_neighbours(spark, tmp_path):
     p = learned.LearnedParams(probes=2)
     want = rows(learned.search_learned(base, asked, 5, p, labelled=labelled, model=model))
     same(rows(learned.search_learned(base, asked, 5, p, labelled=stored, model=again)), want)
+
+
+@pytest.mark.parametrize("how", ["blobs", "even"])
+def test_tree_of_centroids_finds_the_same_cells(spark, monkeypatch, how):
+    rng = np.random.default_rng(5)
+    c = rng.normal(size=(300, 6)) if how == "even" else (rng.normal(size=(10, 1, 6)) * 9 + rng.normal(size=(1, 30, 6)) * 0.2).reshape(300, 6)
+    c[290:] = c[3]  # ties go to the lowest cell
+    cells = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(c)], "cell int, centroid array<double>")
+    x = (c[rng.integers(0, 300, 120)] + rng.normal(size=(120, 6)) * 0.3).astype(np.float32)
+    base = base_frame(spark, x)
+    want = {r.id: list(r.cells) for r in ivf.nearest_cells(base, "id", "embedding", cells, 7).collect()}
+    monkeypatch.setattr(ivf, "SMALL_CENTROID_ROWS", 40)
+    got = {r.id: list(r.cells) for r in ivf.nearest_cells(base, "id", "embedding", cells, 7).collect()}
+    assert got == want
+    all_of_them = {r.id: len(r.cells) for r in ivf.nearest_cells(base.limit(3), "id", "embedding", cells, 300).collect()}
+    assert set(all_of_them.values()) == {300}
+    monkeypatch.setattr(ivf, "SMALL_CENTROID_ROWS", 10**6)
+    assert {r.id: r.cell for r in ivf.assign_nearest(base, cells).collect()} == {i: v[0] for i, v in want.items()}

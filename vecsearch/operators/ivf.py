@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,14 +12,19 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.distance import l2
 from ..functions.hashing import dimension
-from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, settle
+from .common import SMALL_CENTROID_ROWS, arrow_column, fetch_if_small, settle, top_n
 from .exact import knn_exact
 from .kernels import id_values, matrix, nearest_rows
 from .keyed import search_keyed
 from .lloyd import train
 
 
+# Steps that place the roots over a centroid table too large to be shipped.
+TREE_STEPS = 10
+
+
 @dataclass(frozen=True)
 class IvfParams:
     nlist: int = 100
@@ -57,14 +63,13 @@ def _from_start(start: DataFrame, step, keys: list[str], max_iter: int) -> DataF
 def nearest_cells(df: DataFrame, id_col: str, vec_col: str, centroids: DataFrame, n: int) -> DataFrame:
     """The input with ``cells``: the ``n`` nearest cells, nearest first, lowest cell on ties.
 
-    The centroid table is shipped to the tasks only after its size has been checked; a larger one
-    goes through the exact block search.
+    The centroid table is shipped to the tasks only after its size has been checked; a larger one is searched by a tree of two
+    levels (see ``tree_cells``) with the same result.
     """
     table = fetch_if_small(centroids.select("cell", "centroid"), SMALL_CENTROID_ROWS)
     if table is None:
-        cells = centroids.select(F.col("cell").alias("id"), F.col("centroid").alias("embedding"))
         asked = df.select(F.col(id_col).alias("query_id"), F.col(vec_col).alias("query_vec"))
-        near = knn_exact(cells, asked, n).groupBy(F.col("query_id").alias(id_col)).agg(
+        near = tree_cells(asked, centroids, n).groupBy(F.col("query_id").alias(id_col)).agg(
             F.transform(F.sort_array(F.collect_list(F.struct("rank", "neighbor_id"))),
                         lambda x: x["neighbor_id"]).alias("cells"))
         return df.join(near, id_col)
@@ -84,6 +89,63 @@ def nearest_cells(df: DataFrame, id_col: str, vec_col: str, centroids: DataFrame
     return df.withColumn("cells", cells(F.col(vec_col)))
 
 
+def tree_cells(asked: DataFrame, centroids: DataFrame, n: int) -> DataFrame:
+    """The ``n`` nearest of very many centroids, exactly: query_id, neighbor_id (the cell), distance, rank.
+
+    Centroids hang under about the square root of their number of roots, and only the roots are shipped, each with the radius of its group.
+    A query first searches the groups of its nearest roots that hold ``n`` centroids; no group whose root lies further away than
+    that ``n``-th distance and its radius can hold a nearer one, so only the others are searched after that.
+    """
+    cells = settle(centroids.select(F.col("cell").alias("id"), F.col("centroid").cast("array<double>").alias("embedding")))
+    size = cells.count()
+    roots = math.ceil(math.sqrt(size))
+    if roots > SMALL_CENTROID_ROWS:
+        return knn_exact(cells, asked, n)
+    centres = settle(kmeans(cells, roots, max_iter=TREE_STEPS))
+    grouped = settle(assign_nearest(cells, centres))
+    reach = grouped.join(F.broadcast(centres), "cell").groupBy("cell").agg(  # as few rows as there are roots
+        F.max(l2("embedding", "centroid")).alias("radius"), F.count("*").alias("members"))
+    top = fetch_if_small(reach.join(centres, "cell").orderBy("cell").select("cell", "centroid", "radius", "members"), SMALL_CENTROID_ROWS)
+    names, radius, members = (top[c].to_numpy() for c in ("cell", "radius", "members"))
+    shared = asked.sparkSession.sparkContext.broadcast((names.astype(np.int32), matrix(top["centroid"]), radius, members))
+
+    def far(batch: pa.Array) -> np.ndarray:
+        x, (_, c, _, _) = matrix(batch).astype(np.float64), shared.value
+        return np.sqrt(np.maximum(np.concatenate([((x[lo:lo + 256, None] - c) ** 2).sum(axis=2) for lo in range(0, len(x), 256)]), 0))
+
+    def lists(rows: list[np.ndarray]) -> pa.Array:
+        return pa.array([r.tolist() for r in rows], pa.list_(pa.int32()))
+
+    def nearest_groups(d: np.ndarray) -> list[np.ndarray]:
+        names, _, _, members = shared.value
+        order = np.argsort(d, axis=1, kind="stable")
+        enough = (np.cumsum(members[order], axis=1) < n).sum(axis=1) + 1
+        return [o[:k] for o, k in zip(order, enough)]
+
+    @arrow_column("array<int>")
+    def first(batch: pa.Array) -> pa.Array:
+        return lists([shared.value[0][g] for g in nearest_groups(far(batch))] if len(batch) else [])
+
+    @arrow_column("array<int>")
+    def others(batch: pa.Array, bound: pa.Array) -> pa.Array:
+        if not len(batch):
+            return lists([])
+        names, _, radius, _ = shared.value
+        d = far(batch)
+        # Rounding must not shut out a group at the very distance.
+        may = d - radius <= bound.to_numpy()[:, None] + 1e-9 * (1 + d)
+        for row, g in zip(may, nearest_groups(d)):
+            row[g] = False
+        return lists([names[row] for row in may])
+
+    probes = settle(asked.select("query_id", F.explode(first(F.col("query_vec"))).alias("cell")))
+    found = settle(search_cells(grouped, probes, asked, n))
+    bound = found.groupBy("query_id").agg(F.max("distance").alias("bound"))
+    more = asked.join(bound, "query_id").select("query_id", F.explode(others(F.col("query_vec"), F.col("bound"))).alias("cell"))
+    rest = search_cells(grouped, settle(more), asked, n)
+    return top_n(found.drop("rank").unionByName(rest.drop("rank")), n)
+
+
 def assign_nearest(base: DataFrame, centroids: DataFrame) -> DataFrame:
     """The input with its nearest ``cell``."""
     return nearest_cells(base, "id", "embedding", centroids, 1).withColumn(
