@@ -138,7 +138,7 @@ def many_cells(spark, tmp_path_factory):
 @pytest.mark.parametrize("strategy", ["scan", "blocks"])
 def test_stored_cells_are_pruned_by_a_join(spark, strategy, many_cells):
     (x, stored), probed = many_cells, 5000
-    assert stored_by(stored) == ["cell"] and stored_by(base_frame(spark, x[:3])) == []
+    assert stored_by(stored) == ["segment", "cell"] and stored_by(base_frame(spark, x[:3])) == []
     q = vectors(10, dim=4, seed=14)
     asked = query_frame(spark, q)
     probes = asked.crossJoin(spark.range(probed // 10)).select("query_id", (F.col("query_id") * (probed // 10) + F.col("id")).cast("int").alias("cell"))

@@ -11,6 +11,7 @@ from vecsearch.functions.text import fixed
 from vecsearch.operators import evaluate, graph, quality, report, sequences, truth
 from vecsearch.operators.exact import knn_exact
 from vecsearch.operators.run import compare_files
+from vecsearch.sources import index_store
 from vecsearch.sources import tables as io
 from vecsearch.sources.index_store import Index, get_or_build, load_index, save_index
 
@@ -413,3 +414,37 @@ def brute_rows(x, asked, n):
         d = np.sqrt(((x.astype(np.float64) - x[i].astype(np.float64)) ** 2).sum(axis=1))
         out[f"p{i}"] = [(f"p{j}", d[j]) for j in sorted(range(len(x)), key=lambda j: (d[j], f"p{j}"))[:n]]
     return out
+
+
+def test_added_rows_alone_are_assigned(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "index"), []
+    x = vectors(30, seed=6)
+    frame = lambda rows: base_frame(spark, x).where(F.col("id").isin(rows))
+    place = lambda df: df.withColumn("cell", (F.col("id") % 4).cast("int"))
+
+    def get(df, params=None):
+        def assign(rows, index):
+            assert index.params["k"] == 4
+            seen.append(sorted(r.id for r in rows.collect()))
+            return place(rows)
+        index, state = index_store.get_or_extend(spark, path, params or {"k": 4}, df, lambda: {"assigned": place(df)}, assign)
+        return state, sorted((r.id, r.cell) for r in index.tables["assigned"].collect())
+
+    cells = lambda rows: [(i, i % 4) for i in rows]
+    assert get(frame(list(range(10)))) == ("built", cells(range(10)))
+    assert get(frame(list(range(10)))) == ("reused", cells(range(10)))
+    assert get(frame(list(range(20)))) == ("appended", cells(range(20))) and seen == [list(range(10, 20))]
+    real = index_store._name_state
+
+    def breaks(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(index_store, "_name_state", breaks)  # a segment that was written but never named
+    with pytest.raises(RuntimeError):
+        get(frame(list(range(25))))
+    monkeypatch.setattr(index_store, "_name_state", real)
+    assert sorted(r.id for r in load_index(spark, path).tables["assigned"].collect()) == list(range(20))
+    assert get(frame(list(range(25)))) == ("appended", cells(range(25))) and seen[-1] == list(range(20, 25))
+    assert get(frame(list(range(25))).where("id <> 3"))[0] == "built"  # a row went
+    other = frame(list(range(25))).where("id <> 3").withColumn("embedding", F.when(F.col("id") == 5, F.reverse("embedding")).otherwise(F.col("embedding")))
+    assert get(other)[0] == "built" and get(other)[0] == "reused" and get(other, {"k": 5})[0] == "built"

@@ -12,7 +12,7 @@ from ..functions.hashing import hash_params, hash_params_frame
 from ..operators import evaluate, hypercube, ivf, learned, lsh, pq, quality
 from ..operators.common import rank_within, scratch_path, settle
 from ..operators.exact import knn_exact, knn_self
-from ..sources.index_store import Index, get_or_build, load_index, save_index
+from ..sources.index_store import Index, get_or_build, get_or_extend, load_index, save_index
 from . import sql
 from .registry import Tables, joined, query, rounded
 
@@ -535,6 +535,18 @@ def q_method_errors(t):
     return rounded(found).unionByName(errors.select("method"), allowMissingColumns=True)
 
 
+@query("index_append", sql.ivf(N))
+def q_index_append(t):
+    """An index stored for part of the vectors, then asked for all of them: only the others are assigned."""
+    cells, path = centroids(t), scratch_path(t.spark, "index")
+    placed = lambda rows: ivf.assign_nearest(rows, cells).select("id", "embedding", "cell")
+    part = t.base.where("id % 3 <> 0")
+    get_or_extend(t.spark, path, {"nlist": sql.NLIST}, part, lambda: {"assigned": placed(part)}, lambda rows, _: placed(rows))
+    index, state = get_or_extend(t.spark, path, {"nlist": sql.NLIST}, t.base, lambda: {"assigned": placed(t.base)}, lambda rows, _: placed(rows))
+    assert state == "appended"
+    return rounded(ivf.search_ivfflat(t.base, t.queries, N, IVF, cells, assigned=index.tables["assigned"]))
+
+
 @query("index_save_load", sql.ivf(N))
 def q_index_roundtrip(t):
     cells = centroids(t)
