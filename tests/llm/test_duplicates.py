@@ -9,6 +9,7 @@ import pytest
 from vecsearch.llm.common import components
 from vecsearch.llm.decontamination import best_stretch, drop_contaminated, find_overlaps, masks_of, products, seeds, tokens
 from vecsearch.llm.line_dedup import drop_repeated_lines
+from vecsearch.llm import minhash
 from vecsearch.llm.minhash import PLACES, linked, minima, near_duplicates, one_of_each, pack
 from vecsearch.llm.words import shingle_set
 
@@ -300,3 +301,43 @@ def test_short_items_and_unspaced_scripts(spark):
     assert {f for f in found if f[0] < 100} == {(1, 1, 4), (3, 2, 6), (5, 3, 11), (8, 5, 6), (9, 5, 5), (10, 5, 5)} | {f for f in found if f[0] == 6}
     assert {f[:2] for f in found if f[0] > 100} == {(i, i // 100) for i in texts if i > 100}
     assert [len(tokens(t)) for t in ("语言 ab", "ภาษา_x", "日本語のテキスト", "한국어 문장", "a_b")] == [3, 5, 8, 2, 2]
+
+
+def test_passage_of_four_fifths_joins_nothing(spark, monkeypatch):
+    """Texts around one passage that is 78 to 84 % of each, not linked by it, don't meet under its shingles; true links are found."""
+    rnd = random.Random(5)
+    passage = [f"p{i}" for i in range(400)]
+    docs = [(i, " ".join(passage + [f"o{i}_{k}" for k in range(rnd.randint(78, 110))])) for i in range(1500)]
+    docs += [(2000 + i, " ".join([*t.split()[:-3], "x", "y", f"z{i}"])) for i, (_, t) in enumerate(docs[:20])]
+    sizes = []
+
+    def noted(rows, percent, short=minhash.short_heads):
+        kept = short(rows, percent)
+        sizes.append(kept.select("shingle").join(rows.select("shingle"), "shingle").count())
+        return kept
+
+    monkeypatch.setattr(minhash, "short_heads", noted)
+    placed = spark.createDataFrame([(i, i) for i, _ in docs], "id long, component long")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    pairs = {tuple(r) for r in minhash.prefix_pairs(frame, placed, 5, 75).collect()}
+    assert {(i, 2000 + i) for i in range(20)} <= pairs
+    assert sizes[0] < 200 * len(docs)  # a text with itself and its copy; all texts under one shingle alone would be 2,310,400
+
+
+@pytest.mark.parametrize("percent", [75, 90])
+def test_prefix_pairs_lose_no_link(spark, percent):
+    """Against brute force, on texts of all sizes whose similarity lies around the threshold."""
+    rnd = random.Random(percent)
+    docs = []
+    for group in range(12):
+        base = [f"g{group}w{i}" for i in range(rnd.randint(6, 90))]
+        for _ in range(14):
+            change = len(base) * (100 - percent) // 100
+            new = [f"n{rnd.randrange(10**6)}" for _ in range(rnd.randint(0, change))]
+            docs.append((len(docs), " ".join(base[rnd.randint(0, change):] + new)))
+    placed = spark.createDataFrame([(i, i) for i, _ in docs], "id long, component long")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    pairs = {tuple(r) for r in minhash.prefix_pairs(frame, placed, 5, percent).collect()}
+    sets = {i: plain_set(t) for i, t in docs}
+    links = {(x, y) for x in sets for y in sets if x < y and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])}
+    assert len(links) > 50 and links <= pairs

@@ -140,7 +140,8 @@ def prefix_pairs(texts: DataFrame, placed: DataFrame, size: int, percent: int) -
     """Pairs (a, b) of different components, among the documents ``placed`` (id, component), that may reach the threshold.
 
     Shingles are ordered by how often their slot of a histogram of fixed size is hit: any order gives all pairs, this one puts
-    common shingles last. Of n shingles the first n - ceil(p n) + 1 must hold one of a partner's.
+    common shingles last. Of n shingles the first n - ceil(p n) + 1 must hold one of a partner's; the smaller text of a pair needs fewer
+    (``short_heads``).
     """
     def sets(batches):
         for batch in batches:
@@ -166,15 +167,23 @@ def prefix_pairs(texts: DataFrame, placed: DataFrame, size: int, percent: int) -
             arrays = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out]
             yield pa.RecordBatch.from_arrays(arrays, ["shingle", "id", "component", "at", "n"])
 
-    rows = held.df.mapInArrow(heads, "shingle long, id long, component long, at long, n long")
-    rows = Stored(rows, "heads")
-    x, y = rows.df.alias("x"), rows.df.alias("y")
+    rows = Stored(held.df.mapInArrow(heads, "shingle long, id long, component long, at long, n long"), "heads")
+    x, y = short_heads(rows.df, percent).alias("x"), rows.df.alias("y")
     behind = 1 + F.least(F.col("x.n") - 1 - F.col("x.at"), F.col("y.n") - 1 - F.col("y.at"))
     enough = (100 + percent) * behind >= percent * (F.col("x.n") + F.col("y.n"))
-    alike = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.id") < F.col("y.id"))
-                   & (F.col("x.component") != F.col("y.component")) & alike & enough)
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    alike = 100 * F.col("x.n") >= percent * F.col("y.n")
+    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id")))
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & smaller & (F.col("x.component") != F.col("y.component")) & alike & enough)
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def short_heads(rows: DataFrame, percent: int) -> DataFrame:
+    """The part of the heads by which a text meets texts of at least its own size.
+
+    Of two such texts the smaller one has 2 p / (1 + p) of its n shingles in common with the other, so their first common one is among
+    its first n - ceil(2 p n / (1 + p)) + 1. A passage that makes up less of the smaller text than that share is behind them.
+    """
+    return rows.where((100 + percent) * (F.col("n") - F.col("at")) >= 2 * percent * F.col("n"))
 
 
 def possibly_in(ids: DataFrame) -> Callable[[Column], Column]:

@@ -172,7 +172,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 TRIE_SQL = r"""
 WITH t AS (SELECT conv_id, coalesce(text, '') AS text,
     sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name, turn FROM conversations WHERE conv_id IS NOT NULL),
-o AS (SELECT conv_id, name, len(regexp_extract_all(text, '[^ 	-]+')) AS words,
+o AS (SELECT conv_id, name, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) AS pos FROM t),
 c AS (SELECT conv_id, xor(4294967295, list_reduce(
     list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
