@@ -1,5 +1,6 @@
 import json
 import random
+import uuid
 from fractions import Fraction
 
 import numpy as np
@@ -88,6 +89,50 @@ def test_annotations(spark, tmp_path):
     assert io.read_annotations(spark, str(tmp_path / "none.json")).count() == 0
 
 
+def split_reads(spark, path, size):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        tasks = spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions()
+        return tasks, {r["id"]: (r["domains"], r["ec_numbers"]) for r in io.read_annotations(spark, path).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_annotations_of_one_large_file_are_read_in_blocks(spark, tmp_path, indent):
+    """Braces, quotes, backslashes and line ends inside strings, entries longer than blocks, nested and empty objects."""
+    rnd = random.Random(4)
+    odd = ["}", "{", '"', "\\", '\\"}, "x": {', "\n", "é", "},", "a b", '{"q": {}}', ""]
+    text = lambda: "".join(rnd.choice(odd) for _ in range(rnd.randrange(6)))
+    notes = {}
+    for i in range(600):
+        entry = {"domains": [text() for _ in range(rnd.randrange(4))], "ec_numbers": [text() for _ in range(rnd.randrange(3))]}
+        if i % 5 == 0:
+            entry["more"] = {"deep": {"deeper": [text(), {"x": text()}]}}
+        notes[f"{i}{text()}"] = entry
+    notes["long"] = {"domains": ["}" * 5000, "x" * 9000], "ec_numbers": ['"{' * 3000]}
+    notes |= {f"empty{i}": {} for i in range(40)} | {"none": None}
+    want = {k: ((v or {}).get("domains", []), (v or {}).get("ec_numbers", [])) for k, v in notes.items()}
+    path = str(tmp_path / "notes.json")
+    (tmp_path / "notes.json").write_text(json.dumps(notes, indent=indent, ensure_ascii=False))
+    for size in (1 << 30, 4096, 1000):
+        tasks, got = split_reads(spark, path, size)
+        assert got == want
+        assert tasks == 1 if size == 1 << 30 else tasks > 8
+
+
+def test_annotations_one_object_per_line_and_several_files(spark, tmp_path):
+    lines = [json.dumps({f"k{i}": {"domains": [f"D{i}"]}}) for i in range(300)]
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.json").write_text(json.dumps({"k7": {"domains": ["later"]}, "m": {}}) + json.dumps({"m": {"ec_numbers": ["E"]}}))
+    (tmp_path / "c.json").write_text("")
+    (tmp_path / "d.json").write_text('{"whole": {"domains": ["W"]}, "torn": {"domains": ["T"')
+    for size in (1 << 30, 700):
+        _, got = split_reads(spark, str(tmp_path), size)
+        assert got == {f"k{i}": ([f"D{i}"], []) for i in range(300)} | {"k7": (["later"], []), "m": ([], ["E"]), "whole": (["W"], [])}
+
+
 def test_vector_table_checks(spark, tmp_path):
     x = vectors(20)
     check = io.write_vectors(base_frame(spark, x), str(tmp_path / "v"), verify=True).first()
@@ -139,6 +184,55 @@ def test_pooling(spark):
     assert one[1] == [2.0, 2.0]
 
 
+def test_embed_by_token_budget_pads_little(spark):
+    """Batches fill their budget over the borders of Arrow batches; at most a few in a hundred of the padded tokens are padding."""
+    rnd = random.Random(1)
+    sizes = [rnd.randint(1, 900) for _ in range(3000)]
+    df = spark.createDataFrame([(i, "A" * n) for i, n in enumerate(sizes)], "id int, seq string").repartition(2)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        look = lambda texts: np.array([[len(t), max(map(len, texts)), len(texts)] for t in texts])
+        seen = {r["id"]: r["embedding"] for r in sequences.embed(df, look, token_budget=8192).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {i: v[0] for i, v in seen.items()} == dict(enumerate(sizes))
+    assert all(longest * rows <= 8192 for _, longest, rows in seen.values())
+    padded = sum(longest for _, longest, _ in seen.values())
+    assert padded - sum(sizes) < 0.03 * padded
+    assert sum(1 / rows for _, _, rows in seen.values()) < 1.15 * padded / 8192 + 4  # batches, about as few as the budget allows
+    one = sequences.embed(df.where("id < 3"), look, token_budget=1).collect()
+    assert sorted(r["embedding"][2] for r in one) == [1, 1, 1]
+
+
+def test_embedding_goes_on_where_a_run_broke_off(spark, tmp_path):
+    path, calls = str(tmp_path / "out"), tmp_path / "calls"
+    calls.mkdir()
+    df = spark.createDataFrame([(i, "A" * (i % 50 + 1)) for i in range(400)] + [(None, "CC")], "id int, seq string")
+    rounds = lambda i: spark.createDataFrame([(i,)], "id int").select(F.pmod(F.xxhash64("id"), F.lit(5))).first()[0]
+
+    def counted(texts):
+        (calls / uuid.uuid4().hex).write_text(str(len(texts)))
+        if "A" * 33 in texts and not (tmp_path / "mended").exists():
+            raise RuntimeError("lost")
+        return np.array([[len(t), 1] for t in texts])
+
+    with pytest.raises(Exception, match="lost"):
+        sequences.embed_rounds(df, path, counted, rounds=5, name="count")
+    finished = set(sequences.embed_progress(spark, path))
+    (tmp_path / "mended").write_text("")
+    for old in calls.iterdir():
+        old.unlink()
+    left = sum(rounds(i) not in finished for i in [*range(400), None])
+    got = sequences.embed_rounds(df.limit(0), path, counted, rounds=5, name="count")
+    assert {r["id"]: r["embedding"] for r in got.collect()} == {i: [i % 50 + 1, 1] for i in range(400)} | {None: [2, 1]}
+    assert sum(int(f.read_text()) for f in calls.iterdir()) == left
+    assert set(sequences.embed_progress(spark, path)) == {-1, 0, 1, 2, 3, 4}
+    with pytest.raises(ValueError, match="was begun as"):
+        sequences.embed_rounds(df, path, counted, rounds=6, name="count")
+    assert sequences.embed_rounds(df.limit(0), str(tmp_path / "none"), rounds=2).count() == 0
+
+
 def test_embed_passes_whole_batches(spark):
     df = spark.createDataFrame([(i, "A" * i + "C") for i in range(20)], "id int, seq string").coalesce(1)
     seen = sequences.embed(df, lambda texts: np.array([[len(t), len(texts)] for t in texts]), batch_size=8, max_length=10)

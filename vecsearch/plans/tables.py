@@ -134,14 +134,32 @@ def q_truncate(t):
     return sequences.truncate(sequences.residue_filter(_upper(t)))
 
 
-@query("embed_job", sql.select([LONG, "cut AS (SELECT id, substring(seq, 1, 1022) AS seq FROM long WHERE seq <> '')"],
-                               """SELECT id, CAST(i - 1 AS INTEGER) AS dim,
+EMBEDDED = sql.select([LONG, "cut AS (SELECT id, substring(seq, 1, 1022) AS seq FROM long WHERE seq <> '')"],
+                      """SELECT id, CAST(i - 1 AS INTEGER) AS dim,
   round(CAST(CAST((len(seq) - len(replace(seq, letter, ''))) / len(seq) AS FLOAT) AS DOUBLE), 6) AS value
-FROM cut, (SELECT i, 'ACDEFGHIKLMNPQRSTVWY'[i] AS letter FROM range(1, 21) AS r(i)) AS letters"""))
+FROM cut, (SELECT i, 'ACDEFGHIKLMNPQRSTVWY'[i] AS letter FROM range(1, 21) AS r(i)) AS letters""")
+
+
+def _values(vectors):
+    return rounded(vectors.select("id", F.posexplode(F.col("embedding").cast("array<double>")).alias("dim", "value")), "value")
+
+
+@query("embed_job", EMBEDDED)
 def q_embed(t):
-    vectors = sequences.embed(sequences.clean_sequences(_upper(t)))
-    return rounded(vectors.select("id", F.posexplode(F.col("embedding").cast("array<double>"))
-                                  .alias("dim", "value")), "value")
+    return _values(sequences.embed(sequences.clean_sequences(_upper(t))))
+
+
+@query("embed_rounds", EMBEDDED)
+def q_embed_rounds(t):
+    """In rounds: the second call must find all of them finished."""
+    path = scratch_path(t.spark, "embedding")
+    cleaned = sequences.clean_sequences(_upper(t))
+    sequences.embed_rounds(cleaned, path, rounds=4)
+    before = sequences.embed_progress(t.spark, path)
+    vectors = sequences.embed_rounds(cleaned, path, rounds=4)
+    if sequences.embed_progress(t.spark, path) != before:
+        raise RuntimeError("a finished round was run again")
+    return _values(vectors)
 
 
 def _pooled(df):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.common import settle
+from ..operators.common import settle, stored
 
 # The columns of a tabular aligner result, in file order.
 HIT_SCHEMA = T.StructType([
@@ -80,18 +80,115 @@ def write_hits(hits: DataFrame, path: str) -> None:
 def read_annotations(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Annotations from JSON objects keyed by id: id, domains, ec_numbers; empty without a file.
 
-    A folder may hold any number of files, one object each; files are the unit of parallel work.
+    A file may hold one object of any size or one after the other; a folder any number of files. Large files are read in blocks by
+    several tasks. Of repeated ids the last one counts. Text that is no such object gives no row.
     """
     if not path:
         return spark.createDataFrame([], ANNOTATION_ROW)
     try:
-        text = spark.read.text(path, wholetext=True)
+        entries = json_entries(spark, path)
     except AnalysisException:
         return spark.createDataFrame([], ANNOTATION_ROW)
     none = F.array().cast("array<string>")
-    return text.select(F.explode(F.from_json("value", ANNOTATION_TYPE)).alias("id", "a")).select(
-        "id", F.coalesce("a.domains", none).alias("domains"),
-        F.coalesce("a.ec_numbers", none).alias("ec_numbers"))
+    found = entries.select("place", F.explode(F.from_json("value", ANNOTATION_TYPE)).alias("id", "a")).select(
+        "id", F.struct("place", F.coalesce("a.domains", none).alias("domains"), F.coalesce("a.ec_numbers", none).alias("ec_numbers")).alias("a"))
+    last = found.groupBy("id").agg(F.max_by("a", "a.place").alias("a"))
+    return last.select("id", "a.domains", "a.ec_numbers")
+
+
+def json_entries(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of JSON objects keyed by name, each as an object of its own: value, place (file and position, for their order).
+
+    The text is split at closing braces, so that Spark reads a large file in blocks. Whether a brace is part of a string, and how
+    deep it lies, follows from all before it: a first pass notes for every block how many quotes it has and how many levels it
+    climbs if it starts outside or inside a string; running sums over the blocks give the state at each start, and a second pass
+    cuts the entries. Only what crosses the border of blocks is put together by a shuffle.
+    """
+    piece = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
+    bare = F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), r'[^"{]+', "")
+    lines = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), piece.alias("at"), "value", bare.alias("marks"))
+    summed = lines.select("file", "block", "marks").mapInArrow(
+        _block_climbs, "file string, block long, quotes long, outside long, inside long")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    quotes = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
+    climb = F.when(F.col("quoted") == 1, F.col("inside")).otherwise(F.col("outside"))
+    # One row per block.
+    starts = summed.withColumn("quoted", quotes).select(
+        "file", "block", "quoted", F.coalesce(F.sum(climb).over(before), F.lit(0)).alias("depth"))
+    cut = lines.join(starts, ["file", "block"]).sortWithinPartitions("file", "block", "at").select(
+        "file", "block", "at", "value", "marks", "quoted", "depth").mapInArrow(
+        _cut_entries, "file string, block long, no long, value string, opens boolean, closes boolean")
+    cut = stored(cut, "entries")
+    whole = F.col("opens") & F.col("closes")
+    # At most two rows per block.
+    upto = Window.partitionBy("file").orderBy("block", "no")
+    torn = cut.where(~whole).withColumn("entry", F.sum(F.col("opens").cast("int")).over(upto))
+    parts = F.sort_array(F.collect_list(F.struct("block", "no", "value")))
+    joined = torn.groupBy("file", "entry").agg(parts.alias("parts")).select(
+        "file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["no"].alias("no"),
+        F.concat_ws("", F.col("parts")["value"]).alias("value"))
+    every = cut.where(whole).select("file", "block", "no", "value").unionByName(joined)
+    # What stands before an entry is an opening brace or a comma, its own braces are whole.
+    inner = F.regexp_replace(F.regexp_replace("value", r"^[\s{,}]+", ""), r"\s+$", "")
+    return every.where(inner != "").select(F.concat(F.lit("{"), inner, F.lit("}")).alias("value"), F.struct("file", "block", "no").alias("place"))
+
+
+def _block_climbs(batches):
+    """One row per block of rows (file, block, marks): its quotes, and how many levels it climbs if it starts outside or inside a string."""
+    import pyarrow as pa
+    now, found = None, []
+
+    def rows():
+        columns = zip(*found, strict=True) if found else [()] * 5
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["file", "block", "quotes", "outside", "inside"])
+
+    for batch in batches:
+        for file, block, marks in zip(batch["file"].to_pylist(), batch["block"].to_pylist(), batch["marks"].to_pylist(), strict=True):
+            if (file, block) != now:
+                now = file, block
+                found.append([file, block, 0, 0, 0])
+            state = found[-1]
+            opened = [part.count("{") for part in marks.split('"')]
+            for start in (0, 1):
+                quoted = (state[2] + start) % 2
+                state[3 + start] += sum(opened[quoted::2]) - (1 - (quoted + len(opened) - 1) % 2)
+            state[2] += len(opened) - 1
+    yield rows()
+
+
+def _cut_entries(batches):
+    """The entries of each block of rows (file, block, at, value, marks, quoted, depth): whole ones, and what lies before and after them.
+
+    ``opens`` says that the text starts at the border of entries, ``closes`` that it ends there.
+    """
+    import pyarrow as pa
+    now, quoted, depth, no, held, opens = None, 0, 0, 0, [], True
+    names = ["file", "block", "no", "value", "opens", "closes"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_()]
+    for batch in batches:
+        out = []
+        for file, block, value, marks, first_quoted, first_depth in zip(
+                *(batch[name].to_pylist() for name in ("file", "block", "value", "marks", "quoted", "depth")), strict=True):
+            if (file, block) != now:
+                if held:
+                    out.append((*now, no, "".join(held), opens, False))
+                now, quoted, depth, no, held = (file, block), first_quoted, first_depth, 0, []
+                opens = not quoted and depth <= 1
+            parts = marks.split('"')
+            depth += sum(part.count("{") for part in parts[quoted::2])
+            quoted = (quoted + len(parts) - 1) % 2
+            depth -= 1 - quoted
+            held.append(value)
+            if quoted or depth > 0:
+                held.append("}")
+            if not quoted and depth <= 1:
+                out.append((file, block, no, "".join(held), opens, True))
+                no, held, opens = no + 1, [], True
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, kinds, strict=True)], names)
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*now, no, "".join(held), opens, False), kinds, strict=True)], names)
 
 
 def write_annotations(annot: DataFrame, path: str) -> None:
