@@ -263,3 +263,57 @@ def plain_toxicity(model, text):
         tops.append(np.maximum(np.max(values, axis=0), 0) if values else np.zeros(net.filters))
     z = np.concatenate(tops) @ net.params["out"] + net.params["bias"]
     return 1 / (1 + np.exp(-(model.slope * (z[1] - z[0]) + model.shift)))
+
+
+def test_toxicity_learns_from_every_labelled_document(spark):
+    kinds = [f"kind{chr(97 + i // 8)}{chr(97 + i % 8)}word" for i in range(40)]
+    tail = "x " * 500 + "tailword"  # beyond ``longest``
+    rows = [(i, f"some plain text {kinds[i % 40]} here" if i % 2 else "some plain text here too " + (tail if i % 3 else ""), "en", i % 2) for i in range(900)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, per_class=10, longest=100, least_steps=40)
+    assert (model.hashed.lookup([*kinds[1::2], "tailword"])[:, 0] > 0).all()
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, model).collect()}
+    assert sum(got[r[0]] == r[3] for r in rows) / len(rows) > 0.97
+    assert set(model.thresholds) == {"en"}
+
+
+def test_toxicity_features_are_counted_over_all_rows(spark):
+    rnd = random.Random(4)
+    rows = [(text_of(rnd, rnd.choice("aa bb cc".split()), rnd.randint(0, 60)), rnd.randint(0, 1)) for _ in range(200)]
+    want, docs = {}, [0, 0]
+    for text, toxic in rows:
+        words = set(toxicity.words_of(text))
+        docs[toxic] += bool(words)
+        for w in words:
+            for f in toxicity.features(w):
+                want.setdefault(f, [0, 0, 0])[0] += 1
+        for f in {f for w in words for f in toxicity.features(w)}:
+            want[f][1 + toxic] += 1
+    table = toxicity.feature_counts(spark.createDataFrame(rows, "text string, toxic int").repartition(3)).collect()
+    got = {None if r.feature is None else r.feature % (1 << 64): [r.words, r.clean, r.toxic] for r in table}
+    assert got.pop(None)[1:] == docs and got == want
+    z, y, n = np.array([0.5, 1.5, 1.0, 2.5, 1.5]), np.array([0, 1, 0, 1, 0]), np.array([3, 2, 1, 4, 1])
+    assert toxicity._best_cut(z, y, n) == toxicity._best_cut(np.repeat(z, n), np.repeat(y, n))
+
+
+def test_toxicity_step_on_chunks_equals_step_on_whole_texts(monkeypatch):
+    rnd = random.Random(5)
+    texts = [text_of(rnd, "aa", n).split() for n in (1, 2, 7, 30, 200)]
+    counts = {w: 2 for t in texts for w in t}
+
+    def learned():
+        model = toxicity.ToxicityModel(0.5)
+        model.hashed = toxicity.HashedWords.fit(counts)
+        model.net = ConvNet(toxicity.DIM, toxicity.WIDTHS, toxicity.FILTERS, 2, 3)
+        model.table = toxicity.Embedding(model.hashed.rows, toxicity.DIM, 3).table
+        learner = toxicity._Learner(model, 3)
+        for _ in range(3):
+            learner.learn(texts, np.array([0, 1, 0, 1, 1]), np.ones(2, np.float32), 0.01)
+        assert not np.allclose(learner.emb.table, model.table)
+        return [learner.emb.table, *learner.net.params.values()]
+
+    whole = learned()
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    for a, b in zip(whole, learned()):
+        np.testing.assert_allclose(a, b, atol=1e-5)

@@ -23,6 +23,10 @@ class ConvNet:
         self._m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.params.items()}
         self._t = 0
 
+    def rested(self) -> None:
+        """Forget how the parameters moved."""
+        self._m, self._t = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.params.items()}, 0
+
     def responses(self, x: np.ndarray, width: int) -> np.ndarray:
         """Response of the filters of one width at every row."""
         w, n = self.params[f"w{width}"], len(x)
@@ -52,11 +56,25 @@ class ConvNet:
 
     def step(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray, target: np.ndarray, weight: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray, float]:
         """One training step; returns rows of ``x`` with a gradient, that gradient, and the loss."""
+        where, tops = self.located(x, begin, end)
+        places = [[np.minimum(at + begin[:, None] + k, len(x) - 1) for k in range(w)] for w, at in zip(self.widths, where)]
+        grads, loss = self.update(tops, [[x[p] for p in each] for each in places], target, weight, rate)
+        return (np.concatenate([p.ravel() for each in places for p in each]),
+                np.concatenate([g.reshape(-1, self.dim) for each in grads for g in each]), loss)
+
+    def located(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Per width: the first place, counted from the sequence's begin, of every filter's maximum, and that maximum."""
         where, tops = [], []
         for w in self.widths:
             y = self.responses(x, w)
-            at = np.stack([a + y[a:b].argmax(axis=0) for a, b in zip(begin.tolist(), end.tolist())])
-            where.append(at), tops.append(np.take_along_axis(y, at, axis=0))
+            at = np.stack([y[a:b].argmax(axis=0) for a, b in zip(begin.tolist(), end.tolist())])
+            where.append(at), tops.append(np.take_along_axis(y, at + begin[:, None], axis=0))
+        return where, tops
+
+    def update(self, tops: list[np.ndarray], inside: list[list[np.ndarray]], target: np.ndarray, weight: np.ndarray,
+               rate: float) -> tuple[list[list[np.ndarray]], float]:
+        """Moves the parameters; ``tops`` and ``inside`` have, per width, the maxima and the rows below the filter there (one array for
+        each of its places). Returns gradients of these rows, and the loss."""
         pooled = np.concatenate(tops, 1)
         bias = np.concatenate([self.params[f"b{w}"] for w in self.widths])
         hidden = np.maximum(pooled + bias, 0)
@@ -68,21 +86,16 @@ class ConvNet:
         d = d.astype(np.float32)
         grads = {"out": hidden.T @ d, "bias": d.sum(0)}
         dh = (d @ self.params["out"].T) * (hidden > 0)
-        rows_out, grad_out = [], []
+        back = []
         for j, w in enumerate(self.widths):
-            dp, at = dh[:, j * self.filters:(j + 1) * self.filters], where[j]
+            dp = dh[:, j * self.filters:(j + 1) * self.filters]
             grads[f"b{w}"] = dp.sum(0)
-            g = np.zeros_like(self.params[f"w{w}"])
-            for k in range(w):
-                place = np.minimum(at + k, len(x) - 1)
-                g[k] = np.einsum("bfd,bf->df", x[place], dp)
-                rows_out.append(place.ravel())
-                grad_out.append((dp[:, :, None] * self.params[f"w{w}"][k].T[None]).reshape(-1, self.dim))
-            grads[f"w{w}"] = g
+            grads[f"w{w}"] = np.stack([np.einsum("bfd,bf->df", inside[j][k], dp) for k in range(w)]).astype(self.params[f"w{w}"].dtype)
+            back.append([dp[:, :, None] * self.params[f"w{w}"][k].T[None] for k in range(w)])
         self._t += 1
         for k, g in grads.items():
             adam(self.params[k], g, *self._m[k], self._t, rate)
-        return np.concatenate(rows_out), np.concatenate(grad_out), loss
+        return back, loss
 
 
 def adam(p: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, t: int, rate: float) -> None:
@@ -96,9 +109,13 @@ class Embedding:
     """Rows of a table learned by Adam on those that occur; row 0 stays zero."""
 
     def __init__(self, rows: int, dim: int, seed: int, scale: float = 0.1):
-        self.table = (np.random.default_rng(seed).normal(size=(rows, dim)) * scale).astype(np.float32)
+        self.begin((np.random.default_rng(seed).normal(size=(rows, dim)) * scale).astype(np.float32))
         self.table[0] = 0
-        self._m, self._v, self._t = np.zeros_like(self.table), np.zeros_like(self.table), 0
+
+    def begin(self, table: np.ndarray) -> None:
+        """Go on from a copy of ``table``, as if nothing had been learned."""
+        self.table = table.copy()
+        self._m, self._v, self._t = np.zeros_like(table), np.zeros_like(table), 0
 
     def learn(self, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
         used, back = np.unique(rows, return_inverse=True)
