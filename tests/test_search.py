@@ -366,3 +366,18 @@ def test_tree_of_centroids_finds_the_same_cells(spark, monkeypatch, how):
     assert set(all_of_them.values()) == {300}
     monkeypatch.setattr(ivf, "SMALL_CENTROID_ROWS", 10**6)
     assert {r.id: r.cell for r in ivf.assign_nearest(base, cells).collect()} == {i: v[0] for i, v in want.items()}
+
+
+def test_large_results_are_settled_in_one_evaluation(spark):
+    from vecsearch.operators.common import settle
+
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    kept = settle(spark.range(1_500_000).mapInArrow(count, "id long"))
+    assert kept.count() == 1_500_000
+    assert passed.value == 1_500_000

@@ -19,16 +19,18 @@ SMALL_PROBE_ROWS = 1_000_000
 SMALL_CENTROID_ROWS = 16_384
 # Bytes any of these may take once collected.
 SMALL_BYTES = 256 * 1024 * 1024
+# A result to be settled is only tried on the driver if the tables behind it take no more than this: a trial that fails was evaluated in vain.
+SETTLE_BYTES = 8 * 1024 * 1024
 
 
-def _reads_little(df: DataFrame) -> bool:
+def _reads_little(df: DataFrame, most: int = SMALL_BYTES) -> bool:
     """Do all tables a plan reads add up to a small size? False where that cannot be told."""
     try:
         leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     except AttributeError:  # a remote session has no plan to look at
         return False
     sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-    return sum(int(str(size)) for size in sizes) <= SMALL_BYTES
+    return sum(int(str(size)) for size in sizes) <= most
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -61,10 +63,10 @@ def fetch_if_small(df: DataFrame, max_rows: int) -> pa.Table | None:
 def settle(df: DataFrame, max_rows: int = SMALL_PROBE_ROWS) -> DataFrame:
     """Evaluate ``df`` once and return its rows as a source later steps can read repeatedly.
 
-    A result proven small becomes a local relation; any other is written to the shared scratch
-    folder, which also cuts the lineage and survives the loss of executors.
+    A result of small tables, itself proven small, becomes a local relation; any other is written to the
+    shared scratch folder, which also cuts the lineage and survives the loss of executors.
     """
-    if _reads_little(df):
+    if _reads_little(df, SETTLE_BYTES):
         table = fetch_if_small(df, max_rows)
         if table is not None:
             return df.sparkSession.createDataFrame(table, df.schema)
