@@ -88,3 +88,16 @@ def test_codebook_of_a_seeded_run_is_made_of_means(spark):
         part = x[:, 4 * m:4 * m + 4].astype(np.float64)
         np.testing.assert_allclose(plain_step(part, centres)[0], centres, atol=1e-4)
         assert len(set(lloyd.nearest(part, centres)[0])) == 16
+
+
+def test_nearest_and_sums_are_the_same_in_any_blocks(monkeypatch):
+    rng = np.random.default_rng(8)
+    x, centres = rng.normal(size=(500, 6)), rng.normal(size=(30, 6))
+    monkeypatch.setattr(lloyd, "CACHED_CELLS", 200)
+    label, square = lloyd.nearest(x, centres)
+    every = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
+    assert (label == every.argmin(axis=1)).all() and np.allclose(square, every.min(axis=1))
+    for shift in (0, 70_000):  # labels beyond short integers too
+        hit, n, total = lloyd.grouped_sums(x, label + shift)
+        assert hit.tolist() == sorted(set((label + shift).tolist())) and n.tolist() == np.bincount(label)[hit - shift].tolist()
+        assert np.allclose(total, [x[label == h - shift].sum(axis=0) for h in hit])
