@@ -6,7 +6,7 @@ from helpers import base_frame, brute, query_frame, rows, same, vectors
 from pyspark.sql import functions as F
 from test_search import lsh_candidates_by_rule
 
-from vecsearch.operators import grid, ivf, lsh
+from vecsearch.operators import grid, ivf, keyed, lsh
 from vecsearch.operators.common import arrow_column, evaluated, stored_by
 from vecsearch.operators.exact import knn_exact
 from vecsearch.sources.index_store import Index, load_index, save_index
@@ -153,3 +153,25 @@ def test_stored_cells_are_pruned_by_a_join(spark, strategy, many_cells):
     same(got, brute(x, q, 3, [set(range(i * 500, i * 500 + 500)) for i in range(10)]))
     none = ivf.search_cells(stored, probes.where("cell < 0"), asked, 3, strategy=strategy)
     assert none.count() == 0
+
+
+def test_rows_of_many_tables_go_by_blocks_where_keys_are_crowded(spark, monkeypatch):
+    """Six blocks of queries and five tables whose rows share few keys: by its keys a row would travel more often."""
+    x, q = vectors(200, seed=13), vectors(48, seed=14)
+    p, seen = lsh.LshParams(k=4, tables=5, w=8.0), []
+    real = keyed.keyed_grid
+    monkeypatch.setattr(grid, "BLOCK_QUERIES", 8)
+    monkeypatch.setattr(keyed, "keyed_grid", lambda *a, **k: seen.append(a[4]) or real(*a, **k))
+    got = rows(lsh.search_lsh(base_frame(spark, x), query_frame(spark, q), 4, p, strategy="blocks"))
+    assert seen == [6]
+    same(got, brute(x, q, 4, lsh_candidates_by_rule(x, q, 4, p)))
+
+
+def test_what_travels_by_keys_grows_with_the_input(spark):
+    sent = []
+    for rows_ in (20_000, 80_000):
+        base = spark.range(rows_).select("id", F.array((F.col("id") % 2).cast("string")).alias("keys"))
+        asked = spark.createDataFrame([("0", rows_ // 2), ("1", rows_)], "key string, asked bigint")
+        sent.append(keyed._travel(base, asked, keyed.BASE_BLOCK_ROWS, keyed.query_rows(rows_ // 2 + rows_, 64, 12))[1])
+    assert sent[1] <= 4.2 * sent[0]  # with blocks of 2,000 queries 8.6 times
+    assert keyed.query_rows(10**9, 64, 12) * 64 * 8 <= grid.BLOCK_BYTES

@@ -20,14 +20,18 @@ from .kernels import BestN, FlatScorer, id_values, key_groups, matrix, without_s
 
 # Multiplications a task is given at most, queries of a block, and bytes of their vectors.
 TASK_WORK = 1_000_000_000_000
-BLOCK_QUERIES = 16_384
+BLOCK_QUERIES = 32_768
 BLOCK_BYTES = 32 * 1024 * 1024
 STRIPE_ROWS = 2_000_000
 # Queries scored together inside a task.
 CHUNK = 2_048
+# Rows that a task scores before any others; then at most as many as it has seen.
+FIRST = 1_024
 # From so many stripes on, a pass over one row in PILOT_SHARE gives every query a bound beforehand.
 PILOT_STRIPES = 128
 PILOT_SHARE = 64
+# Bytes of vectors that a stripe of rows with keys has at most.
+STRIPE_BYTES = 128 * 1024 * 1024
 
 
 def shape(rows: int, queries: int, dim: int, cores: int, *, work: float | None = None,
@@ -46,13 +50,16 @@ def shape(rows: int, queries: int, dim: int, cores: int, *, work: float | None =
 
 
 class Asked:
-    """The queries of one task, what they probe, and their best rows so far."""
+    """The queries of one task, what they probe, and their best rows so far.
+
+    Without ``probes`` all of them see all rows, which then lie behind ``key``; with ``take`` a query sees rows up to that position.
+    """
 
     def __init__(self, ids, vectors, n: int | None, scorer, probes: dict | None = None, bound=None, dedupe: bool = False,
-                 radius: float | None = None):
+                 radius: float | None = None, key=None, take=None):
         self.ids, self.vectors, self.n, self.scorer = ids, vectors, n, scorer
-        self.probes, self.dedupe, self.radius = probes, dedupe, radius
-        self.start = np.full(len(ids), np.inf) if bound is None else bound
+        self.probes, self.dedupe, self.radius, self.key, self.take = probes, dedupe, radius, key, take
+        self.start, self.seen = np.full(len(ids), np.inf) if bound is None else bound, 0
         self.fresh()
 
     def fresh(self) -> None:
@@ -75,9 +82,17 @@ class Asked:
 
     def add(self, ids, vectors, keys=None, pos=None) -> None:
         """Let a batch of base rows pass; without ``keys`` every query sees every row."""
+        while self.n is not None and len(ids) > max(FIRST, self.seen):  # the first rows give bounds that spare work on the others
+            few, rest = slice(None, max(FIRST, self.seen)), slice(max(FIRST, self.seen), None)
+            self._pass(ids[few], vectors[few], None if keys is None else keys[few], None if pos is None else pos[few])
+            ids, vectors, keys, pos = ids[rest], vectors[rest], None if keys is None else keys[rest], None if pos is None else pos[rest]
+        self._pass(ids, vectors, keys, pos)
+
+    def _pass(self, ids, vectors, keys, pos) -> None:
+        self.seen += len(ids)
         found = []
         if self.probes is None:
-            found += self._meet(None, np.arange(len(self.ids)), None, ids, vectors, np.arange(len(ids)), pos)
+            found += self._meet(self.key, np.arange(len(self.ids)), self.take, ids, vectors, np.arange(len(ids)), pos)
         else:
             for key, members in key_groups(keys):
                 if key in self.probes:
@@ -124,6 +139,7 @@ def _search(rows: DataFrame, schema: str, n: int | None, radius, scorer, keyed:
                 asked = Asked(id_values(table.column("query_id")), matrix(table.column("vec")), n, scorer or FlatScorer(), probes,
                               table.column("bound").to_numpy().copy(), keyed, radius)
                 types = (table.column("query_id").type, batch.column("id").type)
+                table, parts = None, [None]  # the keys as text are many times the vectors
             rest = batch.slice(n_q)
             asked.add(id_values(rest.column("id")), matrix(rest.column("vec")), rest.column("keys") if keyed else None)
             if n is None:

@@ -9,7 +9,8 @@ forms, chosen by the measured size of the query side:
 * **blocks** - many queries: both sides are shuffled by key. A key holding more rows than a block
   is split by a salt (base side), and one probed by more queries than a block is split as well
   (query side), so no task ever holds more than one block of queries plus one Arrow batch,
-  whatever share of the rows a single key has. Pairs are never materialised as rows.
+  whatever share of the rows a single key has. Pairs are never materialised as rows. Blocks of queries grow with
+  their number until they fill ``BLOCK_BYTES``, so that a row isn't sent to more blocks because there are more queries.
 
 * **grid** (``grid.py``) - many queries that see all rows, or meet a row through several keys: blocks of queries by
   stripes of the base.
@@ -19,6 +20,7 @@ All return local winners; a window over ``query_id`` merges them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +30,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SMALL_PROBE_ROWS, SMALL_QUERY_ROWS, evaluated, fetch_if_small, settle, stored, stored_by, top_n, type_of
-from .grid import OUT, Asked, keyed_grid, knn_grid, shape
-from .kernels import BestN, FlatScorer, id_values, matrix, without_spare_copies
+from .grid import BLOCK_BYTES, OUT, STRIPE_BYTES, Asked, keyed_grid, knn_grid, shape
+from .kernels import FlatScorer, id_values, matrix
 
 BASE_BLOCK_ROWS = 50_000
-QUERY_BLOCK_ROWS = 2_000
+# Queries of a block at least, and blocks of queries wanted per core.
+QUERY_BLOCK_ROWS = 512
+BLOCKS_A_CORE = 4
 ANY_KEY = ""
 
 
+def query_rows(probed: int, dim: int, cores: int) -> int:
+    """Queries of a block: enough blocks for the cores where ``probed`` (query, key) rows are dealt to them, none above ``BLOCK_BYTES``."""
+    return max(1, min(BLOCK_BYTES // (8 * max(dim, 1)), max(QUERY_BLOCK_ROWS, probed // (BLOCKS_A_CORE * cores))))
+
+
 def search_keyed(
     base: DataFrame,
     probes: DataFrame,
@@ -73,21 +82,27 @@ def search_keyed(
         asked = queries.groupBy("query_id").count().agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first()
         if (asked["most"] or 0) > 1:
             raise ValueError("query ids are not unique")
-        if everywhere or many_keys:
+        first = queries.select(F.size("query_vec")).first()
+        dim, cores = (first[0] or 1) if first else 1, base.sparkSession.sparkContext.defaultParallelism
+        size = {"base_block": base_block, "query_block": query_block}
+        if everywhere:
+            base = evaluated(base)
+            return knn_grid(base, queries, n, rows=base.count(), asked=asked["rows"] or 0, dim=dim, scorer=scorer, **size)
+        wanted = settle(probes.groupBy("key").agg(F.count("*").alias("asked")))
+        probed = wanted.agg(F.sum("asked")).first()[0] or 0
+        base_block, query_block = base_block or BASE_BLOCK_ROWS, query_block or query_rows(probed, dim, cores)
+        if many_keys:
             base = evaluated(base)
-            first = queries.select(F.size("query_vec")).first()
-            sizes = {"rows": base.count(), "asked": asked["rows"] or 0, "dim": first[0] if first else 1}
-            size = {"base_block": base_block, "query_block": query_block}
-            if everywhere:
-                return knn_grid(base, queries, n, scorer=scorer, **sizes, **size)
-            cores = base.sparkSession.sparkContext.defaultParallelism
-            blocks, stripes = shape(sizes["rows"], sizes["asked"], sizes["dim"], cores, work=0, **size)
-            if blocks <= many_keys:  # else a row travels less often by its keys
+            rows, met, by_keys = base.count(), *_travel(base, wanted, base_block, query_block)
+            blocks, stripes = shape(rows, asked["rows"] or 0, dim, cores, work=met * dim, **size)
+            if not size["base_block"]:
+                stripes = max(stripes, math.ceil(4 * rows * dim / STRIPE_BYTES))
+            if min(blocks * rows, met) + stripes * (asked["rows"] or 0) <= by_keys:
                 grid = keyed_grid(base, probes, queries, n, blocks, stripes, radius=radius, scorer=scorer)
                 return grid if n is None else top_n(grid, n)
         if key_column:
-            base = only_probed(base, probes.select("key").distinct(), key_column)
-        winners = _blocks(base, probes, queries, n, radius, scorer or FlatScorer(), base_block or BASE_BLOCK_ROWS, query_block or QUERY_BLOCK_ROWS)
+            base = only_probed(base, wanted.select("key"), key_column)
+        winners = _blocks(base, probes, wanted, queries, n, radius, scorer or FlatScorer(), base_block, query_block)
     if many_keys:
         # One shuffle by query serves both the duplicate removal and the ranking window.
         winners = winners.repartition("query_id").dropDuplicates(["query_id", "neighbor_id"])
@@ -113,24 +128,19 @@ def only_probed(base: DataFrame, keys: DataFrame, key_column: str) -> DataFrame:
     return base.join(F.broadcast(wanted.where(F.col(key_column) >= F.lit(size["least"]))), key_column, "left_semi")
 
 
+def _travel(base: DataFrame, wanted: DataFrame, base_block: int, query_block: int) -> tuple[int, int]:
+    """(pairs that meet behind keys, rows and queries that travel if both go by their keys)."""
+    members = base.select(F.explode_outer("keys").alias("key")).groupBy("key").agg(F.count("*").alias("members"))
+    sent = F.col("members") * F.ceil(F.col("asked") / query_block) + F.col("asked") * F.ceil(F.col("members") / base_block)
+    total = members.join(wanted, "key").agg(F.sum(F.col("members") * F.col("asked")).alias("met"), F.sum(sent).alias("sent")).first()
+    return total["met"] or 0, total["sent"] or 0
+
+
 def _out_schema(base: DataFrame, queries: DataFrame) -> str:
     return (f"query_id {type_of(queries, 'query_id')}, neighbor_id {type_of(base, 'id')}, "
             "distance double")
 
 
-def _emit(names, best: BestN, query_ids: np.ndarray, types) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(query_ids[best.q], type=types[0]), pa.array(best.ids, type=types[1]),
-         pa.array(np.sqrt(best.d2), type=pa.float64())],
-        names=names,
-    )
-
-
-def _within(q, b, d2, radius):
-    keep = np.sqrt(d2) <= radius
-    return q[keep], b[keep], d2[keep]
-
-
 def _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys) -> DataFrame:
     spark = base.sparkSession
     q_ids = id_values(q_table["query_id"])
@@ -171,20 +181,19 @@ def _scan(base, p_table, q_table, queries, n, radius, scorer, many_keys) -> Data
     return base.select(*columns).mapInArrow(run, _out_schema(base, queries))
 
 
-def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -> DataFrame:
+def _blocks(base, probes, wanted, queries, n, radius, scorer, base_block, query_block) -> DataFrame:
     capped = "take" in probes.columns
     base = evaluated(base)  # read for the splits and again for the search
     # Outer: a plain explode would add a filter that runs the Python key function a second time.
     by_key = base.select("id", "embedding", F.explode_outer("keys").alias("key"),
                          *(["pos"] if capped else []))
     # Rows behind keys that nobody asks for don't travel.
-    by_key = by_key.join(probes.select("key").distinct(), "key", "left_semi")
+    by_key = by_key.join(wanted.select("key"), "key", "left_semi")
     # Only keys above one block get an entry, so this table stays at most rows / block long.
     splits = settle(
         by_key.groupBy("key").agg(F.ceil(F.count("*") / base_block).alias("parts"))
         .where("parts > 1")
-        .join(probes.groupBy("key").agg(F.ceil(F.count("*") / query_block).alias("q_parts"))
-              .where("q_parts > 1"), "key", "full")
+        .join(wanted.select("key", F.ceil(F.col("asked") / query_block).alias("q_parts")).where("q_parts > 1"), "key", "full")
         .select("key", F.coalesce("parts", F.lit(1)).alias("parts"),
                 F.coalesce("q_parts", F.lit(1)).alias("q_parts"))
     )
@@ -216,17 +225,17 @@ def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, types = None, None
-        q_ids, q_vecs, takes, best = [], [], [], None
+        current, asked, types = None, None, None
+        q_ids, q_vecs, takes = [], [], []
         for batch in batches:
             if not batch.num_rows:
                 continue
             types = (batch.column("query_id").type, batch.column("id").type)
             for name, key, lo, hi in _runs(batch):
                 if name != current:
-                    if best is not None and best.ids is not None:
-                        yield _emit(OUT, best, q_ids, types)
-                    current, q_ids, q_vecs, takes, best = name, [], [], [], None
+                    if asked is not None:
+                        yield from asked.winners(OUT, types)
+                    current, asked, q_ids, q_vecs, takes = name, None, [], [], []
                 side = batch.column("side").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 n_q = int((side == 0).sum())
                 if n_q:
@@ -235,30 +244,17 @@ def _blocks(base, probes, queries, n, radius, scorer, base_block, query_block) -
                     takes.append(batch.column("cap").slice(lo, n_q).to_numpy(zero_copy_only=False))
                 if n_q == hi - lo or not len(q_ids):
                     continue
-                if best is None:
-                    q_ids, q_vecs = np.concatenate(q_ids), np.concatenate(q_vecs)
-                    takes = np.concatenate(takes)
-                    best = BestN(len(q_ids), n)
+                if asked is None:
+                    asked = Asked(np.concatenate(q_ids), np.concatenate(q_vecs), n, scorer, radius=radius, key=key,
+                                  take=np.concatenate(takes) if capped else None)
                 at, size = lo + n_q, hi - lo - n_q
-                ids = id_values(batch.column("id").slice(at, size))
-                vecs = matrix(batch.column("vec").slice(at, size))
-                visible = None
-                if not capped and n is not None:
-                    kept = without_spare_copies(vecs, ids, n)
-                    ids, vecs = ids[kept], vecs[kept]
-                if capped:
-                    pos = batch.column("cap").slice(at, size).to_numpy(zero_copy_only=False)
-                    visible = pos[None, :] <= takes[:, None]
-                bound = best.bound if radius is None else np.full(len(q_ids), radius ** 2)
-                q, b, d2 = scorer.pairs(key, q_vecs, vecs, n, bound, visible)
-                if radius is not None:
-                    q, b, d2 = _within(q, b, d2, radius)
-                best.add(q, d2, ids[b])
-                if n is None and best.ids is not None:
-                    yield _emit(OUT, best, q_ids, types)
-                    best = BestN(len(q_ids), n)
-        if best is not None and best.ids is not None:
-            yield _emit(OUT, best, q_ids, types)
+                pos = batch.column("cap").slice(at, size).to_numpy(zero_copy_only=False) if capped else None
+                asked.add(id_values(batch.column("id").slice(at, size)), matrix(batch.column("vec").slice(at, size)), pos=pos)
+                if n is None:
+                    yield from asked.winners(OUT, types)
+                    asked.fresh()
+        if asked is not None:
+            yield from asked.winners(OUT, types)
 
     return (
         left.unionByName(right)

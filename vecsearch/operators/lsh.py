@@ -222,7 +222,7 @@ def lsh_candidates(index: DataFrame, queries: DataFrame, n: int, p: LshParams) -
     if not p.fallback or short_queries(queries, probes, n).isEmpty():
         return probes
     extra = lsh_fallback(index, queries, probes, buckets, n, p)
-    return probes.unionByName(extra).distinct()
+    return settle(probes.unionByName(extra).distinct())
 
 
 def search_lsh(base: DataFrame, queries: DataFrame, n: int, p: LshParams = LshParams(),
