@@ -6,7 +6,7 @@ from helpers import base_frame, brute, query_frame, rows, same, vectors
 from pyspark.sql import functions as F
 from test_search import lsh_candidates_by_rule
 
-from vecsearch.operators import grid, ivf, keyed, lsh
+from vecsearch.operators import grid, ivf, kernels, keyed, lsh
 from vecsearch.operators.common import arrow_column, evaluated, stored_by
 from vecsearch.operators.exact import knn_exact
 from vecsearch.sources.index_store import Index, load_index, save_index
@@ -175,3 +175,33 @@ def test_what_travels_by_keys_grows_with_the_input(spark):
         sent.append(keyed._travel(base, asked, keyed.BASE_BLOCK_ROWS, keyed.query_rows(rows_ // 2 + rows_, 64, 12))[1])
     assert sent[1] <= 4.2 * sent[0]  # with blocks of 2,000 queries 8.6 times
     assert keyed.query_rows(10**9, 64, 12) * 64 * 8 <= grid.BLOCK_BYTES
+
+
+def test_first_rows_bound_the_others(monkeypatch):
+    """Few pairs are scored twice: the first rows of a task give bounds, so the others need no best of every stretch."""
+    x, q, n, pairs = vectors(10_000, seed=15), vectors(2048, seed=16), 10, []
+    real = kernels.exact_sq
+    monkeypatch.setattr(kernels, "exact_sq", lambda a, b, i, j: pairs.append(len(i)) or real(a, b, i, j))
+    asked = grid.Asked(np.arange(len(q)), q, n, kernels.FlatScorer())
+    asked.add(np.arange(len(x)), x)
+    assert sum(pairs) < 7 * n * len(q)
+    want = brute(x, q[:5], n)
+    assert {i: asked.best.ids[asked.best.q == i].tolist() for i in range(5)} == {i: [j for j, _ in v] for i, v in want.items()}
+
+
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 1e6, 1e30])
+def test_scores_lose_no_row(scale):
+    """Copies, ties and far rows: the product with norms in it must not shut out a row that differences would keep."""
+    x = np.concatenate([vectors(700, dim=19, seed=17, copies=30), vectors(300, dim=19, seed=18) + 50]) * scale
+    q = np.concatenate([x[:40], vectors(30, dim=19, seed=19) * scale])
+    asked = grid.Asked(np.arange(len(q)), q, 7, kernels.FlatScorer())
+    for lo in range(0, len(x), 90):
+        asked.add(np.arange(lo, min(lo + 90, len(x))), x[lo:lo + 90])
+    want = brute(x, q, 7)
+    assert {i: asked.best.ids[asked.best.q == i].tolist() for i in range(len(q))} == {i: [j for j, _ in v] for i, v in want.items()}
+
+
+@pytest.mark.parametrize("shape_", [(3, 5), (4, 16), (1, 7), (2, 0), (30, 64)])
+def test_true_places_are_those_of_numpy(shape_):
+    keep = np.random.default_rng(20).random(shape_) < 0.3
+    assert kernels._true_places(keep).tolist() == np.flatnonzero(keep).tolist()

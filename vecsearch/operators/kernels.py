@@ -92,6 +92,15 @@ def exact_sq(queries: np.ndarray, base: np.ndarray, q: np.ndarray, b: np.ndarray
     return out
 
 
+def _true_places(keep: np.ndarray) -> np.ndarray:
+    """Flat positions of what is true, rising; eight cells are looked at in one go, as few hold anything."""
+    flat = keep.reshape(-1)
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    word, place = np.nonzero(flat[:whole].reshape(-1, 8)[words])
+    return np.concatenate([words[word] * 8 + place, whole + np.flatnonzero(flat[whole:])])
+
+
 def _best_columns(scores: np.ndarray, n: int | None, bound, spread=None, visible=None) -> tuple[np.ndarray, np.ndarray]:
     """Positions that can still be among the ``n`` smallest of their row.
 
@@ -106,15 +115,20 @@ def _best_columns(scores: np.ndarray, n: int | None, bound, spread=None, visible
     keep = scores <= limit[:, None]
     if visible is not None:
         keep &= visible
-    if n is not None and scores.shape[1] > n:
+    width = max(1, scores.shape[1])
+    at = _true_places(keep)
+    q = at // width
+    if n is not None and width > n and len(at) > 4 * n:
         # The bound of earlier blocks usually leaves few; select only where it does not.
-        crowded = np.nonzero(np.count_nonzero(keep, axis=1) > 4 * n)[0]
+        crowded = np.nonzero(np.bincount(q, minlength=len(scores)) > 4 * n)[0]
         if len(crowded):
             part = scores[crowded]
             upper = part if spread is None else part + spread(crowded)
             upper[np.isnan(upper)] = np.inf
             keep[crowded] &= part <= np.partition(upper, n - 1, axis=1)[:, n - 1:n]
-    return np.nonzero(keep)
+            at = _true_places(keep)
+            q = at // width
+    return q, at - q * width
 
 
 class FlatScorer:
@@ -134,24 +148,28 @@ class FlatScorer:
         reach = max(np.abs(queries - shift).max(initial=0), np.abs(base - shift).max(initial=0))
         kind = np.float32 if reach ** 2 * 4 * (queries.shape[1] + 1) < SAFE_SQUARE else np.float64
         near_q = (queries - shift).astype(kind)
-        margin = kind((queries.shape[1] + 16) * np.finfo(kind).eps)
-        q_norm = np.einsum("ij,ij->i", near_q, near_q)
+        # Twice what a sum of so many terms and the norms in it can be off.
+        margin = (2 * queries.shape[1] + 16) * np.finfo(kind).eps
+        q_norm = np.einsum("ij,ij->i", near_q, near_q, dtype=np.float64)
+        # One product gives the squared distance but for the query's own norm, which is taken off the bound instead.
+        left = np.concatenate([near_q * -2, np.ones((len(near_q), 1), dtype=kind)], axis=1)
+        limit = np.full(len(q_norm), np.inf)
+        known = np.isfinite(q_norm)
+        limit[known] = np.asarray(bound, dtype=np.float64)[known] - q_norm[known] * (1 - margin)
         step = max(1, BLOCK_CELLS // max(1, len(queries)))
         for lo in range(0, len(base), step):
             part = base[lo:lo + step]
             near_b = (part - shift).astype(kind)
-            b_norm = np.einsum("ij,ij->i", near_b, near_b)
-            scores = near_q @ near_b.T
-            scores *= -2
-            scores += (q_norm * (1 - margin))[:, None]
-            scores += (b_norm * (1 - margin))[None, :]
-            scores[np.isnan(scores)] = -np.inf
+            b_norm = np.einsum("ij,ij->i", near_b, near_b, dtype=np.float64)
+            scores = left @ np.concatenate([near_b, (b_norm * (1 - margin)).astype(kind)[:, None]], axis=1).T
+            if kind is np.float64:
+                scores[np.isnan(scores)] = -np.inf
 
             def spread(rows, b_norm=b_norm):
-                return 2 * margin * (q_norm[rows, None] + b_norm[None, :])
+                return (2 * margin * (q_norm[rows, None] + b_norm[None, :])).astype(kind)
 
             seen = None if visible is None else visible[:, lo:lo + step]
-            q, b = _best_columns(scores, n, bound, spread, seen)
+            q, b = _best_columns(scores, n, limit, spread, seen)
             found.append((q, b + lo, exact_sq(queries, part, q, b)))
         if len(found) == 1:
             return found[0]
