@@ -82,10 +82,11 @@ class Asked:
 
     def add(self, ids, vectors, keys=None, pos=None) -> None:
         """Let a batch of base rows pass; without ``keys`` every query sees every row."""
-        while self.n is not None and len(ids) > max(FIRST, self.seen):  # the first rows give bounds that spare work on the others
+        # The first rows give bounds that spare work on the others; behind many keys there are few rows each, so those stay together.
+        while self.probes is None and self.n is not None and len(ids) > max(FIRST, self.seen):
             few, rest = slice(None, max(FIRST, self.seen)), slice(max(FIRST, self.seen), None)
-            self._pass(ids[few], vectors[few], None if keys is None else keys[few], None if pos is None else pos[few])
-            ids, vectors, keys, pos = ids[rest], vectors[rest], None if keys is None else keys[rest], None if pos is None else pos[rest]
+            self._pass(ids[few], vectors[few], None, None if pos is None else pos[few])
+            ids, vectors, pos = ids[rest], vectors[rest], None if pos is None else pos[rest]
         self._pass(ids, vectors, keys, pos)
 
     def _pass(self, ids, vectors, keys, pos) -> None:
