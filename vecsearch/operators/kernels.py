@@ -150,18 +150,24 @@ class FlatScorer:
         near_q = (queries - shift).astype(kind)
         # Twice what a sum of so many terms and the norms in it can be off.
         margin = (2 * queries.shape[1] + 16) * np.finfo(kind).eps
-        q_norm = np.einsum("ij,ij->i", near_q, near_q, dtype=np.float64)
+        q_norm = np.einsum("ij,ij->i", near_q, near_q)
         # One product gives the squared distance but for the query's own norm, which is taken off the bound instead.
-        left = np.concatenate([near_q * -2, np.ones((len(near_q), 1), dtype=kind)], axis=1)
-        limit = np.full(len(q_norm), np.inf)
-        known = np.isfinite(q_norm)
-        limit[known] = np.asarray(bound, dtype=np.float64)[known] - q_norm[known] * (1 - margin)
+        wide = len(base) > queries.shape[1]  # behind small keys there are fewer scores than elements of the queries
+        left = np.concatenate([near_q * -2, np.ones((len(near_q), 1), dtype=kind)], axis=1) if wide else near_q
+        with np.errstate(invalid="ignore"):
+            limit = np.where(np.isfinite(q_norm), np.asarray(bound, dtype=np.float64) - q_norm.astype(np.float64) * (1 - margin), np.inf)
         step = max(1, BLOCK_CELLS // max(1, len(queries)))
         for lo in range(0, len(base), step):
             part = base[lo:lo + step]
             near_b = (part - shift).astype(kind)
-            b_norm = np.einsum("ij,ij->i", near_b, near_b, dtype=np.float64)
-            scores = left @ np.concatenate([near_b, (b_norm * (1 - margin)).astype(kind)[:, None]], axis=1).T
+            b_norm = np.einsum("ij,ij->i", near_b, near_b)
+            low = (b_norm * (1 - margin)).astype(kind)
+            if wide:
+                scores = left @ np.concatenate([near_b, low[:, None]], axis=1).T
+            else:
+                scores = left @ near_b.T
+                scores *= -2
+                scores += low[None, :]
             if kind is np.float64:
                 scores[np.isnan(scores)] = -np.inf
 
