@@ -1,13 +1,16 @@
 """Grid search, single evaluation of the base side, and pruning of stored cells."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import base_frame, brute, query_frame, rows, same, vectors
 from pyspark.sql import functions as F
 from test_search import lsh_candidates_by_rule
 
 from vecsearch.operators import grid, ivf, kernels, keyed, lsh
-from vecsearch.operators.common import arrow_column, evaluated, stored_by
+from vecsearch.operators.common import arrow_column, evaluated, stored_by, top_n
 from vecsearch.operators.exact import knn_exact
 from vecsearch.sources.index_store import Index, load_index, save_index
 
@@ -205,3 +208,54 @@ def test_scores_lose_no_row(scale):
 def test_true_places_are_those_of_numpy(shape_):
     keep = np.random.default_rng(20).random(shape_) < 0.3
     assert kernels._true_places(keep).tolist() == np.flatnonzero(keep).tolist()
+
+
+def crowd(queries, keys, seed):
+    """A task whose queries ask for all of ``keys`` keys, and a batch in which each key has many rows."""
+    x, q = vectors(keys * 60, seed=seed), vectors(queries, seed=seed + 1)
+    probes = {str(k): (np.arange(queries), None) for k in range(keys)}
+    lists = pa.array([[str(i % keys)] for i in range(len(x))], pa.list_(pa.string()))
+    return x, q, lists, grid.Asked(np.arange(queries), q, 5, kernels.FlatScorer(), probes, None, True)
+
+
+def test_pairs_behind_many_keys_are_not_held_together(monkeypatch):
+    """What the first keys of a batch gave bounds the others, so a task doesn't hold the best rows of every key at once."""
+    monkeypatch.setattr(grid, "HELD_PAIRS", 1000, raising=False)
+    came, real = [], kernels.BestN.add
+    monkeypatch.setattr(kernels.BestN, "add", lambda self, q, d2, ids: came.append(len(q)) or real(self, q, d2, ids))
+    x, q, lists, asked = crowd(40, 50, seed=21)
+    asked.add(np.arange(len(x)), x, lists)
+    assert max(came) < 1000 + 40 * 60 and sum(came) < 40 * 50 * 5  # the best five of every key would be as many
+    want = brute(x, q, 5)
+    assert {i: asked.best.ids[asked.best.q == i].tolist() for i in range(40)} == {i: [j for j, _ in v] for i, v in want.items()}
+
+
+def test_distances_of_many_pairs_take_little_memory():
+    x = vectors(2000, dim=512, seed=23)
+    q, b = np.repeat(np.arange(30), 2000), np.tile(np.arange(2000), 30)
+    tracemalloc.start()
+    got = kernels.exact_sq(x[:30], x, q, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # all pairs at once: 369 MB
+    wide = x.astype(np.float64)
+    np.testing.assert_allclose(got[:2000], ((wide - wide[0]) ** 2).sum(axis=1), rtol=1e-12)
+
+
+@pytest.mark.parametrize("prefix", [None, "q"])
+def test_keys_travel_in_short_rows(spark, monkeypatch, prefix):
+    """A query of 40 keys goes in several rows, its vector in one of them; the task puts them together in whatever order they come."""
+    x, q = vectors(80, seed=24), vectors(6, seed=25)
+    index = base_frame(spark, x).withColumn("keys", F.array((F.col("id") % 50).cast("string")))
+    asked = query_frame(spark, q, prefix)
+    probes = asked.select("query_id", F.explode(F.sequence(F.lit(0), F.lit(39)).cast("array<string>")).alias("key"))
+    real = grid._search
+    with monkeypatch.context() as m:
+        m.setattr(grid, "_search", lambda rows_, *a: rows_)
+        sent = grid.keyed_grid(index, probes, asked, 3, 2, 2).where("side = 0")
+    sizes = sent.groupBy("query_id", "cell").agg(F.max(F.size("keys")).alias("most"), F.sum(F.size("keys")).alias("all"), F.count("vec").alias("vectors")).collect()
+    assert len(sizes) == 12 and all(r["most"] <= 16 and r["all"] == 40 and r["vectors"] == 1 for r in sizes)
+    monkeypatch.setattr(grid, "_search", lambda rows_, *a: real(rows_.sortWithinPartitions("side", F.rand(1)), *a))
+    got = rows(top_n(grid.keyed_grid(index, probes, asked, 3, 2, 2), 3))
+    want = brute(x, q, 3, [{j for j in range(80) if j % 50 < 40}] * 6)
+    same({int(str(i).removeprefix("q")): v for i, v in got.items()}, want)

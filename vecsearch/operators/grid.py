@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,10 @@ PILOT_STRIPES = 128
 PILOT_SHARE = 64
 # Bytes of vectors that a stripe of rows with keys has at most.
 STRIPE_BYTES = 128 * 1024 * 1024
+# Keys that travel in one row: a batch of whole key lists would be many times its vectors.
+KEYS_A_ROW = 16
+# Pairs found behind keys that are held at most until they give new bounds.
+HELD_PAIRS = 250_000
 
 
 def shape(rows: int, queries: int, dim: int, cores: int, *, work: float | None = None,
@@ -91,13 +96,22 @@ class Asked:
 
     def _pass(self, ids, vectors, keys, pos) -> None:
         self.seen += len(ids)
-        found = []
+        found, held = [], 0
         if self.probes is None:
             found += self._meet(self.key, np.arange(len(self.ids)), self.take, ids, vectors, np.arange(len(ids)), pos)
         else:
             for key, members in key_groups(keys):
                 if key in self.probes:
-                    found += self._meet(key, *self.probes[key], ids, vectors, members, pos)
+                    for pairs in self._meet(key, *self.probes[key], ids, vectors, members, pos):
+                        found.append(pairs)
+                        held += len(pairs[0])
+                        # A query meets a batch through many keys; what the first ones gave bounds the others.
+                        if self.n is not None and held >= HELD_PAIRS:
+                            self._settle(found, ids)
+                            found, held = [], 0
+        self._settle(found, ids)
+
+    def _settle(self, found, ids) -> None:
         if found:
             q, b, d2 = (np.concatenate(x) for x in zip(*found))
             self.best.add(q, d2, ids[b])
@@ -113,6 +127,49 @@ class Asked:
 OUT = ["query_id", "neighbor_id", "distance"]
 
 
+class Arriving:
+    """The queries of a cell while they come in. Keys become numbers at once, so that no more than one batch of them is held as text."""
+
+    def __init__(self, keyed: bool):
+        self.keyed, self.ids, self.vectors, self.bounds = keyed, [], [], []
+        # The number of every key; of every row its query, of every (row, key) the row and the key's number.
+        self.numbers, self.of_row, self.rows, self.codes, self.seen = {}, [], [], [], 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        if self.keyed:
+            self._number(id_values(batch.column("query_id")), batch.column("keys"))
+            batch = batch.filter(pc.equal(batch.column("piece"), 0))
+            if not batch.num_rows:
+                return
+        self.ids.append(id_values(batch.column("query_id")))
+        self.vectors.append(matrix(batch.column("vec")))
+        self.bounds.append(batch.column("bound").to_numpy().copy())
+
+    def _number(self, ids: np.ndarray, keys: pa.ListArray) -> None:
+        coded = keys.flatten().dictionary_encode()
+        numbers = np.array([self.numbers.setdefault(k, len(self.numbers)) for k in coded.dictionary.to_pylist()], dtype=np.int32)
+        self.codes.append(numbers[coded.indices.to_numpy()])
+        self.rows.append(np.repeat(np.arange(self.seen, self.seen + len(ids), dtype=np.int32), np.diff(keys.offsets.to_numpy())))
+        self.of_row.append(ids)
+        self.seen += len(ids)
+
+    def asked(self, n: int | None, scorer, radius) -> Asked:
+        if len({v.shape[1] for v in self.vectors}) > 1:
+            raise ValueError("vectors must have one common length")
+        ids, vectors, bounds = (np.concatenate(x) for x in (self.ids, self.vectors, self.bounds))
+        return Asked(ids, vectors, n, scorer, self._probes(ids) if self.keyed else None, bounds, self.keyed, radius)
+
+    def _probes(self, ids: np.ndarray) -> dict:
+        by_id = np.argsort(ids).astype(np.int32)
+        query = by_id[np.searchsorted(ids[by_id], np.concatenate(self.of_row))]
+        codes, who = np.concatenate(self.codes), query[np.concatenate(self.rows)]
+        self.of_row = self.rows = self.codes = None
+        order = np.lexsort((who, codes))
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(self.numbers)))])
+        who = who[order]
+        return {key: (who[cuts[i]:cuts[i + 1]], None) for key, i in self.numbers.items()}
+
+
 def _dealt(left: DataFrame, right: DataFrame, cells: int) -> DataFrame:
     """Rows of every cell in a partition of its own, queries (side 0) first."""
     return left.unionByName(right).repartitionById(cells, F.col("cell")).sortWithinPartitions("side")
@@ -120,27 +177,21 @@ def _dealt(left: DataFrame, right: DataFrame, cells: int) -> DataFrame:
 
 def _search(rows: DataFrame, schema: str, n: int | None, radius, scorer, keyed: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, parts, types = None, [], None
+        asked, arriving, types = None, Arriving(keyed), None
         for batch in batches:
             if not batch.num_rows:
                 continue
             side = batch.column("side").to_numpy(zero_copy_only=False)
             n_q = int((side == 0).sum())
             if n_q:
-                parts.append(batch.slice(0, n_q))
+                arriving.add(batch.slice(0, n_q))
             if n_q == batch.num_rows:
                 continue
-            if not parts:  # nobody asks here
-                return
             if asked is None:
-                table = pa.Table.from_batches(parts).combine_chunks()
-                probes = None
-                if keyed:
-                    probes = {k: (who, None) for k, who in key_groups(table.column("keys").combine_chunks())}
-                asked = Asked(id_values(table.column("query_id")), matrix(table.column("vec")), n, scorer or FlatScorer(), probes,
-                              table.column("bound").to_numpy().copy(), keyed, radius)
-                types = (table.column("query_id").type, batch.column("id").type)
-                table, parts = None, [None]  # the keys as text are many times the vectors
+                if not arriving.ids:  # nobody asks here
+                    return
+                asked, arriving = arriving.asked(n, scorer or FlatScorer(), radius), None
+                types = (batch.column("query_id").type, batch.column("id").type)
             rest = batch.slice(n_q)
             asked.add(id_values(rest.column("id")), matrix(rest.column("vec")), rest.column("keys") if keyed else None)
             if n is None:
@@ -153,7 +204,7 @@ def _search(rows: DataFrame, schema: str, n: int | None, radius, scorer, keyed:
 
 
 def _sides(base: DataFrame, queries: DataFrame, keyed: bool) -> tuple[list, list]:
-    """Common columns of both sides: side, query_id, id, vec, bound [, keys]."""
+    """Common columns of both sides: side, query_id, id, vec, bound [, keys, piece]."""
     wide = "array<double>" in (type_of(base, "embedding"), type_of(queries, "query_vec"))
     vec_type = "array<double>" if wide else "array<float>"
     no_bound = F.lit(None).cast("double").alias("bound")
@@ -162,7 +213,7 @@ def _sides(base: DataFrame, queries: DataFrame, keyed: bool) -> tuple[list, list
     bound = F.col("bound") if "bound" in queries.columns else F.lit(float("inf"))
     right = [F.lit(0).alias("side"), "query_id", F.lit(None).cast(type_of(base, "id")).alias("id"),
              F.col("query_vec").cast(vec_type).alias("vec"), F.coalesce(bound, F.lit(float("inf"))).alias("bound")]
-    return (left + ["keys"], right + ["keys"]) if keyed else (left, right)
+    return (left + ["keys", F.lit(0).alias("piece")], right + ["keys", "piece"]) if keyed else (left, right)
 
 
 def _schema(base: DataFrame, queries: DataFrame) -> str:
@@ -173,6 +224,12 @@ def _each(column: str, n: int):
     return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(column)
 
 
+def _pieces(column: str):
+    """The list in stretches of ``KEYS_A_ROW``, one at least."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(column), F.lit(1)), F.lit(KEYS_A_ROW))
+    return F.transform(starts, lambda at: F.slice(column, at, F.lit(KEYS_A_ROW)))
+
+
 def all_pairs(base: DataFrame, queries: DataFrame, n: int, blocks: int, stripes: int, scorer=None) -> DataFrame:
     """The best ``n`` rows of every stripe for every query: query_id, neighbor_id, distance.
 
@@ -219,8 +276,10 @@ def keyed_grid(index: DataFrame, probes: DataFrame, queries: DataFrame, n: int |
     stripe = F.pmod(F.xxhash64("id"), F.lit(stripes)).cast("int")
     rows = index.select("id", "embedding", "keys").join(met, "id").select("id", "embedding", "keys", stripe.alias("stripe"), F.explode("blocks").alias("block"))
     keys = probes.groupBy("query_id").agg(F.collect_set("key").alias("keys"))
-    asked = queries.select("query_id", "query_vec").join(keys, "query_id")
+    asked = queries.select("query_id", "query_vec").join(keys, "query_id").select("query_id", "query_vec", F.posexplode(_pieces("keys")).alias("piece", "keys"))
+    # The vector goes with the first keys only.
+    asked = asked.withColumn("query_vec", F.when(F.col("piece") == 0, F.col("query_vec")))
     left, right = _sides(index, asked, True)
-    asked = asked.select("query_id", "query_vec", "keys", block, _each("stripe", stripes))
+    asked = asked.select("query_id", "query_vec", "keys", "piece", block, _each("stripe", stripes))
     cell = (F.col("block") * stripes + F.col("stripe")).alias("cell")
     return _search(_dealt(rows.select(cell, *left), asked.select(cell, *right), blocks * stripes), _schema(index, queries), n, radius, scorer, True)

@@ -86,9 +86,10 @@ def without_spare_copies(rows: np.ndarray, ids: np.ndarray, n: int) -> np.ndarra
 def exact_sq(queries: np.ndarray, base: np.ndarray, q: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distance of the listed (query row, base row) pairs, from differences."""
     out = np.empty(len(q))
-    for lo in range(0, len(q), PAIR_CHUNK):
-        diff = base[b[lo:lo + PAIR_CHUNK]].astype(np.float64) - queries[q[lo:lo + PAIR_CHUNK]]
-        out[lo:lo + PAIR_CHUNK] = np.einsum("ij,ij->i", diff, diff)
+    step = max(1, min(PAIR_CHUNK, BLOCK_CELLS // max(1, base.shape[1])))
+    for lo in range(0, len(q), step):
+        diff = base[b[lo:lo + step]].astype(np.float64) - queries[q[lo:lo + step]]
+        out[lo:lo + step] = np.einsum("ij,ij->i", diff, diff)
     return out
 
 
