@@ -259,3 +259,17 @@ def test_keys_travel_in_short_rows(spark, monkeypatch, prefix):
     got = rows(top_n(grid.keyed_grid(index, probes, asked, 3, 2, 2), 3))
     want = brute(x, q, 3, [{j for j in range(80) if j % 50 < 40}] * 6)
     same({int(str(i).removeprefix("q")): v for i, v in got.items()}, want)
+
+
+def test_blocks_of_queries_follow_their_probes(spark, monkeypatch):
+    """Queries that probe many tables go in more blocks, so a task holds a bounded number of probes."""
+    x, q = vectors(300, seed=26), vectors(48, seed=27)
+    p, seen = lsh.LshParams(k=4, tables=9, w=8.0), []
+    probed = lsh.lsh_probes(lsh.lsh_index(base_frame(spark, x), p), query_frame(spark, q), p).count()
+    real = keyed.keyed_grid
+    monkeypatch.setattr(keyed, "BLOCK_PROBES", probed // 4, raising=False)
+    monkeypatch.setattr(keyed, "_travel", lambda *a: (10**6, 10**9))
+    monkeypatch.setattr(keyed, "keyed_grid", lambda *a, **k: seen.append(a[4]) or real(*a, **k))
+    got = rows(lsh.search_lsh(base_frame(spark, x), query_frame(spark, q), 4, p, strategy="blocks"))
+    assert seen[0] >= 4
+    same(got, brute(x, q, 4, lsh_candidates_by_rule(x, q, 4, p)))

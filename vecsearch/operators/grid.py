@@ -33,6 +33,8 @@ PILOT_STRIPES = 128
 PILOT_SHARE = 64
 # Bytes of vectors that a stripe of rows with keys has at most.
 STRIPE_BYTES = 128 * 1024 * 1024
+# (query, key) probes of a block at most: behind many tables they take more than the vectors of its queries.
+BLOCK_PROBES = 4 * 1024 * 1024
 # Keys that travel in one row: a batch of whole key lists would be many times its vectors.
 KEYS_A_ROW = 16
 # Pairs found behind keys that are held at most until they give new bounds.

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SMALL_PROBE_ROWS, SMALL_QUERY_ROWS, evaluated, fetch_if_small, settle, stored, stored_by, top_n, type_of
-from .grid import BLOCK_BYTES, OUT, STRIPE_BYTES, Asked, keyed_grid, knn_grid, shape
+from .grid import BLOCK_BYTES, BLOCK_PROBES, OUT, STRIPE_BYTES, Asked, keyed_grid, knn_grid, shape
 from .kernels import FlatScorer, id_values, matrix
 
 BASE_BLOCK_ROWS = 50_000
@@ -95,6 +95,7 @@ def search_keyed(
             base = evaluated(base)
             rows, met, by_keys = base.count(), *_travel(base, wanted, base_block, query_block)
             blocks, stripes = shape(rows, asked["rows"] or 0, dim, cores, work=met * dim, **size)
+            blocks = max(blocks, math.ceil(probed / BLOCK_PROBES))
             if not size["base_block"]:
                 stripes = max(stripes, math.ceil(4 * rows * dim / STRIPE_BYTES))
             if min(blocks * rows, met) + stripes * (asked["rows"] or 0) <= by_keys:
