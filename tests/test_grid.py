@@ -9,7 +9,7 @@ from helpers import base_frame, brute, query_frame, rows, same, vectors
 from pyspark.sql import functions as F
 from test_search import lsh_candidates_by_rule
 
-from vecsearch.operators import grid, ivf, kernels, keyed, lsh
+from vecsearch.operators import common, grid, ivf, kernels, keyed, lsh
 from vecsearch.operators.common import arrow_column, evaluated, stored_by, top_n
 from vecsearch.operators.exact import knn_exact
 from vecsearch.sources.index_store import Index, load_index, save_index
@@ -273,3 +273,20 @@ def test_blocks_of_queries_follow_their_probes(spark, monkeypatch):
     got = rows(lsh.search_lsh(base_frame(spark, x), query_frame(spark, q), 4, p, strategy="blocks"))
     assert seen[0] >= 4
     same(got, brute(x, q, 4, lsh_candidates_by_rule(x, q, 4, p)))
+
+
+def test_many_probes_are_not_tried_on_the_driver(spark, monkeypatch, tmp_path):
+    x, q = vectors(200, seed=28), vectors(30, seed=29)
+    p, tried = lsh.LshParams(k=4, tables=5, w=2.0, fallback=False), []
+    query_frame(spark, q).write.parquet(str(tmp_path / "queries"))
+    asked = spark.read.parquet(str(tmp_path / "queries"))
+    index = evaluated(lsh.lsh_index(base_frame(spark, x), p))
+    monkeypatch.setattr(lsh, "DRIVER_PROBES", 1000, raising=False)
+    real = common.fetch_if_small
+    monkeypatch.setattr(common, "fetch_if_small", lambda df, most: tried.append(df.columns) or real(df, most))
+    few = lsh.lsh_candidates(index, asked.where("query_id < 3"), 4, p)
+    assert ["query_id", "tbl", "key", "members"] in tried
+    tried.clear()
+    many = lsh.lsh_candidates(index, asked, 4, p)
+    assert ["query_id", "tbl", "key", "members"] not in tried
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.where("query_id < 3").collect()} != set()

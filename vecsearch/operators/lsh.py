@@ -15,10 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HashTable, dimension, hash_params, projection_codes
-from .common import arrow_column, evaluated, settle, type_of
+from .common import arrow_column, evaluated, settle, stored, type_of
 from .kernels import matrix
 from .keyed import search_keyed
 
+# Probes that may be settled on the driver; where there can be more they are written to the shared folder without a trial.
+DRIVER_PROBES = 250_000
+
 
 @dataclass(frozen=True)
 class LshParams:
@@ -218,7 +221,9 @@ def lsh_fallback(index: DataFrame, queries: DataFrame, probes: DataFrame, bucket
 def lsh_candidates(index: DataFrame, queries: DataFrame, n: int, p: LshParams) -> DataFrame:
     """All buckets a query reads, probed and fallback, each once: query_id, tbl, key, members."""
     buckets = settle(lsh_buckets(index))
-    probes = settle(lsh_probes(index, queries, p, buckets=buckets))
+    most = queries.count() * p.tables * (1 + 2 * p.k * p.radius)
+    probes = lsh_probes(index, queries, p, buckets=buckets)
+    probes = settle(probes) if most <= DRIVER_PROBES else stored(probes, "probes")
     if not p.fallback or short_queries(queries, probes, n).isEmpty():
         return probes
     extra = lsh_fallback(index, queries, probes, buckets, n, p)
